@@ -10,10 +10,9 @@ elements of one class the first one is used.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
 from html.entities import html5
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newslake.functions.text import fold_space
@@ -34,19 +33,6 @@ _NAMED = json.dumps(
 )
 
 
-def _decode(text: Column, decoded: Callable[[Column], Column]) -> Column:
-    """Replace references that end in ``;`` once; ``decoded`` maps a name to text or null."""
-
-    def piece(p: Column, i: Column) -> Column:
-        name = F.regexp_extract(p, _ENTITY, 1)
-        rest = F.substring(p, F.length(name) + 2, F.length(p))
-        known = F.when((i > 0) & (name != ""), F.concat(decoded(name), rest))
-        return F.coalesce(known, F.when(i > 0, F.concat(F.lit("&"), p)).otherwise(p))
-
-    joined = F.array_join(F.transform(F.split(text, "&"), piece), "")
-    return F.when(F.contains(text, F.lit("&")), joined).otherwise(text)
-
-
 def _code_point(name: Column) -> Column:
     hexadecimal = F.conv(F.substring(name, 3, 10), 16, 10).try_cast("long")
     decimal = F.substring(name, 2, 10).try_cast("long")
@@ -54,24 +40,34 @@ def _code_point(name: Column) -> Column:
 
 
 def _character(name: Column) -> Column:
-    """Text of a reference, null for unknown names and for markup characters."""
+    """Text of a reference, null for unknown names; markup characters become ``&name;``."""
     code = _code_point(name)
     valid = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
     text = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    numeric = F.when(~code.isin(*map(ord, _MARKUP)), F.when(valid, text).otherwise("�"))
     named = F.try_element_at(F.from_json(F.lit(_NAMED), "map<string,string>"), name)
-    return F.when(name.startswith("#"), numeric).when(~_is_markup(name), named)
+    lower = F.lower(name)
+    chosen = F.when(lower.isin(*_MARKUP.values()), F.concat(F.lit("&"), lower, F.lit(";")))
+    for char, short in _MARKUP.items():
+        chosen = chosen.when(name.startswith("#") & (code == ord(char)), f"&{short};")
+    return chosen.when(name.startswith("#"), F.when(valid, text).otherwise("�")).otherwise(named)
 
 
-def _is_markup(name: Column) -> Column:
-    return F.lower(name).isin(*_MARKUP.values())
+def _decode_references(text: Column) -> Column:
+    """Character references that end in ``;`` replaced by their text, once."""
+
+    def piece(p: Column, i: Column) -> Column:
+        name = F.regexp_extract(p, _ENTITY, 1)
+        rest = F.substring(p, F.length(name) + 2, F.length(p))
+        known = F.when((i > 0) & (name != ""), F.concat(_character(name), rest))
+        return F.coalesce(known, F.when(i > 0, F.concat(F.lit("&"), p)).otherwise(p))
+
+    return F.array_join(F.transform(F.split(text, "&"), piece), "")
 
 
-def _markup(name: Column) -> Column:
-    chosen = F.when(F.lit(False), "")
-    for char, short in _MARKUP.items():
-        chosen = chosen.when((F.lower(name) == short) | (_code_point(name) == ord(char)), char)
-    return chosen
+def _decode_markup(text: Column) -> Column:
+    for char, short in [*_MARKUP.items()][1:] + [("&", "amp")]:
+        text = F.replace(text, F.lit(f"&{short};"), F.lit(char))
+    return text
 
 
 def readable(html: Column) -> Column:
@@ -79,12 +75,12 @@ def readable(html: Column) -> Column:
 
     References to markup characters stay until the text is cut out.
     """
-    return _decode(F.regexp_replace(html, _NOISE, " "), _character)
+    return _decode_references(F.regexp_replace(html, _NOISE, " "))
 
 
 def text_of(fragment: Column) -> Column:
     """Visible text of a part of a ``readable`` page: no tags, white space collapsed."""
-    return fold_space(_decode(F.regexp_replace(fragment, _ANY_TAG, " "), _markup))
+    return fold_space(_decode_markup(F.regexp_replace(fragment, _ANY_TAG, " ")))
 
 
 def attribute(tag: Column, name: str) -> Column:
@@ -92,7 +88,7 @@ def attribute(tag: Column, name: str) -> Column:
     other = rf"""(?:\s++(?!{name}[\s=>])[^\s=>"']++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+)*+"""
     value = rf"""(?is)^<[\w-]++{other}\s+{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
     found = F.concat(*[F.regexp_extract(tag, value, i) for i in (1, 2, 3)])
-    return F.when(tag.rlike(value), _decode(found, _markup))
+    return F.when(tag.rlike(value), _decode_markup(found))
 
 
 def opening_tags(html: Column, name: str) -> Column:
@@ -100,29 +96,42 @@ def opening_tags(html: Column, name: str) -> Column:
     return F.regexp_extract_all(html, F.lit(rf"(?is)<{name}(?=[\s/>]){_INSIDE}>"), F.lit(0))
 
 
+def meta_tags(html: Column) -> Column:
+    """``property, name, content`` of every meta tag, in page order."""
+    return F.transform(
+        opening_tags(html, "meta"),
+        lambda m: F.struct(*[attribute(m, a).alias(a) for a in ("property", "name", "content")]),
+    )
+
+
 def meta_content(metas: Column, key: str, value: str) -> Column:
-    """``content`` of the first ``<meta key="value">`` among ``metas``."""
-    first = F.get(F.filter(metas, lambda m: attribute(m, key) == value), F.lit(0))
-    return attribute(first, "content")
+    """``content`` of the first tag of ``meta_tags`` with ``key="value"``."""
+    first = F.get(F.filter(metas, lambda m: m[key] == value), F.lit(0))
+    return fold_space(first["content"])
+
+
+# -- opening-tag patterns ---------------------------------------------------------
+_ANY_NAME = r"[a-z][\w-]*"
 
 
-# -- opening-tag patterns; each captures the element name -----------------------
 def tag_named(name: str) -> str:
-    return rf"(?is)<({name})(?=[\s/>]){_INSIDE}>"
+    return rf"(?is)<{name}(?=[\s/>]){_INSIDE}>"
 
 
 def _tag_with(attr: str, value: str, name: str) -> str:
     before = rf"""(?:[^>"'\s]++|"[^"]*+"|'[^']*+'|\s++(?!{attr}\s*=))*+"""
-    return rf"(?is)<({name})(?=\s){before}\s++{attr}\s*=\s*{value}{_INSIDE}>"
+    return rf"(?is)<{name}(?=\s){before}\s++{attr}\s*=\s*{value}{_INSIDE}>"
 
 
-def tag_with_class(cls: str, name: str = r"[a-z][\w-]*") -> str:
-    inside = rf"""(?:"(?:[^"]*\s)?{cls}(?:\s[^"]*)?"|'(?:[^']*\s)?{cls}(?:\s[^']*)?'|{cls}(?=[\s/>]))"""
+def tag_with_class(cls: str, name: str = _ANY_NAME) -> str:
+    c = f"(?-i:{cls})"
+    inside = rf"""(?:"(?:[^"]*\s)?{c}(?:\s[^"]*)?"|'(?:[^']*\s)?{c}(?:\s[^']*)?'|{c}(?=[\s/>]))"""
     return _tag_with("class", inside, name)
 
 
-def tag_with_value(attr: str, value: str, name: str = r"[a-z][\w-]*") -> str:
-    return _tag_with(attr, rf"""(?:"{value}"|'{value}'|{value}(?=[\s/>]))""", name)
+def tag_with_value(attr: str, value: str, name: str = _ANY_NAME) -> str:
+    v = f"(?-i:{value})"
+    return _tag_with(attr, rf"""(?:"{v}"|'{v}'|{v}(?=[\s/>]))""", name)
 
 
 def tag_with_attribute(attr: str, name: str) -> str:
@@ -130,43 +139,55 @@ def tag_with_attribute(attr: str, name: str) -> str:
 
 
 # -- elements ------------------------------------------------------------------
-def _balanced(rest: Column, tag: Column) -> Column:
-    """Of the text after an opening tag, the part up to the closing tag that balances it.
+def _balanced(tail: Column) -> Column:
+    """Inside of the element that opens ``tail``, up to the closing tag that balances it.
 
-    Tags of that name inside the part become blanks.
+    Tags of the element's own name inside it become blanks.
     """
+    tag = F.regexp_extract(tail, r"^<([\w-]+)", 1)
     mark = F.concat(F.lit("(?is)<(/?)"), tag, F.lit(r"(?=[\s/>])[^>]*>"))
-    slashes = F.regexp_extract_all(rest, mark, F.lit(1))
-    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("pieces"))
+    slashes = F.regexp_extract_all(tail, mark, F.lit(1))
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("marks"), F.lit(False).alias("closed"))
 
     def step(acc: Column, slash: Column) -> Column:
         depth = acc["depth"] + F.when(slash == "/", F.lit(-1)).otherwise(F.lit(1))
-        open_ = acc["depth"] > 0
-        return F.struct(
-            F.when(open_, depth).otherwise(F.lit(0)).alias("depth"),
-            (acc["pieces"] + F.when(open_, F.lit(1)).otherwise(F.lit(0))).alias("pieces"),
+        after = F.struct(
+            depth.alias("depth"), (acc["marks"] + 1).alias("marks"), (depth == 0).alias("closed")
         )
+        return F.when(acc["closed"], acc).otherwise(after)
 
-    closed_after = F.aggregate(
-        slashes, start, step,
-        lambda acc: F.when(acc["depth"] > 0, F.size(slashes) + 1).otherwise(acc["pieces"]),
+    # The first mark opens the element, so the first piece lies before it.
+    n_pieces = F.aggregate(
+        slashes, start, step, lambda acc: acc["marks"] - F.when(acc["closed"], 1).otherwise(0)
     )
-    pieces = F.split(rest, mark)
-    return F.array_join(F.slice(pieces, F.lit(1), closed_after), " ")
+    return F.array_join(F.slice(F.split(tail, mark), F.lit(2), n_pieces), " ")
 
 
-def inner_html(html: Column, opening: str) -> Column:
-    """Inside of the first element that matches an opening-tag pattern; null where none does.
+def tail_from(html: Column, opening: str) -> Column:
+    """The text from the first matching opening tag on; empty where there is none."""
+    return F.regexp_extract(html, rf"{opening}.*\z", 0)
 
-    The common case, no element of the same name inside, takes one pattern; the
-    balancing runs only for the others.
+
+def with_inner_html(df: DataFrame, into: str, tails: list[Column]) -> DataFrame:
+    """Add an array: the inner HTML of the element that opens each tail, null for an empty tail.
+
+    Three projections: the tails, their part up to the first closing tag of the
+    element's name, and the balanced part for elements that hold others of their
+    own name. A column per step keeps every pattern from being run twice.
     """
-    pattern = opening.removeprefix("(?is)")
-    tag = F.regexp_extract(html, opening, 1)
-    simple = F.regexp_extract(html, rf"(?is){pattern}(.*?)(?:</\1(?=[\s>])|\z)", 2)
-    rest = F.regexp_extract(html, rf"(?is){pattern}(.*)\z", 2)
-    nested = simple.rlike(r"<") & F.contains(F.lower(simple), F.lower(F.concat(F.lit("<"), tag)))
-    return F.when(tag != "", F.when(nested, _balanced(rest, tag)).otherwise(simple))
+    whole = rf"(?is)^<([\w-]++)(?=[\s/>]){_INSIDE}>(.*?)(?:</\1(?=[\s>])|\z)"
+    simple = F.transform("_tails", lambda t: F.when(t != "", F.regexp_extract(t, whole, 2)))
+
+    def balanced_if_nested(t: Column, s: Column) -> Column:
+        own_name = F.regexp_extract(t, r"^<[\w-]+", 0)
+        return F.when(F.contains(F.lower(s), F.lower(own_name)), _balanced(t)).otherwise(s)
+
+    return (
+        df.withColumn("_tails", F.array(*tails))
+        .withColumn("_simple", simple)
+        .withColumn(into, F.zip_with("_tails", "_simple", balanced_if_nested))
+        .drop("_tails", "_simple")
+    )
 
 
 def paragraphs_text(html: Column) -> Column:
@@ -179,4 +200,4 @@ def paragraphs_text(html: Column) -> Column:
 
 def first_filled(*candidates: Column) -> Column:
     """The first candidate that is neither null nor empty; null where none is."""
-    return F.coalesce(*[F.nullif(c, F.lit("")) for c in candidates])
+    return F.get(F.filter(F.array(*candidates), lambda c: F.length(c) > 0), F.lit(0))

@@ -36,19 +36,28 @@ def _tidy(url: Column) -> Column:
     return F.when(url.rlike(r"^[^?#]*/\.") & url.rlike(_SPLIT), tidied).otherwise(url)
 
 
-def resolve(base: Column, href: Column) -> Column:
-    """The absolute address of ``href`` on the page ``base``."""
-    h = F.regexp_replace(F.trim(href), r"[\t\r\n]", "")
-    scheme, host = F.regexp_extract(base, _BASE, 1), F.regexp_extract(base, _BASE, 2)
-    path, query = F.regexp_extract(base, _BASE, 3), F.regexp_extract(base, _BASE, 4)
-    origin = F.concat(scheme, F.lit("://"), host)
-    folder = F.coalesce(F.nullif(F.regexp_extract(path, r"^(.*/)", 1), F.lit("")), F.lit("/"))
+def base_parts(base: Column) -> Column:
+    """``url, scheme, host, path, query`` of an absolute address."""
+    names = ("scheme", "host", "path", "query")
+    parts = [F.regexp_extract(base, _BASE, i).alias(n) for i, n in enumerate(names, 1)]
+    return F.struct(base.alias("url"), *parts)
+
+
+def tidy_href(href: Column) -> Column:
+    return F.regexp_replace(F.trim(href), r"[\t\r\n]", "")
+
+
+def resolve(base: Column, h: Column) -> Column:
+    """The absolute address of a tidy reference on the page with ``base_parts`` ``base``."""
+    origin = F.concat(base["scheme"], F.lit("://"), base["host"])
+    folder = F.regexp_extract(base["path"], r"^(.*?)[^/]*$", 1)
+    folder = F.when(folder == "", "/").otherwise(folder)
     relative = (
-        F.when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
+        F.when(h.startswith("//"), F.concat(base["scheme"], F.lit(":"), h))
         .when(h.startswith("/"), F.concat(origin, h))
-        .when(h.startswith("?"), F.concat(origin, path, h))
-        .when(h.startswith("#"), F.concat(origin, path, query, h))
-        .when(h == "", base)
+        .when(h.startswith("?"), F.concat(origin, base["path"], h))
+        .when(h.startswith("#"), F.concat(origin, base["path"], base["query"], h))
+        .when(h == "", base["url"])
         .otherwise(F.concat(origin, folder, h))
     )
     return F.when(h.rlike(_SCHEME), h).otherwise(_tidy(relative))

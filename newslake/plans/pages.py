@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from newslake.functions import html as H
 from newslake.functions.text import trim_space
-from newslake.functions.urls import host_of, is_http_url, resolve
+from newslake.functions.urls import base_parts, host_of, is_http_url, resolve, tidy_href
 from newslake.plans.silver import failed_rules
 
 
@@ -38,6 +38,7 @@ _HTML_FILE = r"(?i)\.(?:html|htm)(?:\?|#|$)"
 _LISTINGS = r"(?i)/(?:tag|tags|author|authors|category|categorie|video|videos|page)/"
 _POST_CATEGORIES = H.tag_with_class("post-categories")
 _BREADCRUMBS = H.tag_with_class("breadcrumbs")
+BYLINE = ".entry-meta .byline"
 
 SITE_RULES = (
     SiteRule(
@@ -47,7 +48,7 @@ SITE_RULES = (
     SiteRule(
         "akhbarona", "https://www.akhbarona.com/",
         keep=(r"/\d{4}/\d{2}/", _HTML_FILE), drop=(_LISTINGS,), category=(_POST_CATEGORIES,),
-        author=("byline in entry-meta",), body=(H.tag_with_class("content"),),
+        author=(BYLINE,), body=(H.tag_with_class("content"),),
     ),
     SiteRule(
         "goud", "https://goud.ma/",
@@ -58,7 +59,7 @@ SITE_RULES = (
     SiteRule(
         "barlamane", "https://www.barlamane.com/",
         keep=(_DAY_PATH, _HTML_FILE), drop=(_LISTINGS,), category=(_POST_CATEGORIES,),
-        author=("byline in entry-meta",), body=(H.tag_with_class("content"),),
+        author=(BYLINE,), body=(H.tag_with_class("content"),),
     ),
     SiteRule(
         "aljazeera", "https://www.aljazeera.net/",
@@ -131,13 +132,14 @@ def extract_links(
     hrefs = F.transform(
         H.opening_tags(H.readable(F.col("html")), "a"), lambda tag: H.attribute(tag, "href")
     )
-    listing = listing.withColumn("hrefs", F.filter(hrefs, lambda h: F.coalesce(h, F.lit("")) != ""))
+    hrefs = F.transform(F.filter(hrefs, lambda h: F.length(h) > 0), tidy_href)
+    listing = listing.withColumns({"hrefs": hrefs, "base": base_parts(F.col("base_url"))})
     listing = listing.withColumn(
-        "links", F.transform("hrefs", lambda h: resolve(F.col("base_url"), h))
+        "links", F.transform("hrefs", lambda h: resolve(F.col("base"), h))
     )
 
     def kept(link: Column) -> Column:
-        base_host, chosen = host_of(F.col("base_url")), None
+        base_host, chosen = F.col("base.host"), None
         for rule in rules:
             ok = _is_article_link(rule, link, base_host)
             is_site = F.col("site") == rule.site
@@ -150,110 +152,134 @@ def extract_links(
     return listing.select(*rest, F.posexplode(first).alias("pos", "link"))
 
 
-def _for_sites(sites: list[str], value: Column) -> Column:
-    return F.when(F.col("site").isin(*sites), value)
-
-
-def _site_selectors(rules: tuple[SiteRule, ...], field: str) -> list[tuple[str, list[str]]]:
+def _site_selectors(rules: tuple[SiteRule, ...], field: str) -> dict[str, list[str]]:
     """Distinct selectors of a field with the sites that use them."""
     sites: dict[str, list[str]] = {}
     for rule in rules:
         for selector in getattr(rule, field):
             sites.setdefault(selector, []).append(rule.site)
-    return list(sites.items())
-
-
-def _title(page: Column, metas: Column) -> Column:
-    return F.coalesce(
-        H.first_filled(
-            H.text_of(H.inner_html(page, H.tag_named("h1"))),
-            H.fold_space(H.meta_content(metas, "property", "og:title")),
-            H.text_of(H.inner_html(page, H.tag_named("title"))),
-        ),
-        F.lit(""),
-    )
-
+    return sites
 
-def _link_in(page: Column, container: str) -> Column:
-    return H.text_of(H.inner_html(H.inner_html(page, container), H.tag_named("a")))
 
+def _find(opening: str, word: str | None = None, sites: list[str] | None = None) -> Column:
+    """Tail of the page from an opening tag on.
 
-def _category(page: Column, metas: Column, rules: tuple[SiteRule, ...]) -> Column:
-    own = {c: _for_sites(sites, _link_in(page, c)) for c, sites in _site_selectors(rules, "category")}
-    labelled = H.text_of(H.inner_html(page, H.tag_with_value("rel", "category tag", "a")))
+    ``word`` is a cheap test that spares the pattern on pages without it;
+    ``sites`` are those whose pages are searched at all.
+    """
+    tail = H.tail_from(F.col("_page"), opening)
+    if word:
+        return F.when(F.contains("_page", F.lit(word)), tail)
+    return F.when(F.col("site").isin(*sites), tail) if sites else tail
+
+
+def _text_elements(rules: tuple[SiteRule, ...]) -> dict[str, Column]:
+    """Elements that title, category, author and date may come from."""
+    found = {
+        "h1": _find(H.tag_named("h1")),
+        "title": _find(H.tag_named("title")),
+        "time": _find(H.tag_named("time")),
+        "breadcrumb": _find(H.tag_with_class("breadcrumb"), "breadcrumb"),
+        "nav_breadcrumb": _find(H.tag_with_class("breadcrumb", "nav"), "breadcrumb"),
+        "rel_category": _find(H.tag_with_value("rel", "category tag", "a"), "category tag"),
+        "author_tag": _find(H.tag_named("author")),
+        "author": _find(H.tag_with_class("author"), "author"),
+        "post_author": _find(H.tag_with_class("post-author"), "post-author"),
+        "rel_author": _find(H.tag_with_value("rel", "author", "a"), "author"),
+    }
+    for field in ("category", "author"):
+        for selector, sites in _site_selectors(rules, field).items():
+            opening = H.tag_with_class("entry-meta") if selector == BYLINE else selector
+            found[selector] = _find(opening, sites=sites)
+    return found
+
+
+def _nested_elements(rules: tuple[SiteRule, ...]) -> dict[str, str]:
+    """Elements to look for inside those: the links of category containers, bylines."""
+    containers = ["breadcrumb", "nav_breadcrumb", *_site_selectors(rules, "category")]
+    nested = {c: H.tag_named("a") for c in containers}
+    if BYLINE in _site_selectors(rules, "author"):
+        nested[BYLINE] = H.tag_with_class("byline")
+    return nested
+
+
+def _body_elements(rules: tuple[SiteRule, ...]) -> list[Column]:
+    named = ("post-content", "entry-content", "article-content")
+    common = [_find(H.tag_named("article")), *[_find(H.tag_with_class(n), n) for n in named]]
+    own = [_find(s, sites=sites) for s, sites in _site_selectors(rules, "body").items()]
+    return common + own
+
+
+def _published(metas: Column, time_text: Column) -> Column:
+    stamped = F.regexp_extract("_page", H.tag_with_attribute("datetime", "time"), 0)
     return H.first_filled(
-        _link_in(page, H.tag_with_class("breadcrumb")),
-        _link_in(page, H.tag_with_class("breadcrumb", "nav")),
-        *[v for c, v in own.items() if c == _BREADCRUMBS],
-        labelled,
-        *[v for c, v in own.items() if c != _BREADCRUMBS],
-        H.fold_space(H.meta_content(metas, "property", "article:section")),
+        H.fold_space(H.attribute(stamped, "datetime")),
+        H.meta_content(metas, "property", "article:published_time"),
+        time_text,
     )
 
 
-def _author(page: Column, metas: Column, rules: tuple[SiteRule, ...]) -> Column:
-    def element(selector: str) -> Column:
-        if selector == "byline in entry-meta":
-            meta = H.inner_html(page, H.tag_with_class("entry-meta"))
-            return H.text_of(H.inner_html(meta, H.tag_with_class("byline")))
-        return H.text_of(H.inner_html(page, selector))
+def extract_articles(pages: DataFrame, rules: tuple[SiteRule, ...] = SITE_RULES) -> DataFrame:
+    """One article record per page; columns beyond ``html`` are kept.
 
-    return H.first_filled(
-        element(H.tag_named("author")),
-        H.fold_space(H.meta_content(metas, "name", "author")),
-        H.fold_space(H.meta_content(metas, "property", "article:author")),
-        element(H.tag_with_class("author")),
-        element(H.tag_with_class("post-author")),
-        element(H.tag_with_value("rel", "author", "a")),
-        *[_for_sites(sites, element(s)) for s, sites in _site_selectors(rules, "author")],
+    ``source`` is the page's ``site``. The body is the paragraphs of the first
+    container that holds enough text, else those of the whole page.
+    """
+    elements, nested = _text_elements(rules), _nested_elements(rules)
+    names = list(elements)
+    page = pages.withColumn("_page", H.readable(F.col("html"))).drop("html")
+    page = page.withColumn("_metas", H.meta_tags(F.col("_page")))
+    page = H.with_inner_html(page, "_inner", list(elements.values()))
+    tails = [H.tail_from(F.get("_inner", F.lit(names.index(n))), o) for n, o in nested.items()]
+    page = H.with_inner_html(page, "_nested", tails)
+    page = H.with_inner_html(page, "_bodies", _body_elements(rules))
+    page = page.withColumns(
+        {
+            "_texts": F.transform("_inner", H.text_of),
+            "_nested": F.transform("_nested", H.text_of),
+            "_bodies": F.transform("_bodies", H.paragraphs_text),
+        }
     )
 
+    def text(name: str) -> Column:
+        if name in nested:
+            return F.get("_nested", F.lit(list(nested).index(name)))
+        return F.get("_texts", F.lit(names.index(name)))
 
-def _published(page: Column, metas: Column) -> Column:
-    stamped = F.regexp_extract(page, H.tag_with_attribute("datetime", "time"), 0)
-    return H.first_filled(
-        H.fold_space(H.attribute(stamped, "datetime")),
-        H.fold_space(H.meta_content(metas, "property", "article:published_time")),
-        H.text_of(H.inner_html(page, H.tag_named("time"))),
+    metas, long_enough = F.col("_metas"), lambda t: F.length(t) >= MIN_BODY_CHARS
+    own_categories = list(_site_selectors(rules, "category"))
+    titre = H.first_filled(
+        text("h1"), H.meta_content(metas, "property", "og:title"), text("title")
     )
-
-
-def _body(page: Column, rules: tuple[SiteRule, ...]) -> Column:
-    """Paragraphs of the first container that holds enough text, else of the whole page."""
-
-    def enough(container: str) -> Column:
-        text = H.paragraphs_text(H.inner_html(page, container))
-        return F.nullif(F.regexp_extract(text, rf"(?s)^(.{{{MIN_BODY_CHARS}}}.*)\z", 1), F.lit(""))
-
-    common = (
-        H.tag_named("article"), H.tag_with_class("post-content"),
-        H.tag_with_class("entry-content"), H.tag_with_class("article-content"),
+    categorie = H.first_filled(
+        text("breadcrumb"),
+        text("nav_breadcrumb"),
+        *[text(s) for s in own_categories if s == _BREADCRUMBS],
+        text("rel_category"),
+        *[text(s) for s in own_categories if s != _BREADCRUMBS],
+        H.meta_content(metas, "property", "article:section"),
     )
-    return F.coalesce(
-        *[enough(c) for c in common],
-        *[_for_sites(sites, enough(c)) for c, sites in _site_selectors(rules, "body")],
-        H.paragraphs_text(page),
+    auteur = H.first_filled(
+        text("author_tag"),
+        H.meta_content(metas, "name", "author"),
+        H.meta_content(metas, "property", "article:author"),
+        *[text(s) for s in ("author", "post_author", "rel_author", *_site_selectors(rules, "author"))],
     )
-
-
-def extract_articles(pages: DataFrame, rules: tuple[SiteRule, ...] = SITE_RULES) -> DataFrame:
-    """One article record per page; columns beyond ``html`` are kept.
-
-    ``source`` is the page's ``site``.
-    """
-    clean = pages.withColumn("_page", H.readable(F.col("html")))
-    clean = clean.withColumn("_metas", H.opening_tags(F.col("_page"), "meta"))
-    page, metas = F.col("_page"), F.col("_metas")
-    rest = [c for c in pages.columns if c not in ("html", "site")]
-    return clean.select(
-        *rest,
-        _title(page, metas).alias("titre"),
-        _published(page, metas).alias("date_publication"),
-        _category(page, metas, rules).alias("categorie"),
-        _author(page, metas, rules).alias("auteur"),
-        _body(page, rules).alias("contenu"),
+    contenu = F.coalesce(
+        F.get(F.filter("_bodies", long_enough), F.lit(0)), H.paragraphs_text(F.col("_page"))
+    )
+    record = F.struct(
+        F.coalesce(titre, F.lit("")).alias("titre"),
+        _published(metas, text("time")).alias("date_publication"),
+        categorie.alias("categorie"),
+        auteur.alias("auteur"),
+        contenu.alias("contenu"),
         F.col("site").alias("source"),
     )
+    rest = [c for c in pages.columns if c not in ("html", "site")]
+    # A one-row generator: filters on the record stay above it instead of being
+    # pushed down as second copies of all these patterns.
+    return page.select(*rest, F.inline(F.array(record)))
 
 
 def with_page_errors(extracted: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ def speed_records(
     """
     articles = add_language(normalize(event_articles(parsed), default_source), model)
     place = F.concat_ws("/", "kafka.topic", "kafka.partition", "kafka.offset")
-    name = F.when(F.col("url") == "", F.sha1(place)).otherwise(F.col("url"))
+    name = F.when(F.col("url") == "", place).otherwise(F.col("url"))
     return articles.select(
         F.lit("speed").alias("layer"), "kafka", "event_time",
         F.col("normalized_at").alias("processed_at"),
