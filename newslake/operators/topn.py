@@ -2,26 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def top_counts(terms: DataFrame, term: str, n: int, count: str = "count") -> DataFrame:
-    """The ``n`` most frequent terms; equal counts are cut by term."""
-    counts = terms.groupBy(term).agg(F.count(F.lit(1)).alias(count))
-    return counts.orderBy(F.desc(count), term).limit(n)
-
-
-def top_counts_first_seen(
-    terms: DataFrame, term: str, seen: list[str], n: int, count: str = "count"
+def count_chunks(
+    df: DataFrame, text: Column, by: list[Column], min_chars: int, seen: list[str] | None = None
 ) -> DataFrame:
-    """The ``n`` most frequent terms; equal counts are cut by first appearance.
+    """Blank-separated chunks of lower-case text with their number ``n`` per ``by``.
 
-    ``seen`` names the columns that order appearances.
+    First step of word counting: texts repeat the same chunks, so the costly
+    word pattern then runs once per distinct chunk instead of once per
+    occurrence. Chunks under ``min_chars`` hold no word of that length. With
+    ``seen``, ``first_seen`` is the first place of a chunk: those columns, then
+    its number in the text.
     """
-    counts = terms.groupBy(term).agg(
-        F.count(F.lit(1)).alias(count), F.min(F.struct(*seen)).alias("first_seen")
-    )
+    chunks = F.split(F.lower(text), " ")
+    placed = seen or []
+    item = F.posexplode(chunks).alias("chunk_pos", "chunk") if seen else F.explode(chunks).alias("chunk")
+    counted = [F.count(F.lit(1)).alias("n")]
+    if seen:
+        counted.append(F.min(F.struct(*placed, "chunk_pos")).alias("first_seen"))
+    rows = df.select(*by, *placed, item).where(F.length("chunk") >= min_chars)
+    keys = [c for c in rows.columns if c not in (*placed, "chunk_pos")]
+    return rows.groupBy(*keys).agg(*counted)
+
+
+def top_counts(counts: DataFrame, term: str, n: int, count: str = "count") -> DataFrame:
+    """The ``n`` most frequent of counted terms; equal counts are cut by term."""
+    return counts.orderBy(F.desc(count), term).limit(n)
+
+
+def top_counts_first_seen(counts: DataFrame, n: int, count: str = "count") -> DataFrame:
+    """The ``n`` most frequent of counted terms; equal counts are cut by ``first_seen``."""
     return counts.orderBy(F.desc(count), "first_seen").limit(n).drop("first_seen")
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from newslake.functions.dates import publication_day
 from newslake.functions.text import (
+    MIN_BATCH_CHARS,
     batch_tokens,
     is_batch_candidate,
     is_stopword,
@@ -18,7 +19,7 @@ from newslake.functions.text import (
     or_default,
     title_and_content,
 )
-from newslake.operators.topn import top_counts, top_counts_first_seen
+from newslake.operators.topn import count_chunks, top_counts, top_counts_first_seen
 
 # -- fixed values: country of each source --------------------------------------
 SOURCE_COUNTRY = (
@@ -123,19 +124,18 @@ def top_keywords(
     'any' holds the words for all other languages.
     """
     group = language_group(F.col("langue")).alias("lang_group")
-    tokens = batch_tokens(title_and_content(F.col("titre"), F.col("contenu")))
-    word = F.col("mot_cle")
+    text = title_and_content(F.col("titre"), F.col("contenu"))
+    seen = None if tie == "term" else ["bronze_key", "pos"]
+    chunks = count_chunks(articles, text, [group], MIN_BATCH_CHARS, seen)
+    word = F.posexplode(batch_tokens(F.col("chunk"))).alias("word_pos", "mot_cle")
+    words = chunks.select("lang_group", "n", word, *(["first_seen"] if seen else []))
+    words = words.where(_kept(F.col("mot_cle"), F.col("lang_group"), stopwords))
+    words = _without(words, "mot_cle", stopwords)
+    total = F.sum("n").alias("count")
     if tie == "term":
-        words = articles.select(group, F.explode(tokens).alias("mot_cle"))
-    else:
-        words = articles.select(
-            group, "bronze_key", "pos", F.posexplode(tokens).alias("tok_pos", "mot_cle")
-        )
-    kept = words.where(_kept(word, F.col("lang_group"), stopwords))
-    kept = _without(kept, "mot_cle", stopwords)
-    if tie == "term":
-        return top_counts(kept, "mot_cle", n)
-    return top_counts_first_seen(kept, "mot_cle", ["bronze_key", "pos", "tok_pos"], n)
+        return top_counts(words.groupBy("mot_cle").agg(total), "mot_cle", n)
+    place = F.min(F.struct("first_seen", "word_pos")).alias("first_seen")
+    return top_counts_first_seen(words.groupBy("mot_cle").agg(total, place), n)
 
 
 def _title_words(articles: DataFrame) -> DataFrame:
@@ -155,10 +155,13 @@ def _adjacent_pairs(words: Column) -> Column:
 def top_topics(articles: DataFrame, n: int = TOP_N, tie: str = "term") -> DataFrame:
     """Most frequent title bigrams; ``tie`` as for ``top_keywords``."""
     titles, pairs = _title_words(articles), _adjacent_pairs(F.col("words"))
+    total = F.count(F.lit(1)).alias("count")
     if tie == "term":
-        return top_counts(titles.select(F.explode(pairs).alias("sujet")), "sujet", n)
-    placed = titles.select("bronze_key", "pos", F.posexplode(pairs).alias("pair_pos", "sujet"))
-    return top_counts_first_seen(placed, "sujet", ["bronze_key", "pos", "pair_pos"], n)
+        topics = titles.select(F.explode(pairs).alias("sujet"))
+        return top_counts(topics.groupBy("sujet").agg(total), "sujet", n)
+    topics = titles.select("bronze_key", "pos", F.posexplode(pairs).alias("pair_pos", "sujet"))
+    place = F.min(F.struct("bronze_key", "pos", "pair_pos")).alias("first_seen")
+    return top_counts_first_seen(topics.groupBy("sujet").agg(total, place), n)
 
 
 def gold_tables(

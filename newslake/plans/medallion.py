@@ -7,11 +7,11 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 from hashlib import sha1
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from newslake import scratch
+from newslake.operators.language import LanguageModel
 from newslake.plans import gold as G
 from newslake.plans.silver import accepted, add_language, judge, rejected
 from newslake.schemas import GOLD_DATASETS
@@ -54,7 +54,7 @@ def bronze_to_silver(
     lake: str,
     run: Run,
     default_source: str,
-    model: PipelineModel | None = None,
+    model: LanguageModel | None = None,
     prefix: str = "",
     limit_keys: int = 0,
 ) -> dict[str, int]:
@@ -119,7 +119,7 @@ def run_medallion(
     warehouse: str,
     run: Run,
     default_source: str = "hespress",
-    model: PipelineModel | None = None,
+    model: LanguageModel | None = None,
     n: int = G.TOP_N,
 ) -> dict[str, int]:
     """All stages for one run id, all sources together; returns the counts of each stage."""

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newslake.functions.text import clean_text, trim_space
 from newslake.operators.dedup import HOT_ROWS, first_valid_per_key
-from newslake.operators.language import detect_language, language_sample
+from newslake.operators.language import LanguageModel, detect_language, language_sample
 
 # -- fixed values: reject reasons, in rule order, and the rule limits ----------
 NO_TITLE = "titre vide"
@@ -102,7 +101,7 @@ def to_silver(raw: DataFrame, default_source: str, **options) -> tuple[DataFrame
     return accepted(judged), rejected(judged)
 
 
-def add_language(articles: DataFrame, model: PipelineModel | None) -> DataFrame:
+def add_language(articles: DataFrame, model: LanguageModel | None) -> DataFrame:
     """Add ``langue``; without a model an existing column stays, else it is null."""
     if model is None:
         if "langue" in articles.columns:

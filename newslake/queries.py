@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from newslake import schemas, scratch
 from newslake.operators.dedup import latest_per_key
-from newslake.operators.language import detect_language, train_lang_profiles
+from newslake.operators.language import detect_language, load_profiles, train_lang_profiles
 from newslake.operators.upsert import upsert
 from newslake.functions.text import STOPWORDS, clean_text, object_id
 from newslake.functions.dates import publication_day
@@ -20,6 +20,7 @@ from newslake.plans.serve import serve
 from newslake.plans.silver import accepted, judge, rejected, rejects_by_reason, silver_counters
 from newslake.sources import events as E
 from newslake.sources import lake as L
+from newslake.sources.tables import spread
 from newslake.sources.warehouse import read_table
 from newslake.streaming import rolling, speed
 from newslake.views import ARTICLES, DATED, LISTINGS, PAGES_META, RAW
@@ -31,7 +32,7 @@ STAMP = "2024-02-01T00:00:00+00:00"
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf}/{name}.parquet"))
 
 
 def _view(spark: SparkSession, sf: str, sql: str) -> DataFrame:
@@ -231,7 +232,7 @@ def site_links(spark, sf):
 # -- language --------------------------------------------------------------------
 def language_accuracy(spark, sf):
     documents = _table(spark, sf, "documents")
-    model = train_lang_profiles(documents)
+    model = load_profiles(train_lang_profiles(documents))
     tagged = detect_language(documents, model, clean_text(F.col("text")))
     return tagged.groupBy("lang").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("langue") == F.col("lang")).alias("correct")
@@ -240,8 +241,7 @@ def language_accuracy(spark, sf):
 
 # -- stream ----------------------------------------------------------------------
 def speed_words(spark, sf):
-    words = rolling.with_words(articles(spark, sf).select("titre", "contenu"))
-    return words.groupBy("mot").agg(F.count(F.lit(1)).alias("count"))
+    return rolling.word_counts(articles(spark, sf))
 
 
 def rolling_source_counts(spark, sf):
@@ -256,8 +256,7 @@ def _timed(spark, sf):
 
 
 def rolling_top_words(spark, sf):
-    words = rolling.with_words(_timed(spark, sf).select("ts", "titre", "contenu"))
-    return rolling.rolling_top(rolling.rolling_counts(words, "mot"))
+    return rolling.rolling_top(rolling.rolling_word_counts(_timed(spark, sf)))
 
 
 def event_envelopes(spark, sf):

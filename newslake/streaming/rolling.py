@@ -5,11 +5,16 @@ Windows are aligned, ``[start, start + length)``, and advance by ``slide``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newslake.functions.text import is_speed_candidate, speed_tokens, title_and_content
-from newslake.operators.topn import top_per_group
+from newslake.functions.text import (
+    MIN_SPEED_CHARS,
+    is_speed_candidate,
+    speed_tokens,
+    title_and_content,
+)
+from newslake.operators.topn import count_chunks, top_per_group
 
 WINDOW = "5 minutes"
 SLIDE = "1 minute"
@@ -17,6 +22,13 @@ WATERMARK = "10 minutes"
 TOP_WORDS = 10
 
 
+def _over_windows(per_slot: DataFrame, window: str, slide: str) -> DataFrame:
+    """Sum counts of whole slides over the windows that hold them."""
+    over = F.window("slot", window, slide).alias("w")
+    counts = per_slot.groupBy(over, "key").agg(F.sum("n").alias("n"))
+    return counts.select(F.col("w.start").alias("window_start"), "key", "n")
+
+
 def rolling_counts(
     df: DataFrame, key: str, ts: str = "ts", window: str = WINDOW, slide: str = SLIDE,
     watermark: str = WATERMARK,
@@ -34,20 +46,38 @@ def rolling_counts(
             .agg(F.count(F.lit(1)).alias("n"))
         )
     else:
-        slots = df.groupBy(F.window(ts, slide).alias("slot"), F.col(key).alias("key")).agg(
-            F.count(F.lit(1)).alias("n")
-        )
-        counts = slots.groupBy(
-            F.window(F.col("slot.start"), window, slide).alias("w"), "key"
-        ).agg(F.sum("n").alias("n"))
+        slot = F.window(ts, slide)["start"].alias("slot")
+        per_slot = df.groupBy(slot, F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+        return _over_windows(per_slot, window, slide)
     return counts.select(F.col("w.start").alias("window_start"), "key", "n")
 
 
-def with_words(articles: DataFrame) -> DataFrame:
-    """One row per candidate word of title and content; no stopwords are removed."""
-    tokens = speed_tokens(title_and_content(F.col("titre"), F.col("contenu")))
-    rest = [c for c in articles.columns if c not in ("titre", "contenu")]
-    return articles.select(*rest, F.explode(tokens).alias("mot")).where(is_speed_candidate(F.col("mot")))
+def _candidate_words(rows: DataFrame, text: Column, *keep: str) -> DataFrame:
+    words = rows.select(*keep, F.explode(speed_tokens(text)).alias("mot"))
+    return words.where(is_speed_candidate(F.col("mot")))
+
+
+def word_counts(articles: DataFrame) -> DataFrame:
+    """``mot, count`` of all candidate words of title and content; no stopwords are removed."""
+    text = title_and_content(F.col("titre"), F.col("contenu"))
+    chunks = count_chunks(articles, text, [], MIN_SPEED_CHARS)
+    words = _candidate_words(chunks, F.col("chunk"), "n")
+    return words.groupBy("mot").agg(F.sum("n").alias("count"))
+
+
+def rolling_word_counts(
+    articles: DataFrame, ts: str = "ts", window: str = WINDOW, slide: str = SLIDE,
+    watermark: str = WATERMARK,
+) -> DataFrame:
+    """Candidate words per window: ``window_start, key, n``; see ``rolling_counts``."""
+    text = title_and_content(F.col("titre"), F.col("contenu"))
+    if articles.isStreaming:
+        return rolling_counts(_candidate_words(articles, text, ts), "mot", ts, window, slide, watermark)
+    slot = F.window(ts, slide)["start"].alias("slot")
+    chunks = count_chunks(articles, text, [slot], MIN_SPEED_CHARS)
+    words = _candidate_words(chunks, F.col("chunk"), "slot", "n")
+    per_slot = words.groupBy("slot", F.col("mot").alias("key")).agg(F.sum("n").alias("n"))
+    return _over_windows(per_slot, window, slide)
 
 
 def rolling_top(counts: DataFrame, n: int = TOP_WORDS) -> DataFrame:

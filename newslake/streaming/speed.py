@@ -9,22 +9,22 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from newslake.functions.text import object_id
 from newslake.operators.dedup import latest_per_key
+from newslake.operators.language import LanguageModel
 from newslake.plans.silver import add_language, normalize
 from newslake.sources.events import dead_letters, event_articles, parse_events
-from newslake.streaming.rolling import rolling_counts, rolling_top, with_words
+from newslake.streaming.rolling import rolling_counts, rolling_top, rolling_word_counts
 
 EVERY = {"processingTime": "60 seconds"}
 
 
 def speed_records(
-    parsed: DataFrame, default_source: str, model: PipelineModel | None = None
+    parsed: DataFrame, default_source: str, model: LanguageModel | None = None
 ) -> DataFrame:
     """Normalised articles of usable events. Nothing is validated or deduplicated.
 
@@ -55,7 +55,7 @@ def start_speed_zone(
     out: str,
     checkpoint: str,
     default_source: str = "unknown",
-    model: PipelineModel | None = None,
+    model: LanguageModel | None = None,
     trigger: dict | None = None,
     today: str | None = None,
 ) -> StreamingQuery:
@@ -129,8 +129,7 @@ def start_top_words(
     in one batch, where they are ranked.
     """
     articles = normalize(event_articles(parse_events(records)), "unknown")
-    words = with_words(articles.select("event_time", "titre", "contenu"))
-    counts = rolling_counts(words, "mot", ts="event_time")
+    counts = rolling_word_counts(articles, ts="event_time")
 
     def rank(batch: DataFrame, batch_id: int) -> None:
         ranked = rolling_top(batch, n).withColumn("batch_id", F.lit(batch_id))
