@@ -40,14 +40,17 @@ def _version_path(root: str, version: int, name: str) -> str:
     return f"{root}/versions/{version:08d}/{name}"
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The committed state of one table; empty before the first load."""
-    version = current_version(spark, root)
+def _read_version(spark: SparkSession, root: str, version: int | None, name: str) -> DataFrame:
     if version is None:
         return spark.createDataFrame([], warehouse_schema(name))
     return spark.read.schema(warehouse_schema(name)).parquet(_version_path(root, version, name))
 
 
+def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The committed state of one table; empty before the first load."""
+    return _read_version(spark, root, current_version(spark, root), name)
+
+
 def warehouse_rows(gold: DataFrame, name: str, loaded_at: str) -> DataFrame:
     """Gold rows as warehouse rows: null counts are 0, null keys fail, one stamp per load."""
     key, key_type, value = GOLD_DATASETS[name]
@@ -59,10 +62,12 @@ def warehouse_rows(gold: DataFrame, name: str, loaded_at: str) -> DataFrame:
     return require_keys(rows, [key])
 
 
-def assert_unique(df: DataFrame, key: str) -> None:
-    repeated = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).take(1)
-    if repeated:
-        raise ValueError(f"key {key} is not unique: {repeated[0]}")
+def _checked_rows(incoming: DataFrame, key: str) -> int:
+    """Number of rows; fails when a key occurs twice."""
+    rows, keys = incoming.agg(F.count(F.lit(1)), F.count_distinct(key)).first()
+    if rows != keys:
+        raise ValueError(f"key {key} is not unique: {rows} rows, {keys} keys")
+    return rows
 
 
 def load_warehouse(
@@ -75,14 +80,13 @@ def load_warehouse(
     missing = set(GOLD_DATASETS) - set(datasets)
     if missing:
         raise ValueError(f"missing datasets: {sorted(missing)}")
-    version = (current_version(spark, root) or 0) + 1
-    loaded = {}
-    for name, (key, _, _) in GOLD_DATASETS.items():
-        incoming = warehouse_rows(datasets[name], name, loaded_at)
-        assert_unique(incoming, key)
-        merged = upsert(read_table(spark, root, name), incoming, [key])
+    current = current_version(spark, root)
+    version = (current or 0) + 1
+    incoming = {name: warehouse_rows(datasets[name], name, loaded_at) for name in GOLD_DATASETS}
+    loaded = {name: _checked_rows(rows, GOLD_DATASETS[name][0]) for name, rows in incoming.items()}
+    for name, rows in incoming.items():
+        merged = upsert(_read_version(spark, root, current, name), rows, [GOLD_DATASETS[name][0]])
         merged.write.mode("overwrite").parquet(_version_path(root, version, name))
-        loaded[name] = incoming.count()
     entry = spark.createDataFrame([(version, loaded_at)], "version long, loaded_at string")
     entry.coalesce(1).write.mode("append").json(f"{root}/commits")
     return loaded
