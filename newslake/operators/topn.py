@@ -2,30 +2,46 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Texts whose blanks lie further apart than this on average are split into words
+# at once: scripts without blanks, or data, would give chunks that never repeat.
+_LONG_CHUNK = 64
+
+
 def count_chunks(
-    df: DataFrame, text: Column, by: list[Column], min_chars: int, seen: list[str] | None = None
+    df: DataFrame,
+    text: Column,
+    by: list[Column],
+    min_chars: int,
+    words: Callable[[Column], Column],
+    seen: list[str] | None = None,
 ) -> DataFrame:
     """Blank-separated chunks of lower-case text with their number ``n`` per ``by``.
 
     First step of word counting: texts repeat the same chunks, so the costly
-    word pattern then runs once per distinct chunk instead of once per
+    word pattern ``words`` then runs once per distinct chunk instead of once per
     occurrence. Chunks under ``min_chars`` hold no word of that length. With
     ``seen``, ``first_seen`` is the first place of a chunk: those columns, then
     its number in the text.
     """
-    chunks = F.split(F.lower(text), " ")
     placed = seen or []
+    lower = F.col("_text")
+    blanks = F.length(lower) - F.length(F.replace(lower, F.lit(" "), F.lit("")))
+    sparse = F.length(lower) > (blanks + 1) * _LONG_CHUNK
+    chunks = F.when(sparse, words(lower)).otherwise(F.split(lower, " "))
     item = F.posexplode(chunks).alias("chunk_pos", "chunk") if seen else F.explode(chunks).alias("chunk")
     counted = [F.count(F.lit(1)).alias("n")]
     if seen:
         counted.append(F.min(F.struct(*placed, "chunk_pos")).alias("first_seen"))
-    rows = df.select(*by, *placed, item).where(F.length("chunk") >= min_chars)
-    keys = [c for c in rows.columns if c not in (*placed, "chunk_pos")]
-    return rows.groupBy(*keys).agg(*counted)
+    rows = df.select(*by, *placed, F.lower(text).alias("_text"))
+    keys = [c for c in rows.columns if c not in (*placed, "_text")]
+    rows = rows.select(*keys, *placed, item).where(F.length("chunk") >= min_chars)
+    return rows.groupBy(*keys, "chunk").agg(*counted)
 
 
 def top_counts(counts: DataFrame, term: str, n: int, count: str = "count") -> DataFrame:

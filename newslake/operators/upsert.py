@@ -54,13 +54,15 @@ def upsert_partitions(
     """Replace rows of equal key inside the partitions that ``incoming`` touches.
 
     Only those partitions are read and rewritten, in one job; a dynamic
-    overwrite leaves every other partition alone. Keys are unique in
-    ``incoming``. The rebalance keeps files near the advisory size: a partition
-    holding most rows is split over several tasks, small ones share a task.
+    overwrite leaves every other partition alone. Their names, as many as the
+    folders to write, prune the scan. Keys are unique in ``incoming``. The
+    rebalance keeps files near the advisory size: a partition holding most rows
+    is split over several tasks, small ones share a task.
     """
     spark = incoming.sparkSession
-    touched = incoming.select(*partitions).distinct()
-    current = read_or_empty(spark, path, incoming).join(touched, list(partitions), "left_semi")
+    folder = F.concat_ws("/", *partitions)
+    touched = [r[0] for r in incoming.select(folder).distinct().collect()]
+    current = read_or_empty(spark, path, incoming).where(folder.isin(touched))
     merged = upsert(current, incoming, [*partitions, *keys])
     (
         merged.hint("rebalance", *partitions)

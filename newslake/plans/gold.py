@@ -126,7 +126,7 @@ def top_keywords(
     group = language_group(F.col("langue")).alias("lang_group")
     text = title_and_content(F.col("titre"), F.col("contenu"))
     seen = None if tie == "term" else ["bronze_key", "pos"]
-    chunks = count_chunks(articles, text, [group], MIN_BATCH_CHARS, seen)
+    chunks = count_chunks(articles, text, [group], MIN_BATCH_CHARS, batch_tokens, seen)
     word = F.posexplode(batch_tokens(F.col("chunk"))).alias("word_pos", "mot_cle")
     words = chunks.select("lang_group", "n", word, *(["first_seen"] if seen else []))
     words = words.where(_kept(F.col("mot_cle"), F.col("lang_group"), stopwords))

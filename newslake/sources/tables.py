@@ -1,9 +1,16 @@
-"""Reading tables for work that is bound by the processor."""
+"""Keeping all cores busy: sharing out small scans, running independent jobs together."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
+
 from pyspark.sql import DataFrame
 
+Result = TypeVar("Result")
+_JOBS_AT_ONCE = 6
+
 
 def spread(df: DataFrame) -> DataFrame:
     """Share the rows of a scan among all cores when it has fewer splits than that.
@@ -13,3 +20,12 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def run_together(jobs: Iterable[Callable[[], Result]]) -> list[Result]:
+    """Start independent Spark actions from threads; results in the order given.
+
+    The first failure is raised once all have ended.
+    """
+    with ThreadPoolExecutor(_JOBS_AT_ONCE) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]

@@ -6,19 +6,26 @@ to a log. Readers follow the log, so they see all six tables of one load or none
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslake.operators.upsert import require_keys, upsert
 from newslake.schemas import GOLD_DATASETS, gold_schema, warehouse_schema
+from newslake.sources.tables import run_together
 
 
 def write_gold(tables: dict[str, DataFrame], base: str, generated_at: str) -> None:
     """Each dataset under ``base/name``, stamped with ``generated_at``."""
     stamp = F.lit(generated_at).cast("timestamp")
-    for name, rows in tables.items():
-        rows.withColumn("generated_at", stamp).write.mode("overwrite").parquet(f"{base}/{name}")
+
+    def write(name: str) -> None:
+        rows = tables[name].withColumn("generated_at", stamp)
+        rows.write.mode("overwrite").parquet(f"{base}/{name}")
+
+    run_together(partial(write, name) for name in tables)
 
 
 def read_gold(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -82,11 +89,16 @@ def load_warehouse(
         raise ValueError(f"missing datasets: {sorted(missing)}")
     current = current_version(spark, root)
     version = (current or 0) + 1
-    incoming = {name: warehouse_rows(datasets[name], name, loaded_at) for name in GOLD_DATASETS}
-    loaded = {name: _checked_rows(rows, GOLD_DATASETS[name][0]) for name, rows in incoming.items()}
-    for name, rows in incoming.items():
-        merged = upsert(_read_version(spark, root, current, name), rows, [GOLD_DATASETS[name][0]])
+
+    def load(name: str) -> int:
+        key = GOLD_DATASETS[name][0]
+        rows = warehouse_rows(datasets[name], name, loaded_at)
+        loaded = _checked_rows(rows, key)
+        merged = upsert(_read_version(spark, root, current, name), rows, [key])
         merged.write.mode("overwrite").parquet(_version_path(root, version, name))
+        return loaded
+
+    loaded = dict(zip(GOLD_DATASETS, run_together(partial(load, name) for name in GOLD_DATASETS)))
     entry = spark.createDataFrame([(version, loaded_at)], "version long, loaded_at string")
     entry.coalesce(1).write.mode("append").json(f"{root}/commits")
     return loaded

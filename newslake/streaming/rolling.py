@@ -60,7 +60,7 @@ def _candidate_words(rows: DataFrame, text: Column, *keep: str) -> DataFrame:
 def word_counts(articles: DataFrame) -> DataFrame:
     """``mot, count`` of all candidate words of title and content; no stopwords are removed."""
     text = title_and_content(F.col("titre"), F.col("contenu"))
-    chunks = count_chunks(articles, text, [], MIN_SPEED_CHARS)
+    chunks = count_chunks(articles, text, [], MIN_SPEED_CHARS, speed_tokens)
     words = _candidate_words(chunks, F.col("chunk"), "n")
     return words.groupBy("mot").agg(F.sum("n").alias("count"))
 
@@ -74,7 +74,7 @@ def rolling_word_counts(
     if articles.isStreaming:
         return rolling_counts(_candidate_words(articles, text, ts), "mot", ts, window, slide, watermark)
     slot = F.window(ts, slide)["start"].alias("slot")
-    chunks = count_chunks(articles, text, [slot], MIN_SPEED_CHARS)
+    chunks = count_chunks(articles, text, [slot], MIN_SPEED_CHARS, speed_tokens)
     words = _candidate_words(chunks, F.col("chunk"), "slot", "n")
     per_slot = words.groupBy("slot", F.col("mot").alias("key")).agg(F.sum("n").alias("n"))
     return _over_windows(per_slot, window, slide)

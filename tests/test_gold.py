@@ -94,3 +94,11 @@ def test_stopword_table(spark):
 def test_repartitioning_changes_nothing(spark):
     df = raw(spark, *[("k", i, {"contenu": LONG * (i % 3 + 1)}) for i in range(20)]).selectExpr("*", "'fr' AS langue")
     assert tuples(G.top_keywords(df)) == tuples(G.top_keywords(df.repartition(5)))
+
+
+def test_texts_with_few_blanks(spark):
+    joined = "-".join(["alpha", "delta"] * 40)
+    df = titled(spark, f"{joined} omega", "delta")
+    assert tuples(G.top_keywords(df)) == [("delta", 41), ("alpha", 40), ("omega", 1)]
+    first = tuples(G.top_keywords(titled(spark, joined), 2, tie="first_seen"))
+    assert first == [("alpha", 40), ("delta", 40)]

@@ -1,5 +1,6 @@
 import json
 import pathlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -103,6 +104,18 @@ def test_silver_rewrite_replaces_only_its_own_urls(spark, tmp_path):
         assert L.read_silver(spark, root).count() == 5
 
 
+def test_silver_rewrite_reads_only_the_touched_partitions(spark, tmp_path):
+    from newslake.operators.upsert import read_or_empty
+
+    root = str(tmp_path / "silver")
+    L.write_silver(silver(spark, ("s", "2026-05-09", "a", "1"), ("t", "2026-05-10", "b", "1")), root)
+    folder = F.concat_ws("/", "source", "dt")
+    pruned = read_or_empty(spark, root, silver(spark)).where(folder.isin(["s/2026-05-09"]))
+    text = pruned._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[\(?concat_ws", text) and "Filter (" not in text
+    assert [r.url for r in pruned.collect()] == ["a"]
+
+
 def test_silver_json_envelopes(spark, tmp_path):
     rows = silver(spark, ("s", "2026-05-09", "a", "1"))
     L.silver_envelope_json(rows).write.partitionBy("source", "dt").text(str(tmp_path / "silver"))
