@@ -312,20 +312,24 @@ def stream_dead_letters(spark, sf):
     return letters.groupBy("stage", "error").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _utc(windows: DataFrame) -> DataFrame:
+    """Window starts as UTC clock times, whatever the session's zone."""
+    start = F.to_utc_timestamp("window_start", F.current_timezone()).cast("timestamp_ntz")
+    return windows.withColumn("window_start", start)
+
+
 def stream_source_counts(spark, sf):
     run = scratch.run_dir(spark, "counts")
     records = _record_stream(spark, sf, run)
     speed.start_source_counts(records, run, f"{run}/checkpoint", trigger=ALL_NOW).awaitTermination()
-    counts = speed.read_source_counts(spark, run)
-    return counts.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    return _utc(speed.read_source_counts(spark, run))
 
 
 def stream_top_words(spark, sf):
     run = scratch.run_dir(spark, "words")
     records = _record_stream(spark, sf, run)
     speed.start_top_words(records, run, f"{run}/checkpoint", trigger=ALL_NOW).awaitTermination()
-    words = spark.read.parquet(f"{run}/top_words").drop("batch_id")
-    return words.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    return _utc(spark.read.parquet(f"{run}/top_words").drop("batch_id"))
 
 
 # -- warehouse and charts --------------------------------------------------------

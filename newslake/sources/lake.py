@@ -18,7 +18,7 @@ _OBJECT_PATH = r"/(source=[^/]+/dt=[^/]+/(?:articles/[0-9a-f]{40}|\d{6}_\w+)\.js
 
 # -- object keys ---------------------------------------------------------------
 def bronze_batch_key(source: Column, ingested_at: Column, batch_id: Column) -> Column:
-    clock = F.date_format(F.to_timestamp(ingested_at), "HHmmss")
+    clock = F.replace(F.substring(ingested_at, 12, 8), F.lit(":"), F.lit(""))
     day = F.substring(ingested_at, 1, 10)
     return F.format_string("bronze/source=%s/dt=%s/%s_%s.json", source, day, clock, batch_id)
 

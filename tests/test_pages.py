@@ -1,4 +1,3 @@
-import pytest
 from pyspark.sql import functions as F
 
 from newslake.plans import pages as P
@@ -6,6 +5,13 @@ from newslake.plans import pages as P
 BODY = "Assez de texte pour un article, bien plus de cinquante signes en tout."
 
 
+def many(spark, pages):
+    """Records of (html, site) pairs, in order."""
+    rows = [(i, "https://a.b/c", html, site) for i, (html, site) in enumerate(pages)]
+    df = spark.createDataFrame(rows, "i int, url string, html string, site string").coalesce(1)
+    return P.extract_articles(df).orderBy("i").collect()
+
+
 def one(spark, html, site="hespress", url="https://www.hespress.com/a-123456.html"):
     df = spark.createDataFrame([(url, html, site)], "url string, html string, site string")
     return P.with_page_errors(P.extract_articles(df)).first()
@@ -13,10 +19,11 @@ def one(spark, html, site="hespress", url="https://www.hespress.com/a-123456.htm
 
 def test_title_chain(spark):
     meta = "<meta content='Og' property='og:title'>"
-    assert one(spark, f"{meta}<title>Doc</title><h1> A <b>B</b>&amp;C </h1>").titre == "A B &C"
-    assert one(spark, f"{meta}<title>Doc</title><h1> </h1>").titre == "Og"
-    assert one(spark, "<title>Doc &eacute;</title>").titre == "Doc é"
-    assert one(spark, "<p>x</p>").titre == ""
+    pages = [
+        f"{meta}<title>Doc</title><h1> A <b>B</b>&amp;C </h1>", f"{meta}<title>Doc</title><h1> </h1>",
+        "<title>Doc &eacute;</title>", "<p>x</p>",
+    ]
+    assert [r.titre for r in many(spark, [(p, "goud") for p in pages])] == ["A B &C", "Og", "Doc é", ""]
 
 
 def test_hidden_markup_is_ignored(spark):
@@ -24,9 +31,8 @@ def test_hidden_markup_is_ignored(spark):
     assert one(spark, html).titre == "yes"
 
 
-@pytest.mark.parametrize(
-    "site, html, category",
-    [
+def test_category_chain(spark):
+    cases = [
         ("hespress", '<ul class="x breadcrumb"><li><a href="/"> Home <i>x</i></a></li></ul>', "Home x"),
         ("hespress", '<a rel="category tag" href="/t">Tag</a>', "Tag"),
         ("hespress", '<div class="post-categories"><a>Post</a></div>', "Post"),
@@ -35,15 +41,12 @@ def test_hidden_markup_is_ignored(spark):
         ("goud", '<div class="breadcrumbs"><a>Crumb</a></div>', None),
         ("goud", '<meta property="article:section" content=" Sec  tion ">', "Sec tion"),
         ("goud", '<div class="Breadcrumb"><a>case matters</a></div>', None),
-    ],
-)
-def test_category_chain(spark, site, html, category):
-    assert one(spark, html, site).categorie == category
+    ]
+    assert [r.categorie for r in many(spark, [(html, site) for site, html, _ in cases])] == [c[-1] for c in cases]
 
 
-@pytest.mark.parametrize(
-    "site, html, author",
-    [
+def test_author_chain(spark):
+    cases = [
         ("hespress", "<author>A</author><meta name='author' content='B'>", "A"),
         ("hespress", "<author> </author><meta name='author' content='B'>", "B"),
         ("hespress", "<meta property='article:author' content='C'>", "C"),
@@ -59,23 +62,18 @@ def test_category_chain(spark, site, html, category):
         ("bbc_arabic", "<i data-testid='byline-name'>K</i>", "K"),
         ("reuters", "<i data-testid='Byline'>L</i>", "L"),
         ("reuters", "<i data-testid='byline'>L</i>", None),
-    ],
-)
-def test_author_chain(spark, site, html, author):
-    assert one(spark, html, site).auteur == author
+    ]
+    assert [r.auteur for r in many(spark, [(html, site) for site, html, _ in cases])] == [c[-1] for c in cases]
 
 
-@pytest.mark.parametrize(
-    "html, date",
-    [
+def test_date_chain(spark):
+    cases = [
         ("<time>x</time><time class=a datetime='2026-05-09 '>y</time>", "2026-05-09"),
         ("<meta property='article:published_time' content='2026-05-08'><time>x</time>", "2026-05-08"),
         ("<time> 9 <b>May</b> </time>", "9 May"),
         ("<time> </time>", None),
-    ],
-)
-def test_date_chain(spark, html, date):
-    assert one(spark, html).date_publication == date
+    ]
+    assert [r.date_publication for r in many(spark, [(html, "hespress") for html, _ in cases])] == [c[-1] for c in cases]
 
 
 def test_body_takes_the_first_container_with_enough_text(spark):
