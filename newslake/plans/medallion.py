@@ -13,10 +13,19 @@ from pyspark.sql import functions as F
 from newslake import scratch
 from newslake.operators.language import LanguageModel
 from newslake.plans import gold as G
+from newslake.plans.pages import extract_articles, invalid_details, page_report, with_page_errors
 from newslake.plans.silver import accepted, add_language, judge, rejected
 from newslake.schemas import GOLD_DATASETS
 from newslake.sources import warehouse as W
-from newslake.sources.lake import read_bronze, read_silver, silver_article_key, write_silver
+from newslake.sources.lake import (
+    article_json,
+    bronze_envelopes,
+    read_bronze,
+    read_silver,
+    silver_article_key,
+    write_bronze,
+    write_silver,
+)
 
 
 @dataclass(frozen=True)
@@ -49,6 +58,29 @@ def _append_manifest(spark: SparkSession, path: str, row: dict) -> None:
     spark.createDataFrame([row]).coalesce(1).write.mode("append").parquet(path)
 
 
+def pages_to_bronze(pages: DataFrame, lake: str, run: Run) -> dict[str, int]:
+    """Extract the articles of fetched pages and store the valid ones in Bronze.
+
+    ``pages`` has ``url, html, site``. The report of each site and the details of
+    invalid pages go to the manifests.
+    """
+    spark = pages.sparkSession
+    work = f"{scratch.run_dir(spark, f'pages-{run.run_id}')}/checked"
+    checked = with_page_errors(extract_articles(pages))
+    checked.write.mode("overwrite").parquet(work)
+    checked = spark.read.schema(checked.schema).parquet(work)
+
+    valid = checked.where(F.size("errors") == 0).withColumn("json", article_json())
+    envelopes = bronze_envelopes(valid, F.col("source"), F.lit(run.stamp), F.lit(0), F.col("json"))
+    write_bronze(envelopes, f"{lake}/bronze")
+    base = f"{lake}/manifests/pages"
+    report = page_report(checked)
+    report.write.mode("overwrite").parquet(f"{base}/reports/run_id={run.run_id}")
+    invalid_details(checked).write.mode("overwrite").parquet(f"{base}/invalid/run_id={run.run_id}")
+    totals = report.agg(*[F.sum(c).alias(c) for c in ("found", "valid", "invalid")]).first()
+    return {c: totals[c] or 0 for c in ("found", "valid", "invalid")}
+
+
 def bronze_to_silver(
     spark: SparkSession,
     lake: str,

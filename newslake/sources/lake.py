@@ -94,6 +94,11 @@ def scraped_articles(files: DataFrame) -> DataFrame:
     return parsed.select("path", "pos", "json", "article.*")
 
 
+def scrape_reports(files: DataFrame) -> DataFrame:
+    """The decoded ``meta`` of each scraper file: counts and the details of invalid pages."""
+    return files.select("path", F.from_json("meta", schemas.SCRAPE_META).alias("m")).select("path", "m.*")
+
+
 # -- Bronze --------------------------------------------------------------------
 def _envelope_head(source: Column, ingested_at: Column, *more: Column) -> Column:
     return F.struct(

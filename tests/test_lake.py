@@ -79,6 +79,14 @@ def test_bad_scraper_file_fails(spark, tmp_path, content):
         L.read_scraper_files(spark, str(tmp_path / "in.json")).collect()
 
 
+def test_scrape_reports(spark, tmp_path):
+    meta = {"source": "goud", "found_urls": 2, "valid_articles": 1, "invalid_details": [{"url": "u", "errors": ["titre vide"]}]}
+    put(tmp_path, "in.json", {"meta": meta, "articles": []})
+    (row,) = L.scrape_reports(L.read_scraper_files(spark, str(tmp_path / "in.json"))).collect()
+    assert (row.source, row.found_urls, row.valid_articles, row.listing_url) == ("goud", 2, 1, None)
+    assert [(d.url, d.errors) for d in row.invalid_details] == [("u", ["titre vide"])]
+
+
 def test_empty_scraper_file(spark, tmp_path):
     put(tmp_path, "in.json", '{"meta": {"found_urls": 0}, "articles": []}')
     assert L.scraped_articles(L.read_scraper_files(spark, str(tmp_path / "in.json"))).count() == 0

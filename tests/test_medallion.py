@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from articles import SAMPLE
 from newslake import schemas
 from newslake.operators.language import load_profiles, train_lang_profiles
-from newslake.plans.medallion import new_run, run_medallion
+from newslake.plans.medallion import new_run, pages_to_bronze, run_medallion
 from newslake.schemas import GOLD_DATASETS
 from newslake.sources import lake as L
 from newslake.sources.warehouse import read_table
@@ -54,3 +54,18 @@ def test_runs_over_the_sample(spark, tmp_path):
 def test_empty_lake(spark, tmp_path):
     counts = run_medallion(spark, str(tmp_path / "lake"), str(tmp_path / "w"), new_run())
     assert set(counts.values()) == {0}
+
+
+def test_pages_to_bronze(spark, tmp_path):
+    def page(body):
+        return f"<h1>Titre</h1><time datetime='2026-05-11'>x</time><article><p>{body}</p></article>"
+
+    rows = [("https://goud.ma/1", page("x" * 120), "goud"), ("https://goud.ma/2", page("court"), "goud")]
+    pages = spark.createDataFrame(rows, "url string, html string, site string")
+    run = new_run(now=dt.datetime(2026, 5, 12, tzinfo=dt.timezone.utc))
+    lake = str(tmp_path)
+    assert pages_to_bronze(pages, lake, run) == {"found": 2, "valid": 1, "invalid": 1}
+    (stored,) = L.read_bronze(spark, f"{lake}/bronze").collect()
+    assert (stored.url, stored.titre, stored.source, stored.dt) == ("https://goud.ma/1", "Titre", "goud", "2026-05-12")
+    (bad,) = spark.read.parquet(f"{lake}/manifests/pages/invalid").collect()
+    assert (bad.url, bad.errors) == ("https://goud.ma/2", ["contenu trop court"])
