@@ -8,7 +8,7 @@ SAMPLE = [
         "url": "https://www.hespress.com/test-123456.html",
         "date_publication": "2026-05-11T10:00:00Z",
         "categorie": "Politique",
-        "auteur": "Antigravity",
+        "auteur": "A. Auteur",
         "contenu": "Ceci est un article de test pour vérifier le workflow du projet Architecture. "
         "Le contenu est suffisamment long pour passer la validation.",
         "source": "hespress",
@@ -18,7 +18,7 @@ SAMPLE = [
         "url": "https://www.hespress.com/test-789012.html",
         "date_publication": "2026-05-11T11:00:00Z",
         "categorie": "Sport",
-        "auteur": "Antigravity",
+        "auteur": "A. Auteur",
         "contenu": "Un autre article de test pour s'assurer que le traitement par lot fonctionne "
         "correctement dans le pipeline Airflow.",
         "source": "hespress",
