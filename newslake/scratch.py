@@ -1,24 +1,37 @@
-"""Where intermediate tables go: the shared folder named by the cluster."""
+"""Where intermediate tables go: a folder that driver and executors share."""
+
+from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CONF = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where none is set."""
+    """The folder in ``spark.checkpoint.dir``; without it, one below the SQL warehouse.
+
+    Both are shared by configuration. Nothing goes to a machine's temporary folder.
+    """
     configured = spark.conf.get(_CONF, None) or spark.sparkContext.getConf().get(_CONF, None)
     if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="newslake-")
-        spark.sparkContext.setCheckpointDir(configured)
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_runs"
     return configured.rstrip("/")
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder for one run of ``name``."""
     return f"{shared_dir(spark)}/newslake/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` below the shared folder and read it back: cuts the lineage for good."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_dir(spark: SparkSession, path: str) -> None:
+    """Delete a run's folder once its result has been read or stored elsewhere."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
