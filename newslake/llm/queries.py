@@ -4,26 +4,47 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from newslake import scratch
-from newslake.llm import jaccard_join
+from newslake.llm import jaccard_join, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+TOKENIZER = "byte_bpe_50k.json"
+
 
 def _read(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def token_shards(docs: DataFrame, root: str) -> DataFrame:
+    """Token files of ``docs`` by the public 50k byte-level tokenizer, ids of 16 bits, end id 0."""
+    return token_files.write_tokens(docs, root, public_tokenizers.path(TOKENIZER))
+
+
+def op3_token_output(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's place, length and checksum, read from wavelet token files."""
+    return token_files.read_digests(token_shards(_read(spark, sf, "documents"), scratch.run_dir(spark, "tokens")))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     """Component of every document under 5-word shingle Jaccard similarity of 0.75."""
     return jaccard_join.shingle_components(_read(spark, sf, "documents"), scratch.run_dir(spark, "jaccard"))
 
 
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    """All stages of the corpus pipeline over the whole table."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf)
+
+
 QUERIES: dict[str, Query] = {
+    "op3_token_output": op3_token_output,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {}
