@@ -13,18 +13,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslake import scratch
-from newslake.llm import jaccard_join, queries, token_files
+from newslake.llm import cube_mix, decontaminate, jaccard_join, queries, token_files
+
+
+def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    rows = queries.quality_scored(docs, spark, sf_dir)
+    return rows.filter(F.col("quality_score") >= queries.QUALITY_CUT).select(*docs.columns)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the smallest id.
 
-    Rows that share an id and a group stay together only once; rows without an id stay.
+    Rows without an id stay, as do rows that share the smallest id of their group.
     """
     groups = jaccard_join.shingle_components(docs.select("doc_id", "text"), scratch.run_dir(spark, "stage-copies"))
     dropped = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(dropped, "doc_id", "left_anti")
-    return kept
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage go; rows without an id are kept."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.find_passages(docs, benchmark).select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it; documents taken zero times go.
+
+    Rows that share an id are counted one by one and drawn by (id, size), each row as often as
+    the largest draw of its kind.
+    """
+    mix = cube_mix.mix_sources(docs, scratch.run_dir(spark, "stage-mix"))
+    draws = mix.filter("repeats > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("repeats").alias("_repeats"))
+    taken = docs.join(draws, "doc_id")
+    copies = taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_repeats"))))
+    return copies.select(*docs.columns)
 
 
 def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +58,10 @@ def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_classifier", keep_good_quality),
     ("ngram_jaccard_join", keep_one_of_near_copies),
+    ("benchmark_decontamination", drop_contaminated),
+    ("mix_sources", mix_to_targets),
     ("token_output", write_token_files),
 ]
 

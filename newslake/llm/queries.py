@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from newslake import scratch
-from newslake.llm import jaccard_join, token_files
+from newslake.llm import cube_mix, decontaminate, jaccard_join, quality_nbsvm, quality_rules, token_files
+from newslake.llm.words import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +36,40 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.shingle_components(_read(spark, sf, "documents"), scratch.run_dir(spark, "jaccard"))
 
 
+def quality_scored(docs: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
+    """``docs`` with the probability of good quality; the model learns from the folder's own tables."""
+    model = quality_nbsvm.train(_read(spark, sf, "documents"), _read(spark, sf, "labels"))
+    return quality_nbsvm.scored(docs, model, "quality_score")
+
+
+QUALITY_CUT = 0.3
+
+
+def op6_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality of every document by naive Bayes support vectors."""
+    rows = quality_scored(_read(spark, sf, "documents").select("doc_id", "text"), spark, sf)
+    score = F.col("quality_score")
+    return rows.select("doc_id", held_out().alias("held_out"), score.alias("score"), (score >= QUALITY_CUT).cast("int").alias("predicted"))
+
+
+def op8_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """How many words of every document the mix takes."""
+    mix = cube_mix.mix_sources(_read(spark, sf, "documents"), scratch.run_dir(spark, "mix"))
+    return mix.select("doc_id", "size", "source_size", "target", "taken", "source", "repeats")
+
+
+def op9_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Benchmark items found in documents, with the best window of each."""
+    return decontaminate.find_passages(_read(spark, sf, "documents"), _read(spark, sf, "benchmark"))
+
+
+def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Measures of every document and whether the rules, weighed together, keep it."""
+    judged = quality_rules.judge(_read(spark, sf, "documents"), scratch.run_dir(spark, "rules"))
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior"]
+    return judged.select(*columns)
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     """All stages of the corpus pipeline over the whole table."""
     import corpus_pipeline
@@ -44,6 +80,10 @@ def pipeline(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op3_token_output": op3_token_output,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op8_mix_sources": op8_mix_sources,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_quality_rules": op10_quality_rules,
     "pipeline": pipeline,
 }
 

@@ -137,10 +137,17 @@ def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return mix(total)
 
 
+def sequence_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """Hash of every run of ``size`` words taken as a whole short text; kept apart from shingles."""
+    total = np.full(len(words) - size + 1, size, np.uint64) * U(_BASE)
+    for i in range(size):
+        total += words[i : i + len(total)] * _POS[i]
+    return mix(total)
+
+
 def sequence_hash(words: np.ndarray) -> np.uint64:
-    """Hash of a whole short sequence; its length keeps it apart from shingles."""
-    length = np.array([len(words)], np.uint64)
-    return mix((words * _POS[: len(words)]).sum(keepdims=True) + length * U(_BASE))[0]
+    """The same of one whole short sequence."""
+    return sequence_hashes(words, len(words))[0]
 
 
 def shingles(piece: Piece, size: int = SHINGLE_WORDS) -> Iterator[tuple[int, np.ndarray]]:
