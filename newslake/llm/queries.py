@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslake import scratch
-from newslake.llm import cube_mix, decontaminate, jaccard_join, quality_nbsvm, quality_rules, token_files
+from newslake.llm import (
+    cube_mix, decontaminate, jaccard_join, language_masks, page_template, quality_nbsvm, quality_rules, secret_owners, token_files, toxicity,
+)
 from newslake.llm.words import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +28,20 @@ def token_shards(docs: DataFrame, root: str) -> DataFrame:
     return token_files.write_tokens(docs, root, public_tokenizers.path(TOKENIZER))
 
 
+def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Toxicity of every document, and its offending sentences as byte spans."""
+    docs = _read(spark, sf, "documents")
+    model = toxicity.train(docs, _read(spark, sf, "labels"))
+    rows = toxicity.scored(docs.select("doc_id", "text"), model)
+    score = F.col("toxicity.score")
+    return rows.select("doc_id", held_out().alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"), F.col("toxicity.spans").alias("spans"))
+
+
+def op2_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    """Main text of every page."""
+    return page_template.main_texts(_read(spark, sf, "pages"), scratch.run_dir(spark, "pages")).drop("blocks")
+
+
 def op3_token_output(spark: SparkSession, sf: str) -> DataFrame:
     """Every document's place, length and checksum, read from wavelet token files."""
     return token_files.read_digests(token_shards(_read(spark, sf, "documents"), scratch.run_dir(spark, "tokens")))
@@ -45,6 +61,13 @@ def quality_scored(docs: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
 QUALITY_CUT = 0.3
 
 
+def op5_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Language of every document by language bitmasks of its n-grams."""
+    docs = _read(spark, sf, "documents")
+    rows = language_masks.tagged(docs.select("doc_id", "text"), language_masks.train(docs))
+    return rows.select("doc_id", held_out().alias("held_out"), F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
+
+
 def op6_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     """Quality of every document by naive Bayes support vectors."""
     rows = quality_scored(_read(spark, sf, "documents").select("doc_id", "text"), spark, sf)
@@ -52,6 +75,13 @@ def op6_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("doc_id", held_out().alias("held_out"), score.alias("score"), (score >= QUALITY_CUT).cast("int").alias("predicted"))
 
 
+def op7_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Secrets in every document; a source counts as an owner, a document as a repository."""
+    found = secret_owners.find_secrets(_read(spark, sf, "documents"), scratch.run_dir(spark, "secrets"))
+    live = F.coalesce(F.size(F.filter("found", lambda s: s["live"])), F.lit(0)).cast("long")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", live.alias("n_live"))
+
+
 def op8_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     """How many words of every document the mix takes."""
     mix = cube_mix.mix_sources(_read(spark, sf, "documents"), scratch.run_dir(spark, "mix"))
@@ -78,9 +108,13 @@ def pipeline(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_html_extraction": op2_html_extraction,
     "op3_token_output": op3_token_output,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op5_language_id": op5_language_id,
     "op6_quality_classifier": op6_quality_classifier,
+    "op7_secret_scan": op7_secret_scan,
     "op8_mix_sources": op8_mix_sources,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_quality_rules": op10_quality_rules,

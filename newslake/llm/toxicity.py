@@ -28,6 +28,7 @@ BITS = 18
 STEMS = (4, 5)
 MAX_TRAIN_ROWS = 12_000
 ROUNDS = 60
+LEAST_Z = 3
 _SLOTS = 1 << BITS
 
 # Bytes of words: ASCII letters and digits, and all of other scripts.
@@ -110,7 +111,7 @@ def noisy_or(margins: np.ndarray, doc_of: np.ndarray, docs: int) -> np.ndarray:
 def fit(sentence: np.ndarray, slot: np.ndarray, doc_of: np.ndarray, y: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
     """Weights and bias by gradient steps of adaptive length on the noisy-or likelihood.
 
-    Only slots seen in five documents take part. They start at their log ratio between toxic
+    Only slots seen in five documents, whose log ratio is LEAST_Z standard errors from zero, take part. They start at their log ratio between toxic
     and clean documents, shrunk toward zero, and decay gently. Both classes weigh the same.
     """
     docs, n = len(y), len(doc_of)
@@ -123,8 +124,10 @@ def fit(sentence: np.ndarray, slot: np.ndarray, doc_of: np.ndarray, y: np.ndarra
     both = np.bincount(of, minlength=_SLOTS)
     toxic, clean = (y == 1).sum(), (y == 0).sum()
     ratio = np.log((ones + 0.5) / (toxic + 1)) - np.log((both - ones + 0.5) / (clean + 1))
-    use = both >= 5
-    weights[use] = np.clip(ratio[use], -3, 3) * (np.abs(ratio[use]) > 1)
+    # Evidence must stand out: rare pieces by chance in one class would only be learnt by heart.
+    spread = np.sqrt(1 / (ones + 0.5) + 1 / (both - ones + 0.5))
+    use = (both >= 5) & (np.abs(ratio) >= LEAST_Z * spread)
+    weights[use] = np.clip(ratio[use], -3, 3)
     kept = use[slot]
     sentence, slot = sentence[kept], slot[kept]
     balance = np.where(y == 1, docs / (2 * toxic), docs / (2 * clean))
@@ -134,7 +137,7 @@ def fit(sentence: np.ndarray, slot: np.ndarray, doc_of: np.ndarray, y: np.ndarra
         p = 1 / (1 + np.exp(-np.clip(margins, -30, 30)))
         clear = noisy_or(np.clip(margins, -30, 30), doc_of, docs)
         # d log P / d margin of a toxic document's sentence is p (1 - P) / P, of a clean one's -p.
-        odds = 1 / np.expm1(np.maximum(-clear, 1e-6))
+        odds = 1 / np.expm1(np.clip(-clear, 1e-6, 50))
         push = np.where(y == 1, np.minimum(odds, 1e3), -1.0)[doc_of] * p * balance[doc_of] / docs
         g = np.bincount(slot, push[sentence], _SLOTS) - 1e-5 * weights
         gb = push.sum()
