@@ -11,8 +11,9 @@ set can use its own.
 Work never meets all pairs of a group of copies:
 
 1. equal sets become one node (a 64-bit hash of the set);
-2. every node is first verified against the smallest node that shares most of its
-   prefix, which joins groups of near copies by one comparison per member;
+2. in rounds, every component found so far is verified against two hubs that share much of
+   a member's prefix; groups of near copies grow together by a few comparisons per member.
+   Rounds go on while they find links and many pairs are left to meet;
 3. only pairs from different components found so far go through the multi-match
    count and the exact check, and their links complete the components.
 """
@@ -23,6 +24,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,8 +33,11 @@ from newslake import scratch
 from newslake.llm.components import components
 from newslake.llm.words import mix, pieces, shingles
 
-MAX_MATCHES = 8
-ORDER_SLOTS = 1 << 20
+MAX_MATCHES = 4
+ORDER_SLOTS = 1 << 22
+FREQUENT = 4
+#: Meetings of sets per prefix shingle at which the exact pairing starts.
+MEETINGS = 2
 _VERIFY_COST = 1 / 16
 
 U = np.uint64
@@ -41,25 +47,38 @@ def _set_id(values: np.ndarray) -> np.int64:
     return mix(np.array([values.sum(dtype=np.uint64) ^ U(len(values))]))[0].view(np.int64)
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Document rows (id, set, size), then rows (shingle, count) of those repeated in this split.
+_SETS = pa.schema([("doc_id", pa.int64()), ("sid", pa.int64()), ("size", pa.int64()), ("part", pa.int32()), ("codes", pa.binary())])
 
-    Equal sets of a split count once. Shingles that occur in one set of the split
-    only add nothing, which keeps the second kind small and still covers every split.
+
+def _packed(codes: np.ndarray) -> bytes:
+    """Sorted 32-bit codes as steps, byte by byte: about a byte and a half for each."""
+    steps = np.diff(codes, prepend=np.uint32(0)).astype("<u4")
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
+def _unpacked(body: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4")[:, 0], dtype=np.uint32)
+
+
+def _sets(part_bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Document rows (id, set, size) and packed 32-bit codes of all shingles by range.
+
+    Equal sets of a split count once; what else repeats is repeated in the codes.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("sid", pa.int64()), ("size", pa.int64()), ("shingle", pa.int64()), ("n", pa.int64())])
     seen: set[int] = set()
     pending: list[np.ndarray] = []
-    held, counts = 0, {}
+    held = 0
 
-    def fold():
-        nonlocal held
-        values, n = np.unique(np.concatenate(pending), return_counts=True) if pending else (np.zeros(0, U), np.zeros(0, int))
+    def counts() -> pa.RecordBatch:
+        codes = np.sort(np.concatenate(pending)) if pending else np.zeros(0, np.uint32)
         pending.clear()
-        held = 0
-        return values, n
+        edges = np.searchsorted(codes, np.arange((1 << part_bits) + 1, dtype=np.uint64) << U(32 - part_bits))
+        parts = np.flatnonzero(np.diff(edges))
+        none = pa.nulls(len(parts), pa.int64())
+        bodies = [_packed(codes[edges[i] : edges[i + 1]]) for i in parts]
+        return pa.RecordBatch.from_arrays([none, none, none, pa.array(parts.astype(np.int32)), pa.array(bodies, pa.binary())], schema=_SETS)
 
-    kept_v, kept_n = np.zeros(0, U), np.zeros(0, np.int64)
     for batch in batches:
         sids, sizes = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
         for piece in pieces(batch.column(1)):
@@ -70,45 +89,43 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sids[row], sizes[row] = _set_id(values), len(values)
                 if (sid := int(sids[row])) not in seen:
                     seen.add(sid)
-                    pending.append(values)
+                    pending.append((values >> U(32)).astype(np.uint32))
                     held += len(values)
-            if held > 4_000_000:
-                v, n = fold()
-                kept_v, kept_n = _add_counts(kept_v, kept_n, v, n)
+            if held > 8_000_000:
+                yield counts()
+                held = 0
+        n = batch.num_rows
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sids), pa.array(sizes), pa.nulls(batch.num_rows, pa.int64()), pa.nulls(batch.num_rows, pa.int64())],
-            schema=schema,
+            [batch.column(0), pa.array(sids), pa.array(sizes), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=_SETS
         )
-    kept_v, kept_n = _add_counts(kept_v, kept_n, *fold())
-    repeated = kept_n > 1
-    v, n = kept_v[repeated].view(np.int64), kept_n[repeated]
-    for i in range(0, len(v), 100_000):
-        k = len(v[i : i + 100_000])
-        none = pa.nulls(k, pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, pa.array(v[i : i + k]), pa.array(n[i : i + k])], schema=schema)
+    yield counts()
 
 
-def _add_counts(v, n, more_v, more_n):
-    if not len(more_v):
-        return v, n
-    if not len(v):
-        return more_v, more_n
-    values, at = np.unique(np.concatenate([v, more_v]), return_inverse=True)
-    return values, np.bincount(at, np.concatenate([n, more_n]), len(values)).astype(np.int64)
+def _frequent(table: pa.Table) -> pa.Table:
+    """(code, n) of the codes of one range that occur FREQUENT times or more."""
+    codes, n = np.unique(np.concatenate([_unpacked(b) for b in table["codes"].to_pylist()]), return_counts=True)
+    often = n >= FREQUENT
+    return pa.table({"code": pa.array(codes[often].astype(np.int64)), "n": pa.array(n[often])})
 
 
-def order_levels(repeated: DataFrame) -> np.ndarray:
-    """Rounded logarithm of each slot's largest shingle count; 0 for shingles seen once.
+def order_levels(packed: DataFrame) -> np.ndarray:
+    """Logarithm of each slot's largest shingle count over all documents; 0 for the rest.
 
-    Of fixed size (one byte for each of ORDER_SLOTS), so it may go to every task. Any
-    content keeps the join exact: it only ranks shingles.
+    The table has a fixed size (a byte for each of ORDER_SLOTS), so it may go to every task.
+    It starts at the lowest power of two that leaves it seven eighths empty. Any content keeps
+    the join exact: it only ranks shingles.
     """
-    level = F.floor(F.log2(F.max("n"))).cast("int")
-    table = (
-        repeated.groupBy("shingle").agg(F.sum("n").alias("n"))
-        .groupBy(F.pmod("shingle", F.lit(ORDER_SLOTS)).cast("int").alias("slot")).agg(level.alias("level"))
-        .toArrow()
-    )
+    counted = packed.groupBy("part").applyInArrow(_frequent, "code long, n long")
+    counted = counted.select(F.pmod("code", F.lit(ORDER_SLOTS)).cast("int").alias("slot"), F.floor(F.log2("n")).cast("int").alias("level"))
+    slots = counted.groupBy("slot").agg(F.max("level").alias("level")).persist(StorageLevel.DISK_ONLY)
+    least, room = 1, ORDER_SLOTS // 8
+    for level, n in sorted(slots.groupBy("level").count().collect(), reverse=True):
+        if n > room:
+            least = level + 1
+            break
+        room -= n
+    table = slots.filter(F.col("level") >= least).toArrow()
+    slots.unpersist()
     levels = np.zeros(ORDER_SLOTS, np.uint8)
     levels[table["slot"].to_numpy()] = table["level"].to_numpy()
     return levels
@@ -157,7 +174,7 @@ def _postings(levels_of, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
                 if own in seen:
                     continue
                 seen.add(own)
-                level = levels[(values & U(ORDER_SLOTS - 1)).astype(np.int64)]
+                level = levels[(values >> U(32) & U(ORDER_SLOTS - 1)).astype(np.int64)]
                 order = np.argsort(level, kind="stable")
                 m = choose_matches(level[order], n)
                 length = min(n, max(n - least_overlap(n) + m, n - least_overlap_as_shorter(n) + MAX_MATCHES))
@@ -170,47 +187,129 @@ def _postings(levels_of, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (token, sid, size, pos, matches)], schema=schema)
 
 
+def parity_bits(values: np.ndarray) -> np.ndarray:
+    """Parity of how many shingles fall on each of about four to eight bits per shingle.
+
+    Two sets differ in at least as many shingles as their bits do. The bits of a table of
+    half the size are the two halves' exclusive or.
+    """
+    size = max(64, 1 << int(4 * len(values) - 1).bit_length())
+    odd = np.bincount((values & U(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def _lists(rows: list[np.ndarray]) -> pa.ListArray:
+    ends = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows)))
+
+
 def _arrays(wanted_of, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(set, shingles) of the sets whose bit is on, once per split."""
-    schema = pa.schema([("sid", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+    """(set, shingles, parity bits) of the documents whose bit is on and of those without an id."""
     bits = wanted_of.value
-    seen: set[int] = set()
     for batch in batches:
-        for piece in pieces(batch.column(0)):
-            sids, rows = [], []
-            for _, values in shingles(piece):
-                if not len(values):
-                    continue
-                values = np.unique(values)
-                own = _set_id(values)
-                if bits[int(own.view(U)) & (len(bits) - 1)] and int(own) not in seen:
-                    seen.add(int(own))
-                    sids.append(int(own))
-                    rows.append(values.view(np.int64))
-            if sids:
-                ends = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(sids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows)))], schema=schema
-                )
-
-
-def _slots(sids: DataFrame, slots: int = 1 << 22) -> np.ndarray:
-    """A bit per slot, on for the sets given: a filter of fixed size ahead of an exact join."""
-    slot = F.pmod("sid", F.lit(slots)).cast("int")
-    words = sids.groupBy((slot.bitwiseAND(slots - 64)).alias("first")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(sid, {slots}) % 64 as int))")).alias("bits")
+        ids = batch.column(0)
+        on = bits[(ids.fill_null(0).to_numpy().view(np.uint64) & U(len(bits) - 1)).astype(np.int64)]
+        batch = batch.filter(pa.array(on | ids.is_null().to_numpy(zero_copy_only=False)))
+        for piece in pieces(batch.column(1)):
+            rows = [np.unique(values) for _, values in shingles(piece) if len(values)]
+            if rows:
+                columns = [pa.array([_set_id(r) for r in rows], pa.int64()), _lists([r.view(np.int64) for r in rows]), _lists([parity_bits(r) for r in rows])]
+                yield pa.RecordBatch.from_arrays(columns, names=["sid", "shingles", "parity"])
+
+
+def _slots(ids: DataFrame, slots: int = 1 << 22) -> np.ndarray:
+    """A bit per slot, on for the ids given: a filter of fixed size ahead of an exact join."""
+    slot = F.pmod("id", F.lit(slots)).cast("int")
+    words = ids.groupBy((slot.bitwiseAND(slots - 64)).alias("first")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(id, {slots}) % 64 as int))")).alias("bits")
     ).toArrow()
     table = np.zeros(slots // 64, np.uint64)
     table[words["first"].to_numpy() // 64] = words["bits"].to_numpy().view(np.uint64)
     return np.unpackbits(table.view(np.uint8), bitorder="little").view(bool)
 
 
+def _read_sets(sids: DataFrame, texts: DataFrame, rows: DataFrame, path: str) -> DataFrame:
+    """(set, shingles, parity bits) of the sets asked for, read again from one document of each.
+
+    All other texts are passed over by a filter of fixed size; the join is exact.
+    """
+    wanted = rows.groupBy("sid").agg(F.min("doc_id").alias("id")).join(sids, "sid").filter("id IS NOT NULL")
+    bits = sids.sparkSession.sparkContext.broadcast(_slots(wanted.select("id")))
+    found = texts.mapInArrow(lambda b: _arrays(bits, b), "sid long, shingles array<long>, parity array<long>").join(sids, "sid", "left_semi")
+    return scratch.stored(found.dropDuplicates(["sid"]), path)
+
+
+def _folded(bits: str, other: str) -> str:
+    """SQL for ``bits`` at the size of ``other``, if that is half of its own."""
+    half = f"cast(size({bits}) / 2 as int)"
+    return (
+        f"CASE WHEN size({bits}) > size({other}) THEN "
+        f"zip_with(slice({bits}, 1, {half}), slice({bits}, {half} + 1, {half}), (x, y) -> x ^ y) ELSE {bits} END"
+    )
+
+
 def _verified(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity."""
+    """The pairs (a, b) whose sets reach the similarity; sizes must allow it.
+
+    A pair links if its sets differ in at most a seventh of their summed sizes. Parity bits
+    are sent first: they show at least part of the difference and cost a sixteenth of the
+    shingles. Only pairs they cannot rule out are compared shingle by shingle.
+    """
+    brief = arrays.select("sid", "parity", F.size("shingles").alias("size"))
+    left, right = (brief.select(F.col("sid").alias(x), F.col("parity").alias(f"{x}_bits"), F.col("size").alias(f"{x}_size")) for x in "ab")
+    differ = F.expr(f"aggregate(zip_with({_folded('a_bits', 'b_bits')}, {_folded('b_bits', 'a_bits')}, (x, y) -> bit_count(x ^ y)), 0, (n, x) -> n + x)")
+    open_ = pairs.join(left, "a").join(right, "b").filter(7 * differ <= F.col("a_size") + F.col("b_size")).select("a", "b")
     left, right = (arrays.select(F.col("sid").alias(x), F.col("shingles").alias(f"{x}_set")) for x in "ab")
     both = F.size(F.array_intersect("a_set", "b_set")).cast("long")
     total = F.size("a_set") + F.size("b_set")
-    return pairs.join(left, "a").join(right, "b").filter(100 * both >= 75 * (total - both)).select("a", "b")
+    return open_.join(left, "a").join(right, "b").filter(100 * both >= 75 * (total - both)).select("a", "b")
+
+
+def _central(met: DataFrame) -> DataFrame:
+    """(sid, size, component, weight): weight is the mean logarithm of how many sets hold a prefix shingle of the set."""
+    held = met.groupBy("token").agg(F.log2(F.count("*")).alias("held"))
+    return met.join(held, "token").groupBy("sid").agg(
+        F.max("size").cast("long").alias("size"), (F.sum("held") / F.max("size")).alias("weight")
+    ).select("sid", "size", F.col("sid").alias("component"), "weight")
+
+
+def _hub_pairs(met: DataFrame, parts: DataFrame, turn: int) -> DataFrame:
+    """(a, b): for each component its best pairs with hubs elsewhere.
+
+    A shingle has two hubs: the set of most weight, which is near the middle of its group,
+    and one by the hash of the turn; weights waver by turn, so that other middles come up. A pair
+    counts if it shares a quarter of a prefix at least and the sizes allow a link.
+    """
+    draw = lambda salt: F.pmod(F.xxhash64("sid", F.lit(2 * turn + salt)), F.lit(1 << 20)) / (1 << 20)
+    own = parts.withColumns({"h": F.col("weight") * (1 - (0.3 if turn else 0.0) * draw(0)), "r": draw(1)})
+    now = met.select("token", "sid").join(own.select("sid", "size", "component", "h", "r"), "sid")
+    ends = now.groupBy("token").agg(
+        F.max_by("sid", "h").alias("middle"), F.max_by("sid", "r").alias("other"), F.min("component").alias("c0"), F.max("component").alias("c1")
+    ).filter("c0 < c1").select("token", "middle", "other")
+    shared = now.join(ends, "token").select("sid", "size", "component", F.posexplode(F.array("middle", "other")).alias("side", "b"))
+    shared = shared.groupBy("sid", "size", "component", "side", "b").agg(F.count("*").alias("n"))
+    hubs = own.select(F.col("sid").alias("b"), F.col("size").alias("b_size"), F.col("component").alias("b_component"))
+    fit = shared.filter("16 * n >= size").join(hubs, "b").filter("component <> b_component AND 4 * least(size, b_size) >= 3 * greatest(size, b_size)")
+    best = fit.groupBy("component", "side").agg(F.max(F.struct(F.col("n") / F.col("size"), "sid", "b")).alias("x"))
+    return best.select(F.col("x.sid").alias("a"), F.col("x.b").alias("b")).distinct()
+
+
+def _meetings(met: DataFrame, parts: DataFrame) -> int:
+    """Pairs of sets from different components that meet on a shingle, counted by shingle."""
+    now = met.join(parts.select("sid", "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+    each = now.groupBy("token", "component").agg(F.count("*").alias("n")).groupBy("token").agg(
+        ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"))
+    return int(each.agg(F.sum("pairs")).first()[0] or 0)
+
+
+def _merged(parts: DataFrame, links: DataFrame, work: str) -> DataFrame:
+    """Components after further links between them."""
+    name = parts.select("sid", "component")
+    joined = links.join(name.select(F.col("sid").alias("a"), F.col("component").alias("ca")), "a").join(
+        name.select(F.col("sid").alias("b"), F.col("component").alias("cb")), "b")
+    moves = components(joined.select(F.col("ca").alias("a"), F.col("cb").alias("b")), work)
+    moves = moves.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    return parts.join(moves, "component", "left").withColumn("component", F.coalesce("to", "component")).select(*parts.columns)
 
 
 def shingle_components(docs: DataFrame, work: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -224,10 +323,11 @@ def shingle_components(docs: DataFrame, work: str, id_col: str = "doc_id", text_
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = "doc_id long, sid long, size long, shingle long, n long"
-    found = scratch.stored(texts.mapInArrow(_sets, schema), f"{work}/sets")
-    rows = found.filter("shingle is null").select("doc_id", "sid", "size")
-    levels = spark.sparkContext.broadcast(order_levels(found.filter("shingle is not null").select("shingle", "n")))
+    part_bits = max(6, int(spark.conf.get("spark.sql.shuffle.partitions")).bit_length())
+    schema = "doc_id long, sid long, size long, part int, codes binary"
+    found = scratch.stored(texts.mapInArrow(lambda b: _sets(part_bits, b), schema), f"{work}/sets")
+    rows = found.filter("part IS NULL").select("doc_id", "sid", "size")
+    levels = spark.sparkContext.broadcast(order_levels(found.filter("part IS NOT NULL").select("part", "codes")))
 
     # Prefixes meet by shingle in one exchange; only those of two sets or more are stored.
     # The aggregate names every column, so that both branches use the same exchange.
@@ -241,38 +341,44 @@ def shingle_components(docs: DataFrame, work: str, id_col: str = "doc_id", text_
         postings.join(shared.select("token", "hub"), "token").dropDuplicates(["token", "sid"]), f"{work}/met"
     )
 
-    bits = spark.sparkContext.broadcast(_slots(met.select("sid").distinct()))
-    arrays = scratch.stored(
-        texts.select("text").mapInArrow(lambda b: _arrays(bits, b), "sid long, shingles array<long>").dropDuplicates(["sid"]),
-        f"{work}/arrays",
-    )
-
-    # First round: one comparison per set, with the hub that shares most of its prefix.
-    star = (
-        met.filter("sid <> hub").groupBy("sid", "hub").agg(F.count("*").alias("n"))
-        .groupBy("sid").agg(F.max(F.struct("n", "hub")).alias("best")).select(F.col("sid").alias("a"), F.col("best.hub").alias("b"))
-    )
-    links = scratch.stored(_verified(star, arrays), f"{work}/star")
-    first = components(links, f"{work}/first")
-
-    # Second round: prefixes of sets that are still apart.
-    apart = met.join(first.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
-    apart = apart.drop("hub")
+    # Sets that share much with a hub grow together in rounds.
+    sizes = scratch.stored(_central(met), f"{work}/central")
+    suspects = _hub_pairs(met, sizes, 0).select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+    parts = scratch.stored(sizes.join(suspects, "sid"), f"{work}/parts")
+    arrays = _read_sets(parts.select("sid"), texts, rows, f"{work}/arrays")
+    near = scratch.stored(met.select("token", "sid").join(parts.select("sid"), "sid"), f"{work}/near")
+    links, turn, met_rows = None, 0, met.count()
+    while True:
+        pairs = scratch.stored(_hub_pairs(near, parts, turn), f"{work}/pairs-{turn}")
+        found = scratch.stored(_verified(pairs, arrays), f"{work}/links-{turn}")
+        links = found if links is None else links.union(found)
+        tried, good = pairs.count(), found.count()
+        if good:
+            parts = scratch.stored(_merged(parts, found, f"{work}/merge-{turn}"), f"{work}/parts-{turn}")
+        if 50 * good < tried or not good or _meetings(met, parts) <= MEETINGS * met_rows:
+            break
+        turn += 1
+
+    # Prefixes of sets that are still apart.
+    apart = met.drop("hub").join(parts.select("sid", "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     mixed = apart.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
     apart = scratch.stored(apart.join(mixed.select("token"), "token"), f"{work}/apart")
-    groups = apart.select("token", "component").distinct()
-    meet = groups.join(groups.withColumnRenamed("component", "other"), "token").filter("component <> other")
-    probe = apart.select("token", "component", *[F.col(c).alias(f"r_{c}") for c in ("sid", "size", "pos", "matches")])
-    index = apart.select("token", F.col("component").alias("other"), *[F.col(c).alias(f"s_{c}") for c in ("sid", "size", "pos")])
+    probe = apart.filter("pos < size - ceil(3 * size / 4) + matches").select(
+        "token", "component", *[F.col(c).alias(f"r_{c}") for c in ("sid", "size", "matches")])
+    index = apart.filter(f"pos < size - ceil(6 * size / 7) + {MAX_MATCHES}").select(
+        "token", F.col("component").alias("other"), *[F.col(c).alias(f"s_{c}") for c in ("sid", "size")],
+        F.expr("pos - size + ceil(6 * size / 7)").alias("beyond"))
+    # Components that meet on a shingle first, then their sets: no set is paired within its component.
+    meet = probe.select("token", "component").distinct().join(index.select("token", "other").distinct(), "token").filter("component <> other")
     pairs = (
         meet.join(probe, ["token", "component"]).join(index, ["token", "other"])
-        .filter("(s_size < r_size OR (s_size = r_size AND s_sid < r_sid)) AND 4 * s_size >= 3 * r_size")
-        .filter("r_pos < r_size - ceil(3 * r_size / 4) + r_matches AND s_pos < s_size - ceil(6 * s_size / 7) + r_matches")
-        .groupBy(F.col("r_sid").alias("a"), F.col("s_sid").alias("b")).agg(F.count("*").alias("n"), F.first("r_matches").alias("need"))
-        .filter("n >= need").select("a", "b")
+        .filter("(s_size < r_size OR (s_size = r_size AND s_sid < r_sid)) AND 4 * s_size >= 3 * r_size AND beyond < r_matches")
+        .groupBy(F.col("r_sid").alias("a"), F.col("s_sid").alias("b"), "r_matches").agg(F.count("*").alias("matched"))
+        .filter("matched >= r_matches").select("a", "b")
     )
-    more = _verified(pairs, arrays)
-    all_links = scratch.stored(links.union(more), f"{work}/links")
+    pairs = scratch.stored(pairs, f"{work}/pairs")
+    rest = _read_sets(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), texts, rows, f"{work}/more-arrays")
+    all_links = scratch.stored(links.union(_verified(pairs, rest)), f"{work}/links")
     whole = components(all_links, f"{work}/whole")
 
     # Names: the smallest id of each set, then of each component; sets alone keep their own.
