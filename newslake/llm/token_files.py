@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 import zlib
@@ -19,8 +20,9 @@ from newslake.llm.wavelet import WaveletMatrix, from_bytes, to_bytes
 from newslake.llm.words import cut, text_buffers
 
 SHARD_TOKENS = 2_000_000
-PIECE_BYTES = 4 << 20
-_CACHE = 500_000
+SHARDS_PER_TASK = 4
+PIECE_BYTES = 6 << 20
+_CACHE = 600_000
 _SHARD = pa.schema([("part", pa.int32()), ("path", pa.string()), ("start", pa.int64()), ("tokens", pa.int64()), ("docs", pa.int64())])
 
 
@@ -33,7 +35,7 @@ class ChunkEncoder:
     """Encodes texts through their distinct chunks.
 
     Chunks end where the byte-level pre-tokenizer always ends a piece: before a blank
-    or line break that follows a visible character, and between an ASCII letter and an
+    or line break that follows a visible character, and between a Latin letter and a visible
     ASCII character that is none. A chunk's ids therefore do not depend on what stands
     around it, and each distinct chunk goes through the tokenizer once. The memory of
     past chunks starts anew at ``_CACHE`` entries.
@@ -41,24 +43,41 @@ class ChunkEncoder:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        # A chunk of letters alone, with a blank at most before them, is one piece: no pattern need run.
+        self.bare, self.full = ByteLevel(add_prefix_space=False, use_regex=False), self.tokenizer.pre_tokenizer
+        self.one_piece = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
+        # In the byte-level alphabet a token has one character per byte.
+        vocabulary = self.tokenizer.get_vocab()
+        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.bytes_of[i] = len(token)
         self._forget()
 
     def _forget(self):
         self.place, self.lengths, self.begins, self.pool = {}, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     def _learn(self, chunks: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(lengths.sum()))
-        begins = len(self.pool) + np.cumsum(lengths) - lengths
-        for chunk in chunks:
-            self.place[chunk] = len(self.place)
-        self.pool = np.concatenate([self.pool, flat])
-        self.lengths, self.begins = np.concatenate([self.lengths, lengths]), np.concatenate([self.begins, begins])
+        """Encode new chunks, a thousand to a call; byte lengths tell which ids are whose."""
+        whole = [self.one_piece(c) is not None for c in chunks]
+        bare, rest = list(itertools.compress(chunks, whole)), [c for c, w in zip(chunks, whole) if not w]
+        for way, own in ((self.bare, bare), (self.full, rest)):
+            if not own:
+                continue
+            self.tokenizer.pre_tokenizer = way
+            calls = [own[i : i + 1000] for i in range(0, len(own), 1000)]
+            found = self.tokenizer.encode_batch_fast(calls, is_pretokenized=True, add_special_tokens=False)
+            flat = np.concatenate([np.array(e.ids, np.uint32) for e in found])
+            upto = np.cumsum([len(c.encode()) for c in own])
+            ends = np.searchsorted(np.cumsum(self.bytes_of[flat]), upto) + 1
+            lengths = np.diff(ends, prepend=0)
+            self.place.update(zip(own, range(len(self.place), len(self.place) + len(own))))
+            self.begins = np.concatenate([self.begins, len(self.pool) + ends - lengths])
+            self.lengths, self.pool = np.concatenate([self.lengths, lengths]), np.concatenate([self.pool, flat])
 
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the documents in a row, and how many each has."""
@@ -89,7 +108,9 @@ def chunk_starts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     if len(raw) > 1:
         before, now = raw[:-1], raw[1:]
         letter = ((raw | 32) >= 97) & ((raw | 32) <= 122)
-        visible = (before > 32) & (before < 127)
+        # The second byte of a Latin letter with a mark; the two signs among them are none.
+        letter[1:] |= (before == 0xC3) & (now != 0x97) & (now != 0xB7)
+        visible = (before > 32) & (before < 127) | letter[:-1]
         # Bytes of other scripts count as visible only where no wide blank occurs.
         wide = (before == 0xC2) & ((now == 0x85) | (now == 0xA0)) | (before == 0xE1) & (now == 0x9A)
         wide |= (before == 0xE2) & ((now == 0x80) | (now == 0x81)) | (before == 0xE3) & (now == 0x80)
@@ -161,7 +182,9 @@ def write_tokens(
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     tie = F.xxhash64("text")
-    ordered = rows.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie)
+    # Tasks of twice the usual size: the longer a task's text, the more of its chunks it has seen.
+    tasks = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 2)
+    ordered = rows.repartitionByRange(tasks, "doc_id", tie).sortWithinPartitions("doc_id", tie)
     shards = ordered.mapInArrow(
         lambda b: _write_shards(root, tokenizer, end_id, levels, shard_tokens, b),
         "part int, path string, start long, tokens long, docs long",
@@ -189,5 +212,7 @@ def _read_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_digests(shards: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, from the files alone."""
-    paths = shards.select("path", "first").repartition("path")
+    paths = shards.select("path", "first")
+    # A number of its own, as these few narrow rows would be put into one task.
+    paths = paths.repartition(max(1, -(-paths.count() // SHARDS_PER_TASK)), "path")
     return paths.mapInArrow(_read_shards, "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -33,6 +33,8 @@ class WaveletMatrix:
             raise ValueError(f"an id needs more than {levels} bits")
         planes, zeros = [], []
         for k in range(levels - 1, -1, -1):
+            if k == 7:
+                now = now.astype(np.uint8)  # the higher bits are stored
             bit = (now >> k).astype(np.uint8) & 1
             planes.append(np.packbits(bit, bitorder="little"))
             one = bit.view(bool)
@@ -47,8 +49,10 @@ class WaveletMatrix:
 
     def decode(self) -> np.ndarray:
         """The whole sequence, from the last plane up."""
-        now = np.zeros(self.n, np.uint16 if self.levels <= 16 else np.uint32)
+        now = np.zeros(self.n, np.uint8)
         for k, (plane, zeros) in enumerate(zip(reversed(self.planes), reversed(self.zeros))):
+            if k == 8:
+                now = now.astype(np.uint16 if self.levels <= 16 else np.uint32)
             one = np.unpackbits(plane, count=self.n, bitorder="little").view(bool)
             up = np.empty_like(now)
             up[~one] = now[:zeros]
