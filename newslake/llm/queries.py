@@ -31,7 +31,7 @@ def token_shards(docs: DataFrame, root: str) -> DataFrame:
 def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     """Toxicity of every document, and its offending sentences as byte spans."""
     docs = _read(spark, sf, "documents")
-    model = toxicity.train(docs, _read(spark, sf, "labels"))
+    model = toxicity.train(docs, _read(spark, sf, "labels"), scratch.run_dir(spark, "toxicity"))
     rows = toxicity.scored(docs.select("doc_id", "text"), model)
     score = F.col("toxicity.score")
     return rows.select("doc_id", held_out().alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"), F.col("toxicity.spans").alias("spans"))

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newslake import scratch
 from newslake.llm.ngrams import labelled_sample
 from newslake.llm.words import U, cut, mix, text_buffers
 
@@ -108,28 +109,34 @@ def noisy_or(margins: np.ndarray, doc_of: np.ndarray, docs: int) -> np.ndarray:
     return -np.bincount(doc_of, np.logaddexp(0, margins), docs)
 
 
-def fit(sentence: np.ndarray, slot: np.ndarray, doc_of: np.ndarray, y: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
+def evidence(slot: np.ndarray, ones: np.ndarray, both: np.ndarray, toxic: int, clean: int) -> tuple[np.ndarray, np.ndarray]:
+    """Slots that take part, and their first weights, from how many documents have them.
+
+    A slot needs five documents and a log ratio between the classes LEAST_Z standard errors from
+    zero: rare pieces that fall into one class by chance would only be learnt by heart.
+    """
+    ratio = np.log((ones + 0.5) / (toxic + 1)) - np.log((both - ones + 0.5) / (clean + 1))
+    spread = np.sqrt(1 / (ones + 0.5) + 1 / (both - ones + 0.5))
+    use = (both >= 5) & (np.abs(ratio) >= LEAST_Z * spread)
+    weights = np.zeros(_SLOTS)
+    weights[slot[use]] = np.clip(ratio[use], -3, 3)
+    mask = np.zeros(_SLOTS, bool)
+    mask[slot[use]] = True
+    return mask, weights
+
+
+def fit(sentence: np.ndarray, slot: np.ndarray, doc_of: np.ndarray, y: np.ndarray, weights: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
     """Weights and bias by gradient steps of adaptive length on the noisy-or likelihood.
 
-    Only slots seen in five documents, whose log ratio is LEAST_Z standard errors from zero, take part. They start at their log ratio between toxic
-    and clean documents, shrunk toward zero, and decay gently. Both classes weigh the same.
+    ``doc_of`` has an entry for every sentence, also for those without a slot that takes part.
+    Weights decay gently; both classes weigh the same. One class alone gives a constant.
     """
     docs, n = len(y), len(doc_of)
-    weights, bias = np.zeros(_SLOTS), -6.0
+    bias = -6.0
     if not docs or y.min() == y.max():
-        return weights, (-20.0 if not docs or not y.max() else 5.0)
-    pairs = np.unique(doc_of[sentence] * _SLOTS + slot)
-    in_doc, of = pairs // _SLOTS, pairs % _SLOTS
-    ones = np.bincount(of[y[in_doc] == 1], minlength=_SLOTS)
-    both = np.bincount(of, minlength=_SLOTS)
+        return np.zeros(_SLOTS), (5.0 if docs and y.max() else -20.0)
+    weights = weights.copy()
     toxic, clean = (y == 1).sum(), (y == 0).sum()
-    ratio = np.log((ones + 0.5) / (toxic + 1)) - np.log((both - ones + 0.5) / (clean + 1))
-    # Evidence must stand out: rare pieces by chance in one class would only be learnt by heart.
-    spread = np.sqrt(1 / (ones + 0.5) + 1 / (both - ones + 0.5))
-    use = (both >= 5) & (np.abs(ratio) >= LEAST_Z * spread)
-    weights[use] = np.clip(ratio[use], -3, 3)
-    kept = use[slot]
-    sentence, slot = sentence[kept], slot[kept]
     balance = np.where(y == 1, docs / (2 * toxic), docs / (2 * clean))
     g2, b2 = np.full(_SLOTS, 1e-8), 1e-8
     for _ in range(rounds):
@@ -142,33 +149,55 @@ def fit(sentence: np.ndarray, slot: np.ndarray, doc_of: np.ndarray, y: np.ndarra
         g = np.bincount(slot, push[sentence], _SLOTS) - 1e-5 * weights
         gb = push.sum()
         g2, b2 = 0.9 * g2 + g * g, 0.9 * b2 + gb * gb
-        weights += np.where(use, 0.15 * g / np.sqrt(g2 + 1e-12), 0)
+        weights += np.where(weights != 0, 0.15 * g / np.sqrt(g2 + 1e-12), 0)
         bias += 0.15 * gb / np.sqrt(b2)
     return weights, float(bias)
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = MAX_TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, float]:
-    """Fit on at most ``max_rows`` labelled rows outside the held-out fold."""
-    sample = labelled_sample(docs, labels, label, max_rows, id_col, text_col)
+def train(
+    docs: DataFrame, labels: DataFrame, work: str, label: str = "toxic", max_rows: int = MAX_TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text"
+) -> tuple[np.ndarray, float]:
+    """Fit on at most ``max_rows`` labelled rows outside the held-out fold.
+
+    Word pieces are counted in Spark first; only those that take part reach the driver.
+    """
+    sample = scratch.stored(labelled_sample(docs, labels, label, max_rows, id_col, text_col), f"{work}/sample")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            y = batch.column(2).to_numpy()
+            for part in sentences(batch.column(1)):
+                pairs = np.unique(part.doc_of[part.sentence] * _SLOTS + part.slot)
+                slot, of = np.unique(pairs % _SLOTS, return_inverse=True)
+                ones = np.bincount(of, y[part.first + pairs // _SLOTS], len(slot)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(ones), pa.array(np.bincount(of, minlength=len(slot)))], names=["slot", "ones", "n"])
+
+    counted = sample.select("doc_id", "text", "y").mapInArrow(count, "slot long, ones long, n long")
+    counted = counted.groupBy("slot").agg(F.sum("ones").alias("ones"), F.sum("n").alias("n")).toArrow()
+    total = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
+    mask, weights = evidence(*[counted[c].to_numpy() for c in ("slot", "ones", "n")], total.get(1, 0), total.get(0, 0))
+    shared = docs.sparkSession.sparkContext.broadcast(mask)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in sentences(batch.column(1)):
                 own = batch.slice(part.first, part.docs)
                 places = np.searchsorted(part.doc_of, np.arange(part.docs + 1))
-                entries = np.searchsorted(part.sentence, places).astype(np.int32)
-                local = part.sentence - places[part.doc_of[part.sentence]]
-                lists = [pa.ListArray.from_arrays(pa.array(entries), pa.array(x.astype(np.int32))) for x in (local, part.slot)]
-                yield pa.RecordBatch.from_arrays([own.column(0), own.column(2), *lists], names=["doc_id", "y", "sentence", "slot"])
-
-    found = sample.mapInArrow(features, "doc_id long, y int, sentence array<int>, slot array<int>")
-    found = found.dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
+                on = shared.value[part.slot]
+                sentence, slot = part.sentence[on], part.slot[on]
+                entries = np.searchsorted(sentence, places).astype(np.int32)
+                local = sentence - places[part.doc_of[sentence]]
+                lists = [pa.ListArray.from_arrays(pa.array(entries), pa.array(x.astype(np.int32))) for x in (local, slot)]
+                columns = [own.column(0), own.column(2), pa.array(np.diff(places).astype(np.int32)), *lists]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "y", "sentences", "sentence", "slot"])
+
+    found = sample.select("doc_id", "text", "y").mapInArrow(features, "doc_id long, y int, sentences int, sentence array<int>, slot array<int>")
+    found = found.toArrow().sort_by("doc_id")
+    sizes = found["sentences"].to_numpy().astype(np.int64)
     local, slot = found["sentence"].combine_chunks(), found["slot"].combine_chunks()
-    doc = np.repeat(np.arange(len(found)), np.diff(local.offsets.to_numpy()))
-    local, slot = local.flatten().to_numpy(), slot.flatten().to_numpy()
-    many = (int(local.max()) if len(local) else 0) + 1
-    used, sentence = np.unique(doc * many + local, return_inverse=True)
-    return fit(sentence, slot.astype(np.int64), used // many, found["y"].to_numpy())
+    first = np.repeat(np.cumsum(sizes) - sizes, np.diff(local.offsets.to_numpy()))
+    sentence = first + local.flatten().to_numpy()
+    return fit(sentence, slot.flatten().to_numpy().astype(np.int64), np.repeat(np.arange(len(found)), sizes), found["y"].to_numpy(), weights)
 
 
 def scored(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float = 0.5, name: str = "toxicity", text_col: str = "text") -> DataFrame:
