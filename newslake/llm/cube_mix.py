@@ -122,12 +122,11 @@ def _fly_block(rows: pd.DataFrame, last: bool) -> pd.DataFrame:
     """Flight over one block, largest documents first so that small ones stay open."""
     rows = rows.sort_values(["size", "key"], ascending=[False, True], kind="stable", ignore_index=True)
     size, p = rows["size"].to_numpy(float), rows["p"].to_numpy(float)
-    # The last block keeps a few documents back, at doubling ranks of size, so that subsets
-    # of them can make up for a large open one.
+    # A few documents at doubling ranks of size are kept back in every block, so that the last
+    # one has small and large ones to make up for those that the flight leaves open.
+    ranks = (1 << np.arange(_LEAVE)) - 1
     moving = np.ones(len(p), bool)
-    if last:
-        ranks = (1 << np.arange(_LEAVE)) - 1
-        moving[ranks[ranks < len(p)]] = False
+    moving[ranks[ranks < len(p)]] = False
     p[moving] = flight(p[moving], np.column_stack([np.ones(moving.sum()), size[moving]]))
     rows["p"] = landing(p, size) if last else p
     return rows
