@@ -44,7 +44,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: in
     The rows with the smallest hashes of their ids, so the choice does not hang on the
     layout of the table. Labels other than 0 and 1 are left out; a document labelled
     both ways takes the more frequent label, 1 if even. The chosen ids are bounded by
-    ``max_rows`` and are sent to the scan, which shuffles no text of other rows.
+    ``max_rows`` and are sent to the scan, which shuffles no text of other rows. Of several
+    texts under one id the smallest is taken.
     """
     key = F.col(id_col).cast("long")
     chosen = (
@@ -53,4 +54,5 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: in
         .orderBy(F.xxhash64("_id"), "_id").limit(max_rows)
     )
     texts = docs.select(key.alias("_id"), F.col(text_col).cast("string").alias("text"))
-    return texts.join(F.broadcast(chosen), "_id").select(F.col("_id").alias("doc_id"), "text", "y")
+    found = texts.join(F.broadcast(chosen), "_id").groupBy("_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.max("y").alias("y"))
+    return found.select(F.col("_id").alias("doc_id"), "text", "y")

@@ -135,7 +135,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows:
                 own = batch.slice(first, last)
                 yield pa.RecordBatch.from_arrays([own.column(0), own.column(2), lists], names=["doc_id", "y", "slots"])
 
-    found = sample.mapInArrow(features, "doc_id long, y int, slots array<int>").dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
+    found = sample.mapInArrow(features, "doc_id long, y int, slots array<int>").toArrow().sort_by("doc_id")
     lists = found["slots"].combine_chunks()
     flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
     rows = [flat[a:b].astype(np.int64) for a, b in zip(ends[:-1], ends[1:])]
