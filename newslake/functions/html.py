@@ -22,7 +22,7 @@ _NOISE = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*>|\z)"
 # The inside of a tag; quoted values may hold '>'.
 _INSIDE = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 _ANY_TAG = rf"(?s)</?[a-zA-Z!]{_INSIDE}>"
-_ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+_ENTITY = r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 
 # References to these are left for ``text_of`` and ``attribute``, so that decoding
 # a page creates no markup.
@@ -34,8 +34,11 @@ _NAMED = json.dumps(
 
 
 def _code_point(name: Column) -> Column:
-    hexadecimal = F.conv(F.substring(name, 3, 10), 16, 10).try_cast("long")
-    decimal = F.substring(name, 2, 10).try_cast("long")
+    # Leading zeros say nothing; what is still too long is no character.
+    digits = F.regexp_replace(name, "^#[xX]?0*(?=.)", "")
+    digits = F.when(F.length(digits) > 8, "99999999").otherwise(digits)
+    hexadecimal = F.conv(digits, 16, 10).try_cast("long")
+    decimal = digits.try_cast("long")
     return F.when(name.rlike("^#[xX]"), hexadecimal).otherwise(decimal)
 
 

@@ -309,6 +309,11 @@ SELECT window_start, key, count(*) AS n FROM s GROUP BY 1, 2""",
              {_clean("titre")} AS titre, doc_id FROM good),
 l AS (SELECT *, row_number() OVER (PARTITION BY object_id ORDER BY doc_id DESC) AS rn FROM o)
 SELECT object_id, url, src AS source, titre, doc_id AS "offset" FROM l WHERE rn = 1""",
+    "batch_dedup": _A
+    + f""", v AS (SELECT url, coalesce(nullif(trim(source), ''), 'inconnu') AS source FROM articles
+       WHERE url LIKE 'http%' AND coalesce(date_publication, '') <> '' AND {_clean("titre")} <> '' AND length({_clean("contenu")}) > 100),
+w AS (SELECT url, min(source) AS source FROM v GROUP BY 1)
+SELECT source, count(*) AS n, count(*) AS urls FROM w GROUP BY 1""",
     "stream_dead_letters": _A
     + """, b AS (SELECT CASE doc_id % 100 WHEN 11 THEN 'value is not JSON' ELSE 'missing/invalid article' END AS error
       FROM articles WHERE doc_id % 100 IN (11, 61))
@@ -322,9 +327,9 @@ SELECT 'deserialize_or_validate' AS stage, error, count(*) AS n FROM b GROUP BY
         "AND window_start + INTERVAL 5 MINUTE <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM cleaned)",
     ),
     "warehouse_upsert": _A
-    + f""", x AS (SELECT {_THEME} AS theme, langue, categorie FROM articles),
-cur AS (SELECT theme, count(*) AS n FROM x WHERE langue = 'en' GROUP BY 1),
-inc AS (SELECT theme, count(*) AS n FROM x WHERE langue IN ('fr', 'de') AND categorie <> 'Sport' GROUP BY 1)
+    + f""", x AS (SELECT {_THEME} AS theme, doc_id FROM articles),
+cur AS (SELECT theme, count(*) AS n FROM x WHERE doc_id % 2 = 0 GROUP BY 1),
+inc AS (SELECT CASE WHEN theme = 'Sport' THEN 'Sports' ELSE theme END AS theme, count(*) AS n FROM x WHERE doc_id % 2 = 1 GROUP BY 1)
 SELECT coalesce(inc.theme, cur.theme) AS theme, coalesce(inc.n, cur.n) AS nb_articles
 FROM cur FULL JOIN inc ON cur.theme = inc.theme""",
     "chart_daily": _A + _per(_DAY, "date", "total"),
@@ -346,3 +351,4 @@ UNION ALL SELECT 'mots_cles', least(50, count(DISTINCT tok)) FROM kept
 UNION ALL SELECT 'top_sujets', least(50, count(*)) FROM pr""",
     "medallion_run": _RUN,
 }
+ORACLES["stream_resume"] = ORACLES["stream_speed_zone"]

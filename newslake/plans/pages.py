@@ -121,9 +121,9 @@ def _is_article_link(rule: SiteRule, link: Column, base_host: Column) -> Column:
 
 
 def extract_links(
-    pages: DataFrame, rules: tuple[SiteRule, ...] = SITE_RULES, n: int = 20
+    pages: DataFrame, rules: tuple[SiteRule, ...] = SITE_RULES, n: int | None = None
 ) -> DataFrame:
-    """Article links of listing pages: the first ``n`` distinct ones, in page order.
+    """Article links of listing pages, distinct and in page order; the first ``n`` where given.
 
     Everything happens inside the page's row, so there is no shuffle. Input
     columns beyond ``html`` are kept; ``pos`` counts from 0.
@@ -147,7 +147,7 @@ def extract_links(
         return is_http_url(link) & F.coalesce(chosen, F.lit(False))
 
     listing = listing.withColumn("links", F.array_distinct(F.filter("links", kept)))
-    first = F.slice("links", 1, n)
+    first = F.col("links") if n is None else F.slice("links", 1, n)
     rest = [c for c in pages.columns if c != "html"]
     return listing.select(*rest, F.posexplode(first).alias("pos", "link"))
 

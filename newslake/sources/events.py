@@ -70,14 +70,19 @@ def publish(events: DataFrame, format: str, options: dict[str, str]) -> dict[str
 def parse_events(records: DataFrame) -> DataFrame:
     """Add the decoded event and ``error``, null where the record is usable.
 
-    A value must be a JSON object that holds an object ``article``.
+    A value must be one JSON object that holds an object ``article``. The value is read as
+    the only element of a list: nothing may follow it, white space may surround it, repeated
+    members and non-finite numbers pass.
     """
-    object_text = F.coalesce(F.trim("value").startswith("{"), F.lit(False))
-    event = F.from_json("value", schemas.EVENT_TEXT)
-    with_event = records.withColumn("event", F.when(object_text, event))
+    listed = F.from_json(F.concat(F.lit("["), F.col("value"), F.lit("]")), "array<string>")
+    with_list = records.withColumn("listed", listed)
+    one = F.coalesce(F.size("listed") == 1, F.lit(False))
+    object_text = F.coalesce(F.ltrim("value", F.lit(" \t\r\n")).startswith("{"), F.lit(False))
+    event = F.from_json(F.get("listed", F.lit(0)), schemas.EVENT_TEXT)
+    with_event = with_list.withColumn("event", F.when(one & object_text, event))
     has_article = F.coalesce(F.col("event.article").startswith("{"), F.lit(False))
     error = (
-        F.when(F.try_parse_json("value").isNull(), "value is not JSON")
+        F.when(~one, "value is not JSON")
         .when(~object_text, "message value is not an object")
         .when(~has_article, "missing/invalid article")
     )

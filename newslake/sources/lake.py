@@ -173,7 +173,7 @@ def read_bronze(
     """
     lines = _lines(spark, root, f"{root}/{prefix}".rstrip("/"))
     e = lines.withColumn("e", F.from_json("value", schemas.ENVELOPE_TEXT)).select(
-        "source", "dt", "file", "e.ingested_at", "e.seq", "e.layer", "e.article", "e.articles"
+        "source", "dt", "file", "e.ingested_at", "e.seq", "e.layer", "e.article", "e.articles", F.sha1("value").alias("line_id")
     )
     is_batch = _is_list(F.col("articles"))
     is_single = ~is_batch & F.coalesce(F.col("layer") == "bronze", F.lit(False)) & _is_object(F.col("article"))
@@ -181,7 +181,8 @@ def read_bronze(
     # Objects written one per file are named by their path, others by content.
     path_key = F.nullif(F.regexp_extract("file", _OBJECT_PATH, 1), F.lit(""))
     url = trim_space(F.coalesce(F.get_json_object("article", "$.url"), F.lit("")))
-    batch_id = F.substring(F.sha1(F.concat_ws("|", "source", "ingested_at")), 1, 12)
+    # Batches of one source and stamp differ in their payload, which the line's hash covers.
+    batch_id = F.substring("line_id", 1, 12)
     content_key = F.when(
         is_batch, bronze_batch_key(F.col("source"), F.col("ingested_at"), batch_id)
     ).when(is_single, bronze_article_key(F.col("source"), F.col("dt"), url))
@@ -200,7 +201,13 @@ def read_bronze(
         ["ingested_at", "seq", "file"],
     )
     singles = singles.select("bronze_key", F.lit(0).alias("pos"), "dt", article.alias("a"))
-    batches = named.where(is_batch).select(
+    # A batch that was written twice counts once.
+    batches = latest_per_key(
+        named.where(is_batch).select("bronze_key", "dt", "ingested_at", "line_id", "file", "articles"),
+        ["bronze_key", "line_id"],
+        ["ingested_at", "file"],
+    )
+    batches = batches.select(
         "bronze_key", "dt", F.posexplode(_objects(F.col("articles"))).alias("pos", "text")
     )
     batches = batches.where(_is_object(F.col("text"))).select(

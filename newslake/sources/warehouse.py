@@ -58,12 +58,18 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return _read_version(spark, root, current_version(spark, root), name)
 
 
+def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """All tables of one committed load, whatever is loaded meanwhile."""
+    version = current_version(spark, root)
+    return {name: _read_version(spark, root, version, name) for name in GOLD_DATASETS}
+
+
 def warehouse_rows(gold: DataFrame, name: str, loaded_at: str) -> DataFrame:
     """Gold rows as warehouse rows: null counts are 0, null keys fail, one stamp per load."""
     key, key_type, value = GOLD_DATASETS[name]
     rows = gold.select(
         F.col(key).cast(key_type).alias(key),
-        F.coalesce(F.col(value).cast("int"), F.lit(0)).alias(value),
+        F.coalesce(F.col(value).cast("long"), F.lit(0).cast("long")).alias(value),
         F.lit(loaded_at).cast("timestamp").alias("updated_at"),
     )
     return require_keys(rows, [key])

@@ -1,14 +1,15 @@
 """The speed path: decode, normalise and store events; publish rolling metrics.
 
-Each sink writes a folder per micro-batch and overwrites it when the batch is
-retried, so a restart neither loses nor repeats rows. No micro-batch rewrites
-what earlier ones stored.
+Each sink writes a folder per query and micro-batch and overwrites it as a whole when
+the batch is retried, so a restart neither loses nor repeats rows, and a second
+query or a new checkpoint on the same folder leaves stored rows alone.
 """
 
 from __future__ import annotations
 
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -41,13 +42,36 @@ def speed_records(
     )
 
 
-def _write_batch(df: DataFrame, path: str, *partitions: str) -> None:
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .parquet(path)
-    )
+_ARTICLE_TEXT = ("titre", "url", "date_publication", "categorie", "auteur", "contenu", "source", "langue")
+_RUN = "run string, batch_id long"
+_BROKER = "topic: string, partition: int, offset: long, timestamp: timestamp, key: string"
+SPEED = (
+    f"layer string, kafka struct<{_BROKER}>, event_time timestamp, processed_at string, "
+    + ", ".join(f"{c} string" for c in _ARTICLE_TEXT)
+    + f", normalized_at string, object_id string, {_RUN}, dt date"
+)
+DEAD_LETTERS = f"stage string, error string, topic string, partition int, offset long, value string, {_RUN}"
+SOURCE_COUNTS = f"window_start timestamp, key string, n long, started string, {_RUN}"
+TOP_WORDS = f"window_start timestamp, key string, n long, rank int, {_RUN}"
+
+
+def _write_batch(df: DataFrame, zone: str, batch_id: int, *partitions: str) -> None:
+    """One folder per query and micro-batch, replaced as a whole."""
+    run = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not run:
+        raise RuntimeError("a micro-batch without a query id")
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(*partitions).parquet(f"{zone}/run={run}/batch_id={batch_id}")
+
+
+def _read_zone(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """What all queries stored; no rows where nothing was stored yet."""
+    try:
+        return spark.read.schema(schema).option("basePath", path).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def start_speed_zone(
@@ -68,11 +92,9 @@ def start_speed_zone(
         parsed = parse_events(batch).persist()
         try:
             day = today or datetime.now(timezone.utc).strftime("%Y-%m-%d")
-            marks = {"dt": F.lit(day), "batch_id": F.lit(batch_id)}
-            good = speed_records(parsed, default_source, model)
-            _write_batch(good.withColumns(marks), f"{out}/speed", "dt", "batch_id")
-            bad = dead_letters(parsed).withColumn("batch_id", F.lit(batch_id))
-            _write_batch(bad, f"{out}/dead_letters", "batch_id")
+            good = speed_records(parsed, default_source, model).withColumn("dt", F.lit(day))
+            _write_batch(good, f"{out}/speed", batch_id, "dt")
+            _write_batch(dead_letters(parsed), f"{out}/dead_letters", batch_id)
         finally:
             parsed.unpersist()
 
@@ -86,11 +108,16 @@ def start_speed_zone(
 
 def read_speed(spark: SparkSession, out: str) -> DataFrame:
     """The Speed zone: per day and object the last write in log order."""
-    stored = spark.read.parquet(f"{out}/speed").withColumns(
+    stored = _read_zone(spark, f"{out}/speed", SPEED).withColumns(
         {"_partition": F.col("kafka.partition"), "_offset": F.col("kafka.offset")}
     )
-    last = latest_per_key(stored, ["dt", "object_id"], ["batch_id", "_partition", "_offset"])
-    return last.drop("batch_id", "_partition", "_offset")
+    last = latest_per_key(stored, ["dt", "object_id"], ["_partition", "_offset", "run", "batch_id"])
+    return last.drop("run", "batch_id", "_partition", "_offset")
+
+
+def read_dead_letters(spark: SparkSession, out: str) -> DataFrame:
+    """Unusable records of all queries, each place in the log once."""
+    return _read_zone(spark, f"{out}/dead_letters", DEAD_LETTERS).drop("run", "batch_id").distinct()
 
 
 def start_source_counts(
@@ -100,10 +127,11 @@ def start_source_counts(
     """Rolling counts per source, refreshed with every batch under ``out/source_counts``."""
     articles = normalize(event_articles(parse_events(records)), default_source)
     counts = rolling_counts(articles, "source", ts="event_time")
+    started = datetime.now(timezone.utc).isoformat(timespec="microseconds")
 
     def report(batch: DataFrame, batch_id: int) -> None:
-        ordered = batch.orderBy("window_start", F.desc("n"), "key")
-        _write_batch(ordered.withColumn("batch_id", F.lit(batch_id)), f"{out}/source_counts", "batch_id")
+        ordered = batch.orderBy("window_start", F.desc("n"), "key").withColumn("started", F.lit(started))
+        _write_batch(ordered, f"{out}/source_counts", batch_id)
 
     return (
         counts.writeStream.outputMode("update")
@@ -115,9 +143,10 @@ def start_source_counts(
 
 
 def read_source_counts(spark: SparkSession, out: str) -> DataFrame:
-    """The freshest count of each window and source."""
-    stored = spark.read.parquet(f"{out}/source_counts")
-    return latest_per_key(stored, ["window_start", "key"], ["batch_id"]).drop("batch_id")
+    """The freshest count of each window and source: of the query started last, its last batch."""
+    stored = _read_zone(spark, f"{out}/source_counts", SOURCE_COUNTS)
+    last = latest_per_key(stored, ["window_start", "key"], ["started", "batch_id"])
+    return last.select("window_start", "key", "n")
 
 
 def start_top_words(
@@ -132,8 +161,7 @@ def start_top_words(
     counts = rolling_word_counts(articles, ts="event_time")
 
     def rank(batch: DataFrame, batch_id: int) -> None:
-        ranked = rolling_top(batch, n).withColumn("batch_id", F.lit(batch_id))
-        _write_batch(ranked, f"{out}/top_words", "batch_id")
+        _write_batch(rolling_top(batch, n), f"{out}/top_words", batch_id)
 
     return (
         counts.writeStream.outputMode("append")
@@ -142,3 +170,8 @@ def start_top_words(
         .trigger(**(trigger or EVERY))
         .start()
     )
+
+
+def read_top_words(spark: SparkSession, out: str) -> DataFrame:
+    """The ranked words of closed windows, of all queries."""
+    return _read_zone(spark, f"{out}/top_words", TOP_WORDS).select("window_start", "key", "n", "rank").distinct()

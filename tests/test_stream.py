@@ -48,7 +48,7 @@ def test_speed_zone_keeps_last_write_and_dead_letters(spark, tmp_path):
     named = stored.where("url = 'https://a.b/1'").select("object_id", object_id(F.col("url")), "kafka.offset", "layer", "dt")
     (one,) = named.collect()
     assert one[0] == one[1] and one[2:] == (4, "speed", dt.date(2026, 5, 12))
-    letters = spark.read.parquet(f"{out}/dead_letters").select("offset", "error", "stage").collect()
+    letters = speed.read_dead_letters(spark, out).select("offset", "error", "stage").collect()
     assert sorted((r.offset, r.error) for r in letters) == [
         (1, "value is not JSON"), (3, "message value is not an object"),
         (5, "missing/invalid article"), (6, "missing/invalid article"),
@@ -92,9 +92,9 @@ def test_top_words_of_closed_windows(spark, tmp_path):
     stream = records(spark, tmp_path / "in", words, closing)
     out = str(tmp_path / "out")
     speed.start_top_words(stream, out, str(tmp_path / "ckpt"), n=2, trigger=NOW).awaitTermination()
-    rows = spark.read.parquet(f"{out}/top_words").where(F.col("window_start") == F.lit(START)).orderBy("rank")
+    rows = speed.read_top_words(spark, out).where(F.col("window_start") == F.lit(START)).orderBy("rank")
     assert [(r.key, r.n, r.rank) for r in rows.collect()] == [("beta", 3, 1), ("alpha", 2, 2)]
-    assert spark.read.parquet(f"{out}/top_words").where("key = 'zeta'").count() == 0
+    assert speed.read_top_words(spark, out).where("key = 'zeta'").count() == 0
 
 
 def test_publish_counts_and_payload(spark, tmp_path):

@@ -32,7 +32,9 @@ def test_load_keeps_missing_keys_and_is_idempotent(spark, tmp_path):
         W.load_warehouse(spark, root, gold(spark, 10, ("b", "c")), "2026-05-11T11:00:00Z")
         rows = {r.mot_cle: (r["count"], r.updated_at.hour) for r in tables(spark, root)["mots_cles"].collect()}
         assert rows == {"a": (1, 10), "b": (11, 11), "c": (12, 11)}
-    assert dict(W.read_table(spark, root, "mots_cles").dtypes)["count"] == "int"
+    assert dict(W.read_table(spark, root, "mots_cles").dtypes)["count"] == "bigint"
+    both = W.read_tables(spark, root)
+    assert set(both) == set(GOLD_DATASETS) and both["mots_cles"].count() == 3
 
 
 def test_failed_load_changes_nothing(spark, tmp_path):
