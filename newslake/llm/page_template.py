@@ -3,8 +3,8 @@
 Tokens are the start and end tags of each element, told apart by the elements around
 them, and the texts between tags. A token's occurrence vector lists how often each
 page of the host has it. Tokens with equal vectors form a class; vectors are compared by
-the sum over pages of a hash of (page, count), so a host of any size needs one small
-number per token, added up in the map tasks.
+the exclusive or over pages of a hash of (page, count), so a host of any size needs one
+number per token, combined in the map tasks.
 
 A class is valid if it holds both tags of an element: the element is then opened and closed
 alike on every page and belongs to the template. Valid elements nest by their paths. A text in
@@ -29,6 +29,8 @@ from newslake import scratch
 
 #: A host needs this many pages for texts to count as template.
 MIN_PAGES = 4
+#: Template texts that are sent to all tasks; with more, each page gets its own by a join.
+MAX_SENT_TOKENS = 50_000
 
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>?|<[!?][^>]*>?", re.DOTALL)
 _NAMED = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
@@ -173,8 +175,7 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns[2] = pa.array([k[0] for k in sums], pa.string())
         columns[5] = pa.array([k[1] for k in sums], pa.int64())
         for i in range(3):
-            values = [v[i] for v in sums.values()]
-            columns[6 + i] = pa.array(np.array([v & (1 << 64) - 1 for v in values], np.uint64).view(np.int64))
+            columns[6 + i] = pa.array(np.array([v[i] for v in sums.values()], np.uint64).view(np.int64))
         sums.clear()
         return pa.RecordBatch.from_arrays(columns, schema=_ROWS)
 
@@ -189,7 +190,7 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for token, count in read.tokens.items():
                     own = sums.setdefault((host, token), [0, 0, 0])
                     own[0] += 1
-                    own[1] += xxhash.xxh3_64_intdigest(f"{page}:{count}")
+                    own[1] ^= xxhash.xxh3_64_intdigest(f"{page}:{count}")
                     own[2] += count
             none = pa.nulls(part.num_rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -203,9 +204,9 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def templates(tokens: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """(host, token, class, size) of the tokens in a class of two or more on enough pages.
 
-    A class is named by its vector's sum, its pages and its occurrences.
+    A class is named by its vector's hash, its pages and its occurrences.
     """
-    whole = tokens.groupBy("host", "token").agg(*[F.sum(c).alias(c) for c in ("pages", "vector", "total")]).filter(F.col("pages") >= min_pages)
+    whole = tokens.groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"), F.sum("total").alias("total")).filter(F.col("pages") >= min_pages)
     size = whole.groupBy("host", "pages", "vector", "total").agg(F.count("*").alias("size")).filter("size > 1")
     return whole.join(size, ["host", "pages", "vector", "total"]).select("host", "token", F.struct("pages", "vector", "total").alias("class"), "size")
 
@@ -242,11 +243,16 @@ def main_texts(pages: DataFrame, work: str, min_pages: int = MIN_PAGES, id_col:
         .select("host", "token").distinct()
     )
     fixed = scratch.stored(fixed, f"{work}/fixed")
-    hit = (
-        parsed.select("page", "host", F.explode(F.transform("blocks", lambda b: b["token"])).alias("token")).distinct()
-        .join(fixed, ["host", "token"]).groupBy("page").agg(F.collect_set("token").alias("template"))
-    )
-    told = parsed.join(hit, "page", "left")
+    if fixed.count() <= MAX_SENT_TOKENS:
+        # Few template texts go to the pages, by host; the pages stay where they are.
+        by_host = fixed.groupBy("host").agg(F.collect_set("token").alias("template"))
+        told = parsed.join(F.broadcast(by_host), "host", "left")
+    else:
+        hit = (
+            parsed.select("page", "host", F.explode(F.transform("blocks", lambda b: b["token"])).alias("token")).distinct()
+            .join(fixed, ["host", "token"]).groupBy("page").agg(F.collect_set("token").alias("template"))
+        )
+        told = parsed.join(hit, "page", "left")
     template = F.coalesce("template", F.array().cast("array<long>"))
     article = F.exists("blocks", lambda b: b["main"] & ~b["out"])
     inside = F.filter("blocks", lambda b: b["main"] & ~b["out"])
