@@ -39,24 +39,12 @@ _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * U(_BASE))
 _POS = mix(np.arange(1, 65, dtype=np.uint64) * U(0xD1342543DE82EF95)) | U(1)
 
 
-class _Powers:
-    """Powers of the base and of its inverse, grown on demand."""
-
-    def __init__(self):
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n, 2 * PIECE_BYTES)
-            inverse = pow(_BASE, -1, 1 << 64)
-            self.up, self.down = (
-                np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, b, np.uint64)]))
-                for b in (U(_BASE), U(inverse))
-            )
-        return self.up, self.down
-
-
-_POWERS = _Powers()
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of the base and of its inverse."""
+    return tuple(
+        np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, b, np.uint64)]))
+        for b in (U(_BASE), U(pow(_BASE, -1, 1 << 64)))
+    )
 
 
 @dataclass
@@ -106,6 +94,8 @@ def cut(offsets: np.ndarray, size: int = PIECE_BYTES) -> Iterator[tuple[int, int
 def pieces(texts: pa.Array, lower: bool = True) -> Iterator[Piece]:
     """Word positions and hashes; ``lower`` maps A-Z to a-z first."""
     raw, offsets = text_buffers(texts)
+    # Made anew for each batch: tables kept in a module would outlive their tasks.
+    up, down = _powers(min(PIECE_BYTES, len(raw)))
     for a, b in cut(offsets):
         own = offsets[a : b + 1] - offsets[a]
         part = raw[offsets[a] : offsets[b]]
@@ -118,7 +108,8 @@ def pieces(texts: pa.Array, lower: bool = True) -> Iterator[Piece]:
         after[edge[edge > 0] - 1] = False
         starts = np.flatnonzero(inside & ~before)
         ends = np.flatnonzero(inside & ~after) + 1
-        up, down = _POWERS.upto(len(part) + 1)
+        if len(part) >= len(up):
+            up, down = _powers(len(part))
         sums = np.zeros(len(part) + 1, np.uint64)
         np.cumsum(_BYTE[part] * up[: len(part)], out=sums[1:])
         words = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
