@@ -90,13 +90,17 @@ class ChunkEncoder:
         distinct = coded.dictionary.to_pylist()
         if len(self.place) > _CACHE:
             self._forget()
-        if missing := [c for c in distinct if c not in self.place]:
+        if missing := list(itertools.filterfalse(self.place.__contains__, distinct)):
             self._learn(missing)
-        place = self.place
-        at = np.fromiter((place[c] for c in distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
-        lengths = self.lengths[at]
-        total = np.cumsum(lengths)
-        ids = self.pool[np.arange(total[-1]) + np.repeat(self.begins[at] - (total - lengths), lengths)]
+        # Positions fit 32 bits: a piece is far smaller, and so are the ids of past chunks.
+        places = np.fromiter(map(self.place.__getitem__, distinct), np.int64, len(distinct))
+        own, begins, indices = self.lengths[places].astype(np.int32), self.begins[places].astype(np.int32), coded.indices.to_numpy()
+        lengths = own[indices]
+        total = np.cumsum(lengths, dtype=np.int64)
+        first = begins[indices] - (total - lengths).astype(np.int32)
+        spot = np.repeat(first, lengths)
+        spot += np.arange(len(spot), dtype=np.int32)
+        ids = self.pool[spot]
         upto = np.concatenate([[0], total])
         return ids, np.diff(upto[np.searchsorted(starts, offsets)])
 
