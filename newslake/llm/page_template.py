@@ -6,11 +6,12 @@ page of the host has it. Tokens with equal vectors form a class; vectors are com
 the exclusive or over pages of a hash of (page, count), so a host of any size needs one
 number per token, combined in the map tasks.
 
-A class is valid if it holds both tags of an element: the element is then opened and closed
-alike on every page and belongs to the template. Valid elements nest by their paths. A text in
-the class of the element around it is template text: it comes with the element every time.
-What is left are the slots. Slots of the article make the main text; pages without one use
-all slots but those of menus, forms and the like.
+An element is valid if both its tags are in one class: it is then opened and closed alike on
+every page and belongs to the template. The page itself is such an element. Valid elements nest
+by their paths. A text in the class of any valid element around it is template text: it comes
+with the element every time. Copies of one page are no evidence: a token needs enough pages
+that differ. What is left are the slots. Slots of the article make the main text; pages without
+one use all slots but those of menus, forms and the like.
 """
 
 from __future__ import annotations
@@ -53,6 +54,9 @@ _OUT_WORDS = re.compile(
     r"widget|toolbar|pagination|pager|copyright|disclaimer|alert)(?:$|[\s_-])", re.IGNORECASE,
 )
 _MAIN_ROLES = {"main", "articlebody"}
+#: How names judge an element: nothing against it, an article in or with a name of _OUT_WORDS, such a name, an element of _OUT.
+CLEAR, DOUBTFUL, NAMED, OUT = range(4)
+START, END, TEXT = range(3)
 
 
 def _key(*parts: str) -> int:
@@ -62,29 +66,38 @@ def _key(*parts: str) -> int:
 class Page:
     """Blocks of a page in order, and the tokens with their counts.
 
-    A block is (text, key of the text token, key of the element around it, inside the article, left out).
+    A block is (text, key of the text token, 2 inside an article or 1 inside main, how names judge it).
+    ``about`` tells of each token its kind, the start key of the element around it (of an end tag: its
+    own) and, for start tags, the start keys of all elements around it and its own.
     """
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[str, int, int, bool, bool]] = []
+        self.blocks: list[tuple[str, int, int, int]] = []
         self.tokens: dict[int, int] = {}
-        # Open elements: name, path, out, main.
-        self.stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]
+        self.about: dict[int, tuple[int, int | None, tuple[int, ...] | None]] = {}
+        root = _key("start", "")
+        # Open elements: name, path, judged, main, start keys down to it.
+        self.stack: list[tuple[str, str, int, int, tuple[int, ...]]] = [("", "", CLEAR, 0, (root,))]
         self.text: list[str] = []
+        self._count(root, START, None, (root,))
         self._read(source)
+        self._count(_key("end", ""), END, root)
 
-    def _count(self, key: int) -> None:
-        self.tokens[key] = self.tokens.get(key, 0) + 1
+    def _count(self, key: int, kind: int, around: int | None, keys: tuple[int, ...] | None = None) -> None:
+        if key in self.tokens:
+            self.tokens[key] += 1
+        else:
+            self.tokens[key], self.about[key] = 1, (kind, around, keys)
 
     def _end_block(self) -> None:
         if self.text:
             text = " ".join(html.unescape("".join(self.text)).split())
             self.text.clear()
             if text:
-                _, path, out, main = self.stack[-1]
+                _, path, judged, main, keys = self.stack[-1]
                 key = _key("text", path, text)
-                self._count(key)
-                self.blocks.append((text, key, _key("start", path), main, out))
+                self._count(key, TEXT, keys[-1])
+                self.blocks.append((text, key, main, judged))
 
     def _close(self, depth: int) -> None:
         self._end_block()
@@ -137,37 +150,51 @@ class Page:
             if self.stack[i][0] in _CONTAINERS:
                 break
         marks = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in _NAMED.finditer(attributes)} if "=" in attributes else {}
-        _, path, out, main = self.stack[-1]
+        _, path, judged, main, keys = self.stack[-1]
         label = f"{name}.{marks['class']}" if marks.get("class") else name
         path = f"{path}/{label}"
-        is_main = name in ("article", "main") or marks.get("role", "").lower() == "main" or marks.get("itemprop", "").lower() in _MAIN_ROLES
+        role, item = marks.get("role", "").lower(), marks.get("itemprop", "").lower()
+        is_article = name == "article" or item == "articlebody"
+        is_main = is_article or name == "main" or role in _MAIN_ROLES or item in _MAIN_ROLES
         words = f"{marks.get('class', '')} {marks.get('id', '')} {marks.get('role', '')}"
-        # Of an article's own header only the frame around it is page furniture.
-        out = out or (name in _OUT and not (name == "header" and main)) or bool(words.strip() and name not in ("html", "body") and _OUT_WORDS.search(words))
-        self.stack.append((name, path, out, main or (is_main and not out)))
-        self._count(_key("start", path))
+        # Of an article's own header only the frame around it is page furniture; a form may frame the whole page.
+        if name in _OUT and not (name == "header" and main):
+            judged = OUT
+        elif words.strip() and name not in ("html", "body") and _OUT_WORDS.search(words):
+            judged = OUT
+        if is_main and judged == CLEAR:
+            main = 2 if is_article else max(main, 1)
+        key = _key("start", path)
+        keys = (*keys, key)
+        self.stack.append((name, path, judged, main, keys))
+        self._count(key, START, None, keys)
 
     def _end_tag(self, name: str) -> None:
         if name in _INLINE or name in _VOID:
             return
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i][0] == name:
-                self._count(_key("end", self.stack[i][1]))
+                self._count(_key("end", self.stack[i][1]), END, self.stack[i][4][-1])
                 self._close(i)
                 return
         self._end_block()
 
 
-_BLOCK = pa.struct([("text", pa.string()), ("token", pa.int64()), ("around", pa.int64()), ("main", pa.bool_()), ("out", pa.bool_())])
+_BLOCK = pa.struct([("text", pa.string()), ("token", pa.int64()), ("main", pa.int8()), ("judged", pa.int8())])
 _ROWS = pa.schema([
     ("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("page", pa.int64()), ("blocks", pa.list_(_BLOCK)),
     ("token", pa.int64()), ("pages", pa.int64()), ("vector", pa.int64()), ("total", pa.int64()),
+    ("kind", pa.int8()), ("around", pa.int64()), ("keys", pa.list_(pa.int64())), ("contents", pa.list_(pa.int64())),
 ])
 
 
-def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Page rows with their blocks, and per split the sums of each (host, token)."""
-    sums: dict[tuple[str, int], list[int]] = {}
+def _parsed(min_pages: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Page rows with their blocks, and per split the sums of each (host, token).
+
+    ``contents`` holds up to ``min_pages`` different pages of a token by their hash: no more are
+    needed to tell whether all splits together have as many.
+    """
+    sums: dict[tuple[str, int], list] = {}
 
     def flush() -> pa.RecordBatch:
         n = len(sums)
@@ -176,6 +203,9 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns[5] = pa.array([k[1] for k in sums], pa.int64())
         for i in range(3):
             columns[6 + i] = pa.array(np.array([v[i] for v in sums.values()], np.uint64).view(np.int64))
+        for i in range(3):
+            columns[9 + i] = pa.array([v[3][i] for v in sums.values()], _ROWS.field(9 + i).type)
+        columns[12] = pa.array([v[4] for v in sums.values()], _ROWS.field(12).type)
         sums.clear()
         return pa.RecordBatch.from_arrays(columns, schema=_ROWS)
 
@@ -184,31 +214,46 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(i, 500)
             blocks = []
             for page, host, source in zip(part.column(3).to_pylist(), part.column(2).to_pylist(), part.column(4).to_pylist()):
-                read = Page(source or "")
+                read, content = Page(source or ""), _key(source or "")
                 # A page without template at hand keeps what names alone tell.
-                blocks.append([dict(zip(("text", "token", "around", "main", "out"), b)) for b in read.blocks])
+                blocks.append([dict(zip(("text", "token", "main", "judged"), b)) for b in read.blocks])
                 for token, count in read.tokens.items():
-                    own = sums.setdefault((host, token), [0, 0, 0])
+                    own = sums.get((host, token))
+                    if own is None:
+                        own = sums[host, token] = [0, 0, 0, read.about[token], []]
                     own[0] += 1
                     own[1] ^= xxhash.xxh3_64_intdigest(f"{page}:{count}")
                     own[2] += count
-            none = pa.nulls(part.num_rows, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), part.column(2), part.column(3), pa.array(blocks, pa.list_(_BLOCK)), none, none, none, none], schema=_ROWS
-            )
+                    if len(own[4]) < min_pages and content not in own[4]:
+                        own[4].append(content)
+            columns = [part.column(0), part.column(1), part.column(2), part.column(3), pa.array(blocks, pa.list_(_BLOCK))]
+            yield pa.RecordBatch.from_arrays(columns + [pa.nulls(part.num_rows, f.type) for f in list(_ROWS)[5:]], schema=_ROWS)
             if len(sums) > 200_000:
                 yield flush()
     yield flush()
 
 
-def templates(tokens: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, token, class, size) of the tokens in a class of two or more on enough pages.
+def template_texts(tokens: DataFrame, work: str, min_pages: int = MIN_PAGES) -> DataFrame:
+    """(host, token) of the texts that belong to a host's template.
 
     A class is named by its vector's hash, its pages and its occurrences.
     """
-    whole = tokens.groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"), F.sum("total").alias("total")).filter(F.col("pages") >= min_pages)
-    size = whole.groupBy("host", "pages", "vector", "total").agg(F.count("*").alias("size")).filter("size > 1")
-    return whole.join(size, ["host", "pages", "vector", "total"]).select("host", "token", F.struct("pages", "vector", "total").alias("class"), "size")
+    whole = tokens.groupBy("host", "token").agg(
+        F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"), F.sum("total").alias("total"),
+        F.max("kind").alias("kind"), F.max("around").alias("around"),
+    ).filter(F.col("pages") >= min_pages)
+    whole = scratch.stored(whole.select("host", "token", F.struct("pages", "vector", "total").alias("class"), "kind", "around"), f"{work}/often")
+    often = tokens.join(whole.select("host", "token"), ["host", "token"], "left_semi")
+    differ = often.select("host", "token", F.explode("contents").alias("content")).distinct().groupBy("host", "token").count()
+    known = scratch.stored(whole.join(differ.filter(F.col("count") >= min_pages), ["host", "token"]).drop("count"), f"{work}/classes")
+
+    starts = known.filter(F.col("kind") == START).select("host", F.col("token").alias("element"), "class")
+    ends = known.filter(F.col("kind") == END).select("host", F.col("around").alias("element"), "class")
+    valid = starts.join(ends, ["host", "element", "class"])
+    above = often.filter(F.col("kind") == START).select("host", F.col("token").alias("around"), F.explode("keys").alias("element")).distinct()
+    classes = above.join(valid, ["host", "element"]).select("host", "around", "class").distinct()
+    texts = known.filter(F.col("kind") == TEXT).select("host", "token", "around", "class")
+    return texts.join(classes, ["host", "around", "class"]).select("host", "token").distinct()
 
 
 def main_texts(pages: DataFrame, work: str, min_pages: int = MIN_PAGES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -226,23 +271,13 @@ def main_texts(pages: DataFrame, work: str, min_pages: int = MIN_PAGES, id_col:
         F.monotonically_increasing_id().alias("page"), F.col(html_col).cast("string").alias("html"),
     )
     schema = (
-        "page_id long, url string, host string, page long, blocks array<struct<text: string, token: long, around: long, main: boolean, out: boolean>>, "
-        "token long, pages long, vector long, total long"
+        "page_id long, url string, host string, page long, blocks array<struct<text: string, token: long, main: byte, judged: byte>>, "
+        "token long, pages long, vector long, total long, kind byte, around long, keys array<long>, contents array<long>"
     )
-    read = scratch.stored(rows.mapInArrow(_parsed, schema), f"{work}/parsed")
+    read = scratch.stored(rows.mapInArrow(lambda b: _parsed(min_pages, b), schema), f"{work}/parsed")
     parsed = read.filter("token IS NULL").select("page_id", "url", "host", "page", "blocks")
-    known = templates(read.filter("token IS NOT NULL").select("host", "token", "pages", "vector", "total"), min_pages)
-    known = scratch.stored(known, f"{work}/classes")
-
-    # A text token in the class of the element around it comes with that element on every page.
-    texts = parsed.select("host", F.explode("blocks").alias("b")).select("host", "b.token", "b.around").distinct()
-    own = known.select("host", "token", F.col("class").alias("text_class"))
-    around = known.select("host", F.col("token").alias("around"), F.col("class").alias("element_class"))
-    fixed = (
-        texts.join(own, ["host", "token"]).join(around, ["host", "around"]).filter(F.col("text_class") == F.col("element_class"))
-        .select("host", "token").distinct()
-    )
-    fixed = scratch.stored(fixed, f"{work}/fixed")
+    tokens = read.filter("token IS NOT NULL").drop("page_id", "url", "page", "blocks")
+    fixed = scratch.stored(template_texts(tokens, work, min_pages), f"{work}/fixed")
     if fixed.count() <= MAX_SENT_TOKENS:
         # Few template texts go to the pages, by host; the pages stay where they are.
         by_host = fixed.groupBy("host").agg(F.collect_set("token").alias("template"))
@@ -254,10 +289,17 @@ def main_texts(pages: DataFrame, work: str, min_pages: int = MIN_PAGES, id_col:
         )
         told = parsed.join(hit, "page", "left")
     template = F.coalesce("template", F.array().cast("array<long>"))
-    article = F.exists("blocks", lambda b: b["main"] & ~b["out"])
-    inside = F.filter("blocks", lambda b: b["main"] & ~b["out"])
-    slots = F.filter("blocks", lambda b: ~b["out"] & ~F.array_contains(template, b["token"]))
-    kept = F.transform(F.when(article, inside).otherwise(slots), lambda b: b["text"])
+    # The first choice that has any block: its slots are the text.
+    choices = [
+        lambda b: (b["main"] == 2) & (b["judged"] == CLEAR), lambda b: (b["main"] > 0) & (b["judged"] <= DOUBTFUL),
+        lambda b: b["judged"] <= DOUBTFUL, lambda b: b["judged"] <= NAMED,
+    ]
+    taken = [lambda b: (b["main"] > 0) & (b["judged"] == CLEAR), *choices[1:]]
+    slots = F.filter("blocks", lambda b: F.lit(False))
+    for choice, take in list(zip(choices, taken))[::-1]:
+        own = F.filter(F.filter("blocks", take), lambda b: ~F.array_contains(template, b["token"]))
+        slots = F.when(F.exists("blocks", choice), own).otherwise(slots)
+    kept = F.transform(slots, lambda b: b["text"])
     told = told.select("page_id", "url", kept.alias("blocks"))
     text = F.array_join("blocks", "\n")
     return told.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"), "blocks")

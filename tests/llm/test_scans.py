@@ -101,3 +101,22 @@ def test_page_texts(spark, work):
         assert got[i].text == f"Title {i}\nFirst & best text {i}.\nCafé {i} A"
     assert got[7].text == got[8].text == "" and all(r.n_chars == len(r.text) for r in got.values())
     assert page_template.main_texts(pages.limit(0), work + "-none").count() == 0
+
+
+def test_template_texts_inside_the_article(spark, work):
+    page = (
+        "<html><body><article><h1>Title {0}</h1><p>Body {0}.</p><div><p>Read our terms.</p></div>{1}<p>End {0}.</p></article></body></html>"
+    )
+    rows = [(i, f"http://h.example/{i}", page.format(i, "<p>More</p>" if i < 3 else "")) for i in range(6)]
+    rows += [(10 + i, "http://copies.example/", page.format("x", "")) for i in range(6)]
+    got = {r.page_id: r.text for r in page_template.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string"), work).collect()}
+    for i in range(6):
+        assert got[i] == f"Title {i}\nBody {i}.\n" + ("More\n" if i < 3 else "") + f"End {i}."
+        # Copies of one page say nothing about a template.
+        assert got[10 + i] == "Title x\nBody x.\nRead our terms.\nEnd x."
+
+
+def test_unclosed_elements_are_no_template():
+    read = page_template.Page("<div class=a><p>one</div><div class=b>two")
+    kinds = [k for k, *_ in read.about.values()]
+    assert kinds.count(page_template.START) == 4 and kinds.count(page_template.END) == 2
