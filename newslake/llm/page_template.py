@@ -12,6 +12,11 @@ by their paths. A text in the class of any valid element around it is template t
 with the element every time. Copies of one page are no evidence: a token needs enough pages
 that differ. What is left are the slots. Slots of the article make the main text; pages without
 one use all slots but those of menus, forms and the like.
+
+Names come after the template: elements such as nav or aside, and classes or ids headed by words
+such as ad or comments, are left out. A name in which the word only qualifies something else
+(has-sidebar, category-social) decides nothing. An article in or with a name that is left out
+counts where the page has no other article.
 """
 
 from __future__ import annotations
@@ -49,10 +54,12 @@ _CLOSES = {
 _CONTAINERS = {"article", "aside", "blockquote", "body", "div", "dl", "footer", "form", "header", "main", "nav", "ol", "section", "table", "ul"}
 _OUT = {"nav", "footer", "aside", "form", "button", "select", "dialog", "menu", "head", "header", *_RAW} - {"title"}
 _OUT_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|sidebar|side|menu|nav\w*|breadcrumbs?|footer|header|comments?|respond|replies|"
+    r"(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|sidebar|side|menu|nav\w*|breadcrumbs?|footer|header|comments?|respond|replies|"
     r"notice\w*|cookie\w*|consent|newsletter|subscribe|subscription|signup|login|popup|modal|share|sharing|social|related|recommended|"
-    r"widget|toolbar|pagination|pager|copyright|disclaimer|alert)(?:$|[\s_-])", re.IGNORECASE,
+    r"widget|toolbar|pagination|pager|copyright|disclaimer|alert)", re.IGNORECASE,
 )
+#: With one of these in a name, the out word says what the element belongs to or has.
+_QUALIFIES = {"has", "with", "without", "no", "is", "category", "cat", "tag", "topic", "type", "format", "layout", "page"}
 _MAIN_ROLES = {"main", "articlebody"}
 #: How names judge an element: nothing against it, an article in or with a name of _OUT_WORDS, such a name, an element of _OUT.
 CLEAR, DOUBTFUL, NAMED, OUT = range(4)
@@ -63,6 +70,15 @@ def _key(*parts: str) -> int:
     return xxhash.xxh3_64_intdigest("\x00".join(parts)) - (1 << 63)
 
 
+def _named_out(names: str) -> bool:
+    """Whether a class or id is headed by an out word: its first word, or its last if nothing says that it qualifies."""
+    for name in names.split():
+        words = [w for w in re.split("[_-]+", name.lower()) if w]
+        if words and (_OUT_WORDS.fullmatch(words[0]) or _OUT_WORDS.fullmatch(words[-1]) and _QUALIFIES.isdisjoint(words)):
+            return True
+    return False
+
+
 class Page:
     """Blocks of a page in order, and the tokens with their counts.
 
@@ -159,10 +175,12 @@ class Page:
         words = f"{marks.get('class', '')} {marks.get('id', '')} {marks.get('role', '')}"
         # Of an article's own header only the frame around it is page furniture; a form may frame the whole page.
         if name in _OUT and not (name == "header" and main):
-            judged = OUT
-        elif words.strip() and name not in ("html", "body") and _OUT_WORDS.search(words):
-            judged = OUT
-        if is_main and judged == CLEAR:
+            judged = max(judged, NAMED if name == "form" else OUT)
+        elif words.strip() and name not in ("html", "body") and _named_out(words):
+            judged = max(judged, NAMED)
+        if is_main and judged == NAMED and main < 2:
+            judged = DOUBTFUL
+        if is_main:
             main = 2 if is_article else max(main, 1)
         key = _key("start", path)
         keys = (*keys, key)

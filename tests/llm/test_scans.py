@@ -120,3 +120,17 @@ def test_unclosed_elements_are_no_template():
     read = page_template.Page("<div class=a><p>one</div><div class=b>two")
     kinds = [k for k, *_ in read.about.values()]
     assert kinds.count(page_template.START) == 4 and kinds.count(page_template.END) == 2
+
+
+def test_names_do_not_lose_the_article(spark, work):
+    body = "<h1>Title {0}</h1><p>Body {0}</p>"
+    frames = [
+        "<article class='post type-post category-social'>{}</article>", "<div class='content-sidebar-wrap'><article>{}</article></div>",
+        "<div class='has-sidebar'><main>{}</main></div>", "<div id='page-with-menu'><div>{}</div></div>", "<div class='sidebar-layout'><article>{}</article></div>",
+        "<main><article class='social-news'>{}</article></main>", "<form><main>{}</main></form>",
+        "<article>{}<div class='comments'><article class='comment'><p>said {{0}}</p></article></div><div class='ad'>buy {{0}}</div></article>",
+        "<article>{}</article><aside><article>other {{0}}</article></aside><div class='post-comments'><article>said {{0}}</article></div>",
+    ]
+    rows = [(i, f"http://h{i}.example/", "<html><body>" + f.format(body).format(i) + "</body></html>") for i, f in enumerate(frames)]
+    got = {r.page_id: r.text for r in page_template.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string"), work).collect()}
+    assert got == {i: f"Title {i}\nBody {i}" for i in range(len(frames))}
