@@ -1,6 +1,6 @@
 """Benchmark passages in documents: SimHash of item-sized windows, Hamming blocks, exact check.
 
-For each item length ``n`` (in words), windows of ``n`` words get a 64-bit SimHash of
+For each item length ``n`` (in words), windows of ``n`` words (shorter documents: all they have) get a 64-bit SimHash of
 their weighted 5-word shingles. Fingerprints are cut into eight blocks of eight bits.
 Two fingerprints within 23 bits differ by at most two bits in some block, so looking up
 each block of a window in tables that list every item within two bits of that block's
@@ -156,6 +156,11 @@ def search(items: Items, words: np.ndarray, values: np.ndarray, threshold: float
                     by_length.setdefault(n, []).append(position)
         for n, starts in by_length.items():
             width = n - SHINGLE_WORDS + 1
+            if len(values) < width:
+                # Shorter than the item: the document is one window, if it is long enough to reach the threshold.
+                if len(values) >= threshold * width:
+                    offer(items.lengths[n], len(words), window_simhashes(values, len(values)), 0, lambda w: values)
+                continue
             for a, b in _spans(np.array(starts), len(values) - width + 1, width):
                 # Very long spans go in steps, so memory does not follow the text.
                 for i in range(a, b, 1 << 14):
@@ -182,8 +187,8 @@ def find_passages(
 
     One row per row of ``docs`` and item whose best window of the item's length reaches
     the threshold. A-Z is lower-cased. Items without words (null, empty) match nothing;
-    items under five words match as whole sequences; documents shorter than an item hold no
-    window of its length, so only items that fit are found. Repeated documents repeat their
+    items under five words match as whole sequences; a document shorter than an item is one
+    window, with ``n_words`` the words it has. Repeated documents repeat their
     rows; rows without an id are searched too. Equal items are found each. An empty table
     gives no rows. Items are sent to the tasks in blocks of bounded size, so a larger
     benchmark means further passes, not larger tasks.

@@ -134,3 +134,14 @@ def test_names_do_not_lose_the_article(spark, work):
     rows = [(i, f"http://h{i}.example/", "<html><body>" + f.format(body).format(i) + "</body></html>") for i, f in enumerate(frames)]
     got = {r.page_id: r.text for r in page_template.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string"), work).collect()}
     assert got == {i: f"Title {i}\nBody {i}" for i in range(len(frames))}
+
+
+def test_documents_shorter_than_the_item(spark):
+    item = [f"i{i * 7919}" for i in range(38)]
+    rows = [(1, item[:37]), (2, item[2:]), (3, item[:30]), (4, item[:29]), (5, item[:28]), (6, item[:4]), (7, [])]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(item[:5]))], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.find_passages(docs, bench).collect()}
+    # 30 words have 26 of 34 shingles, 29 words have 25: below 0.75.
+    assert {d for d, i in got if i == 1} == {1, 2, 3} and {d for d, i in got if i == 2} == {1, 3, 4, 5}
+    assert got[1, 1].similarity == 33 / 34 and (got[1, 1].first_word, got[1, 1].n_words) == (0, 37)
