@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from newslake import scratch
 from newslake.llm import (
-    cube_mix, decontaminate, jaccard_join, language_masks, page_template, quality_nbsvm, quality_rules, secret_owners, token_files, toxicity,
+    cube_mix, decontaminate, jaccard_join, language_masks, page_template, periodic_runs, quality_nbsvm, quality_rules, secret_owners, token_files, toxicity,
 )
 from newslake.llm.words import held_out
 
@@ -100,6 +100,40 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select(*columns)
 
 
+def with_planted_repeats(docs: DataFrame) -> DataFrame:
+    """(doc_id, text), with the tail of every tenth document by checksum of its id repeating a part of itself.
+
+    Rows without an id or without words stay as they are.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.array_remove(F.split("text", f"{quality_rules.BLANK}+"), "")
+    rows = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("w"))
+    n, g = F.size("w"), F.expr("h DIV 10")
+    rows = rows.withColumns({"n": n, "a": F.when(n > 0, g % n).cast("int"), "parts": (3 + g % 8).cast("int")})
+    rows = rows.withColumn("p", 1 + F.expr("CAST((n - a) DIV parts AS INT)"))
+    tail = F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")))
+    planted = F.array_join(F.slice(F.concat(F.slice("w", F.lit(1), F.col("a")), tail), F.lit(1), F.col("n")), " ")
+    return rows.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Periodic runs of every document, with repeats planted by the rule of the query."""
+    found = periodic_runs.find_runs(with_planted_repeats(_read(spark, sf, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("q"))))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    found = found.withColumn("best", best)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.s")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.q")).alias("period"),
+        F.expr("1000 * best.length DIV -best.q").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     """All stages of the corpus pipeline over the whole table."""
     import corpus_pipeline
@@ -118,6 +152,7 @@ QUERIES: dict[str, Query] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_quality_rules": op10_quality_rules,
+    "op11_periodic_runs": op11_periodic_runs,
     "pipeline": pipeline,
 }
 
