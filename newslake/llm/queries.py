@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from newslake import scratch
 from newslake.llm import (
-    cube_mix, decontaminate, jaccard_join, language_masks, page_template, periodic_runs, quality_nbsvm, quality_rules, secret_owners, token_files, toxicity,
+    cube_mix, decontaminate, jaccard_join, language_masks, page_template, periodic_runs, quality_nbsvm, quality_rules, secret_owners, token_files, toxicity, whitening,
 )
 from newslake.llm.words import held_out
 
@@ -134,6 +134,23 @@ def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op13_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    """Whitened components of every embedding, a row for each; none where no vector varies."""
+    vectors = whitening.whole_vectors(_read(spark, sf, "embeddings"))
+    distinct = whitening.fit_list(vectors, scratch.run_dir(spark, "whitening"))
+    columns = "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double"
+    model = whitening.fit(distinct)
+    if model is None:
+        return spark.createDataFrame([], columns)
+    error = whitening.identity_error(distinct, model)
+    rows = whitening.whitened(vectors, model).select("vec_id", F.expr("try_cast(deviation AS BIGINT)").alias("deviation"), F.posexplode("whitened").alias("i", "whitened"))
+    explained = F.element_at(F.array(*(F.lit(float(e)) for e in model.explained)), F.col("i") + 1)
+    return rows.select(
+        "vec_id", (F.col("i") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation",
+        "whitened", explained.alias("explained"), F.lit(error).alias("identity_error"),
+    )
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     """All stages of the corpus pipeline over the whole table."""
     import corpus_pipeline
@@ -153,6 +170,7 @@ QUERIES: dict[str, Query] = {
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_quality_rules": op10_quality_rules,
     "op11_periodic_runs": op11_periodic_runs,
+    "op13_embedding_whitening": op13_embedding_whitening,
     "pipeline": pipeline,
 }
 
