@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from newslake import scratch
 from newslake.llm import (
-    cube_mix, decontaminate, jaccard_join, language_masks, page_template, periodic_runs, quality_nbsvm, quality_rules, secret_owners, token_files, toxicity, whitening,
+    cube_mix, decontaminate, jaccard_join, language_masks, line_runs, page_template, periodic_runs, quality_nbsvm, quality_rules, secret_owners, token_files, toxicity, whitening,
 )
 from newslake.llm.words import held_out
 
@@ -134,6 +134,12 @@ def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op12_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of every document less those that three documents share, which the largest id keeps."""
+    rows = line_runs.dedup_lines(_read(spark, sf, "documents"), scratch.run_dir(spark, "lines"))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
     """Whitened components of every embedding, a row for each; none where no vector varies."""
     vectors = whitening.whole_vectors(_read(spark, sf, "embeddings"))
@@ -170,8 +176,31 @@ QUERIES: dict[str, Query] = {
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_quality_rules": op10_quality_rules,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_line_dedup": op12_line_dedup,
     "op13_embedding_whitening": op13_embedding_whitening,
     "pipeline": pipeline,
 }
 
-ORACLES: dict[str, str] = {}
+_LINE_KEY = """translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
+
+ORACLES: dict[str, str] = {
+    "op12_line_dedup": f"""
+WITH split AS (
+    SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
+), numbered AS (
+    SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos FROM split
+), keyed AS (
+    SELECT doc_id, line, pos, {_LINE_KEY} AS line_key FROM numbered
+), shared AS (
+    SELECT line_key, max(doc_id) AS holder FROM keyed WHERE length(line_key) >= 20
+    GROUP BY line_key HAVING count(DISTINCT doc_id) >= 3
+), judged AS (
+    SELECT k.doc_id, k.line, k.pos, s.line_key IS NOT NULL AND s.holder <> k.doc_id AS dropped
+    FROM keyed k LEFT JOIN shared s USING (line_key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+""",
+}
