@@ -32,9 +32,10 @@ def _open(uri: str):
 
 
 class ChunkEncoder:
-    """Encodes texts through their distinct chunks.
+    """Encodes texts through their distinct chunks, as the whole text is encoded.
 
-    Chunks end where the byte-level pre-tokenizer always ends a piece: before a blank
+    Added tokens of the tokenizer's file, such as marks of a text's end, are chunks of
+    their own wherever their literal stands and keep their id. Other chunks end where the byte-level pre-tokenizer always ends a piece: before a blank
     or line break that follows a visible character, and between a Latin letter and a visible
     ASCII character that is none. A chunk's ids therefore do not depend on what stands
     around it, and each distinct chunk goes through the tokenizer once. The memory of
@@ -47,7 +48,11 @@ class ChunkEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if any(t.lstrip or t.rstrip or t.single_word for t in added):
+            raise ValueError("added tokens that take in blanks or whole words alone are not supported")
+        literals = sorted((t.content.encode() for t in added), key=len, reverse=True)
+        self.added = re.compile(b"|".join(map(re.escape, literals))) if literals else None
         # A chunk of letters alone, with a blank at most before them, is one piece: no pattern need run.
         self.bare, self.full = ByteLevel(add_prefix_space=False, use_regex=False), self.tokenizer.pre_tokenizer
         self.one_piece = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
@@ -79,9 +84,23 @@ class ChunkEncoder:
             self.begins = np.concatenate([self.begins, len(self.pool) + ends - lengths])
             self.lengths, self.pool = np.concatenate([self.lengths, lengths]), np.concatenate([self.pool, flat])
 
+    def _literals(self, raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Byte ranges of added tokens, the leftmost first; none spans two documents."""
+        body, at = raw.tobytes(), 0
+        while self.added and (m := self.added.search(body, at)):
+            a, b = m.span()
+            inside = np.searchsorted(offsets, a, "right") == np.searchsorted(offsets, b, "left")
+            if inside:
+                yield a, b
+            at = b if inside else a + 1
+
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the documents in a row, and how many each has."""
-        starts = chunk_starts(raw, offsets)
+        begin = chunk_begins(raw, offsets)
+        for a, b in self._literals(raw, offsets):
+            begin[a : b + 1] = False
+            begin[[a, b]] = True
+        starts = np.flatnonzero(begin[:-1])
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
         ends = np.concatenate([starts, [len(raw)]]).astype(np.int64)
@@ -105,8 +124,8 @@ class ChunkEncoder:
         return ids, np.diff(upto[np.searchsorted(starts, offsets)])
 
 
-def chunk_starts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Byte positions where chunks begin."""
+def chunk_begins(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """For each byte, and the end, whether a chunk begins there."""
     begin = np.zeros(len(raw) + 1, bool)
     begin[offsets] = True
     if len(raw) > 1:
@@ -122,7 +141,7 @@ def chunk_starts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
             visible |= before >= 128
         begin[1:-1] |= ((now == 32) | (now == 10)) & visible
         begin[1:-1] |= letter[:-1] & ~letter[1:] & (now > 32) & (now < 127)
-    return np.flatnonzero(begin[:-1])
+    return begin
 
 
 def _write_shards(root: str, tokenizer: str, end_id: int, levels: int, shard_tokens: int, batches: Iterator[pa.RecordBatch]):

@@ -18,21 +18,29 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def test_chunks_encode_like_whole_texts(tokenizer):
     rng = random.Random(1)
     alphabet = list("ab Z'st \n\t  .,9x é×÷ß —\x1c　日\x85<|endoftext|>\r ")
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(60))) for _ in range(2000)]
+    texts += [t[:9] + "<|endoftext|>" * (i % 3) + t[9:] for i, t in enumerate(texts[:500])]
     for group in (texts, [t for t in texts if not set(t) & set(" 　\x85—")]):
         ids, counts = T.ChunkEncoder(PATH).encode(*text_buffers(pa.array(group)))
         want = [tokenizer.encode(t, add_special_tokens=False).ids for t in group]
         assert counts.tolist() == list(map(len, want)) and ids.tolist() == [i for w in want for i in w]
 
 
+def test_added_tokens_keep_their_ids(tokenizer):
+    end = "<|endoftext|>"
+    assert tokenizer.encode(f"a {end} b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    texts = [f"a {end} b", end, end * 3, f"x{end}y", f"\n{end}\n", "<|endoftext|", "|>a", "<|endof", "text|>", f"a  {end}  b", f"é{end}日{end[:5]}{end}", f" {end} "]
+    ids, counts = T.ChunkEncoder(PATH).encode(*text_buffers(pa.array(texts)))
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert counts.tolist() == list(map(len, want)) and ids.tolist() == [i for w in want for i in w]
+
+
 @pytest.mark.parametrize("n,top", [(0, 1), (1, 1), (511, 9), (512, 70_000 // 2), (5000, 300)])
 def test_wavelet_matrix(n, top):
     ids = np.random.default_rng(n).integers(0, top, n).astype(np.uint32)
