@@ -2,13 +2,15 @@
 
 Each candidate is known by a hash of its value. Over the whole corpus the hash is counted
 by distinct owners and repositories: a value that many owners copied is an example from
-documentation; one that a single owner holds in few places looks live. Values of a
+documentation; one that a single owner holds, in one place or in many, looks live. Values of a
 general shape (long, mixed, high entropy) become spans only on that evidence.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import math
 import re
 from collections import Counter
@@ -30,7 +32,6 @@ _HEADS = (b"password", b"passwd", b"secret", b"token", b"api")
 LEAST = {"assign": 8, "access": 16, "hex": 32, "key": 20}
 KEY_ENTROPY = 3.5
 MAX_OWNERS = 1
-MAX_REPOSITORIES = 3
 
 _HEX, _KEY = np.zeros(256, bool), np.zeros(256, bool)
 _HEX[[*b"0123456789abcdef"]] = True
@@ -90,12 +91,16 @@ def find_candidates(raw: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int
             if kind == 3 and not (re.search(rb"[0-9]", value) and re.search(rb"[a-z]", value) and re.search(rb"[A-Z]", value) and entropy(value) >= KEY_ENTROPY):
                 continue
             found.append((int(np.searchsorted(offsets, a, "right")) - 1, kind, int(a), int(b), value))
-    base = [(x[2], x[3]) for x in found if x[1] < 3]
-    return sorted(x for x in found if x[1] < 3 or not _overlaps(base, x[2], x[3]))
+    base = sorted((x[2], x[3]) for x in found if x[1] < 3)
+    begins = [a for a, _ in base]
+    reach = list(itertools.accumulate((b for _, b in base), max))
 
+    def overlaps(start: int, end: int) -> bool:
+        """Whether a base span that begins before ``end`` reaches beyond ``start``."""
+        n = bisect.bisect_left(begins, end)
+        return n > 0 and reach[n - 1] > start
 
-def _overlaps(spans: list[tuple[int, int]], start: int, end: int) -> bool:
-    return any(a < end and start < b for a, b in spans)
+    return sorted(x for x in found if x[1] < 3 or not overlaps(x[2], x[3]))
 
 
 _SPAN = pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("value", pa.binary())])
@@ -109,11 +114,9 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in cut(offsets):
             own = offsets[a : b + 1] - offsets[a]
             part = raw[offsets[a] : offsets[b]]
+            points = np.concatenate([[0], np.cumsum((part & 0xC0) != 0x80)])
             for doc, kind, start, end, value in find_candidates(part, own):
-                text = part[own[doc] : end]
-                points = (text & 0xC0) != 0x80
-                first = int(np.count_nonzero(points[: start - own[doc]]))
-                last = first + int(np.count_nonzero(points[start - own[doc] :]))
+                first, last = (int(points[x] - points[own[doc]]) for x in (start, end))
                 found[a + doc].append({"kind": kind, "start": first, "end": last, "value": hashlib.blake2b(value, digest_size=16).digest()})
         base = [spans_text([(s["kind"], s["start"], s["end"]) for s in row if s["kind"] < 3]) for row in found]
         yield pa.RecordBatch.from_arrays(
@@ -128,13 +131,13 @@ def spans_text(spans: list[tuple[int, int, int]]) -> str:
 
 def find_secrets(
     docs: DataFrame, work: str, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repository_col: str = "doc_id",
-    max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES,
+    max_owners: int = MAX_OWNERS,
 ) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base, spans, found) of every row.
 
     ``found`` lists (kind, start, end, owners, repositories, live) of all candidates in code
     points; ``spans`` is the text of the base spans and of the general ones that look live: held
-    by at most ``max_owners`` owners in at most ``max_repositories`` repositories. A null owner
+    by at most ``max_owners`` owners, in however many repositories of theirs. A null owner
     or repository counts as one of its own. Null and empty texts have no spans; repeated rows
     keep one result each and count as one repository.
 
@@ -154,7 +157,7 @@ def find_secrets(
         .groupBy("value", "owner").agg(F.count("*").alias("n"))
         .groupBy("value").agg(F.count("*").alias("owners"), F.sum("n").alias("repositories"))
     )
-    live = (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)
+    live = F.col("owners") <= max_owners
     span = F.struct("start", "kind", "end", "owners", "repositories", live.alias("live"))
     judged = each.join(verdicts, "value").groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("judged"))
     told = scanned.drop("owner", "repository", "found").join(judged, "row", "left")

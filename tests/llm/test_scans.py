@@ -66,6 +66,22 @@ def test_widely_held_keys_are_not_live(spark, work):
     assert {r.doc_id for r in got if r.spans} == {50}
 
 
+def test_keys_of_one_owner_are_live_wherever_they_stand(spark, work):
+    own = "Qp4Wn8Xe2Ty6Ru1Io9Mz"
+    rows = [(i, f"copy {i} of {own} here", "s1") for i in range(9)]
+    got = secret_owners.find_secrets(spark.createDataFrame(rows, "doc_id long, text string, source string"), work).collect()
+    assert len(got) == 9 and all(r.spans.startswith("key:") and r.found[0].repositories == 9 for r in got)
+
+
+def test_long_dump_of_secrets(spark, work):
+    """Spans of a text with thousands of candidates, in time that grows with its length."""
+    parts = [f"é {hashlib.sha256(str(i).encode()).hexdigest()} Qp4Wn8Xe2Ty6Ru1Io{i:05d}z" for i in range(20_000)]
+    text = " ".join(parts)
+    got = secret_owners.find_secrets(spark.createDataFrame([(1, text, "s")], "doc_id long, text string, source string"), work).first()
+    assert got.n_hex == 20_000 and len(got.spans.split(",")) == 40_000
+    assert got.base == base_spans(text)
+
+
 def test_no_documents_no_secrets(documents, work):
     assert secret_owners.find_secrets(documents.limit(0), work).count() == 0
 
