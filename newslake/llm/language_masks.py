@@ -104,8 +104,13 @@ def train(docs: DataFrame, max_rows: int = MAX_TRAIN_ROWS, id_col: str = "doc_id
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     known = rows.filter("lang IS NOT NULL AND doc_id IS NOT NULL AND text IS NOT NULL").filter(~held_out("doc_id"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = known.select("lang", "doc_id").withColumn("place", place).filter(F.col("place") <= max_rows).select("lang", "doc_id")
+    # Ranked in parts of each language first: the last ranking sees at most max_rows of every part.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chosen = known.select("lang", "doc_id", F.pmod(F.hash("doc_id"), F.lit(parts)).alias("part"))
+    for group in (["lang", "part"], ["lang"]):
+        place = F.row_number().over(Window.partitionBy(*group).orderBy(F.xxhash64("doc_id"), "doc_id"))
+        chosen = chosen.withColumn("place", place).filter(F.col("place") <= max_rows)
+    chosen = chosen.select("lang", "doc_id")
     sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     names = sorted(sizes)
     taken = {lang: min(n, max_rows) for lang, n in sizes.items()}
@@ -127,7 +132,9 @@ def train(docs: DataFrame, max_rows: int = MAX_TRAIN_ROWS, id_col: str = "doc_id
                 yield pa.RecordBatch.from_arrays([pa.array(lang[head].astype(np.int32)), pa.array(hashes[head].view(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
 
     sample = known.join(F.broadcast(chosen), ["lang", "doc_id"]).select("text", "lang")
-    need = F.element_at(F.array(*[F.lit(max(2.0, MIN_SHARE * taken[x])) for x in names]), F.col("lang") + 1) if names else F.lit(1.0)
+    # Two documents must agree on an n-gram, but for languages of which few were learnt.
+    least = {x: max(2.0, MIN_SHARE * n) if n >= 2 / MIN_SHARE else 1.0 for x, n in taken.items()}
+    need = F.element_at(F.array(*[F.lit(least[x]) for x in names]), F.col("lang") + 1) if names else F.lit(1.0)
     counted = sample.mapInArrow(count, "lang int, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     own = counted.filter(F.col("n") >= need).select("lang", "gram").toArrow() if names else None
     width = max(1, -(-len(names) // 64))
