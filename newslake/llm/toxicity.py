@@ -6,8 +6,9 @@ document labels alone through this noisy-or, so credit goes to the sentences tha
 it, and the same scores then point out the offending sentences.
 
 Features are the distinct word pieces of a sentence, hashed to a table of fixed size:
-each word and its beginnings of four and five letters, so inflected and compounded
-forms share evidence. Pieces are first weighed by how much more often they occur in
+each whole word and its beginnings of four and five letters, so inflected and compounded
+forms share evidence. In scripts written without blanks, whose characters take three bytes
+or more, the runs of three characters of a word are pieces too. Pieces are first weighed by how much more often they occur in
 toxic documents, over all labelled rows of the training sample.
 """
 
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from newslake import scratch
 from newslake.llm.ngrams import labelled_sample
-from newslake.llm.words import U, cut, mix, text_buffers
+from newslake.llm.words import U, cut, mix, powers, text_buffers
 
 BITS = 18
 STEMS = (4, 5)
@@ -40,6 +41,10 @@ _ENDS[[10, 33, 46, 63]] = True  # line feed ! . ?
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASE = 0x9E3779B97F4A7C15 | 1
+#: Letters of a word that are hashed one by one; what follows is hashed as a whole.
+_HEAD = 32
+# Ends of sentences in other scripts: ideographic full stop, wide full stop ! ?, danda, Arabic question mark.
+_WIDE_ENDS = tuple(c.encode() for c in "。．！？।؟")
 
 
 @dataclass
@@ -68,7 +73,10 @@ def sentences(texts: pa.Array) -> Iterator[Part]:
         if len(part) > 1:
             marked = (part[:-1] == 0xC3) & (part[1:] >= 0x80) & (part[1:] <= 0x9E) & (part[1:] != 0x97)
             part[1:][marked] += 32
+        ends_here = _ENDS[part]
         inside = _INSIDE[part]
+        for mark in _WIDE_ENDS:
+            _mark(part, mark, inside, ends_here)
         before, after = np.zeros_like(inside), np.zeros_like(inside)
         before[1:], after[:-1] = inside[:-1], inside[1:]
         edge = own[:-1][own[:-1] < len(part)]
@@ -76,7 +84,7 @@ def sentences(texts: pa.Array) -> Iterator[Part]:
         after[edge[edge > 0] - 1] = False
         starts = np.flatnonzero(inside & ~before)
         ends = np.flatnonzero(inside & ~after) + 1
-        stops = np.union1d(np.flatnonzero(_ENDS[part]) + 1, own[1:])
+        stops = np.union1d(np.flatnonzero(ends_here) + 1, own[1:])
         place = np.searchsorted(stops, starts, "right")
         used, sentence = np.unique(place, return_inverse=True)
         doc_of = np.searchsorted(own, starts, "right") - 1
@@ -89,17 +97,53 @@ def sentences(texts: pa.Array) -> Iterator[Part]:
         longest = int(width.max()) if len(width) else 0
         # One letter of all words at a time; words fall out as they end.
         alive = np.arange(len(starts))
-        for i in range(min(longest, 32)):
+        for i in range(min(longest, _HEAD)):
             alive = alive[width[alive] > i]
             sums[alive] = (sums[alive] + part[starts[alive] + i]) * U(_BASE) + U(i + 1)
             if i + 1 in STEMS:
                 longer = alive[width[alive] > i + 1]
                 keys.append(_keys(sums[longer] ^ U(i + 1), sentence[longer]))
+        long = np.flatnonzero(width > _HEAD)
+        if len(long):
+            sums[long] ^= _range_hashes(part, starts[long] + _HEAD, ends[long])
         keys.append(_keys(sums, sentence))
+        keys.append(_wide_keys(part, starts, ends, sentence))
         keys = np.unique(np.concatenate(keys))
         yield Part(a, b - a, (keys >> U(32)).astype(np.int64), (keys & U(0xFFFFFFFF)).astype(np.int64), docs, starts[heads] - own[docs], stop - own[docs])
 
 
+def _mark(part: np.ndarray, mark: bytes, inside: np.ndarray, ends_here: np.ndarray) -> None:
+    """Take the bytes of a mark out of words and end a sentence at its last byte."""
+    if len(part) < len(mark) or not (part == mark[0]).any():
+        return
+    at = np.flatnonzero(np.logical_and.reduce([part[i : len(part) - len(mark) + 1 + i] == b for i, b in enumerate(mark)]))
+    for i in range(len(mark)):
+        inside[at + i] = False
+    ends_here[at + len(mark) - 1] = True
+
+
+def _range_hashes(part: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of byte ranges of any length, from sums of the bytes times powers of an odd base."""
+    up, down = powers(len(part))
+    sums = np.zeros(len(part) + 1, np.uint64)
+    np.cumsum((part.astype(np.uint64) + U(1)) * up[: len(part)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def _wide_keys(part: np.ndarray, starts: np.ndarray, ends: np.ndarray, sentence: np.ndarray) -> np.ndarray:
+    """Keys of the runs of three characters in words that hold characters of three bytes or more."""
+    wide = np.concatenate([[0], np.cumsum(part >= 0xE0)])
+    words = np.flatnonzero(wide[ends] > wide[starts])
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    heads = np.flatnonzero((part & 0xC0) != 0x80)
+    tails = np.append(heads[1:], len(part))
+    first, last = np.searchsorted(heads, starts[words]), np.searchsorted(heads, ends[words])
+    many = np.maximum(last - first - 2, 0)
+    at = np.repeat(first, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    return _keys(_range_hashes(part, heads[at], tails[at + 2]) ^ U(3), sentence[np.repeat(words, many)])
+
+
 def _keys(hashes: np.ndarray, sentence: np.ndarray) -> np.ndarray:
     return (sentence.astype(np.uint64) << U(32)) | (mix(hashes) >> U(64 - BITS))
 

@@ -39,7 +39,7 @@ _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * U(_BASE))
 _POS = mix(np.arange(1, 65, dtype=np.uint64) * U(0xD1342543DE82EF95)) | U(1)
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first powers of the base and of its inverse."""
     return tuple(
         np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, b, np.uint64)]))
@@ -95,7 +95,7 @@ def pieces(texts: pa.Array, lower: bool = True) -> Iterator[Piece]:
     """Word positions and hashes; ``lower`` maps A-Z to a-z first."""
     raw, offsets = text_buffers(texts)
     # Made anew for each batch: tables kept in a module would outlive their tasks.
-    up, down = _powers(min(PIECE_BYTES, len(raw)))
+    up, down = powers(min(PIECE_BYTES, len(raw)))
     for a, b in cut(offsets):
         own = offsets[a : b + 1] - offsets[a]
         part = raw[offsets[a] : offsets[b]]
@@ -109,7 +109,7 @@ def pieces(texts: pa.Array, lower: bool = True) -> Iterator[Piece]:
         starts = np.flatnonzero(inside & ~before)
         ends = np.flatnonzero(inside & ~after) + 1
         if len(part) >= len(up):
-            up, down = _powers(len(part))
+            up, down = powers(len(part))
         sums = np.zeros(len(part) + 1, np.uint64)
         np.cumsum(_BYTE[part] * up[: len(part)], out=sums[1:])
         words = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))

@@ -1,7 +1,9 @@
 """Classifiers and language masks: held-out accuracy on separable rows, and odd rows."""
 
+import math
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,3 +88,40 @@ def test_language(spark, documents):
         assert 0 <= r.s <= 1 and (r.l == "und") == (not any(c.isalpha() for c in r.text or ""))
     none = language_masks.tagged(documents, language_masks.train(docs.limit(0))).select("language.lang").distinct().collect()
     assert [r.lang for r in none] == ["und"]
+
+
+def test_one_document_teaches_a_language(spark):
+    rows = [(i, " ".join(random.Random(i).choices(CLEAN, k=20)), "en") for i in range(60)]
+    lone = next(i for i in range(100, 200) if spark.range(i, i + 1).select(~held_out("id")).first()[0])
+    rows.append((lone, "kieli on vanha ja kylä on pieni mutta joki juoksee", "fi"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language_masks.tagged(docs, language_masks.train(docs)).filter(F.col("doc_id") == lone).select("language.*").first()
+    assert got.lang == "fi" and got.score > 0
+
+
+def slots(text):
+    return [set(p.slot[p.sentence == k].tolist()) for p in toxicity.sentences(pa.array([text])) for k in range(len(p.doc_of))]
+
+
+def test_whole_words_and_unspaced_scripts():
+    """Every byte of a word takes part, and scripts without blanks have pieces and sentence ends."""
+    assert slots("a" * 40 + "x") != slots("a" * 40 + "y")
+    assert slots("a" * 40 + "x") == slots("A" * 40 + "X")
+    five = slots("これは文です。次の文です！三つ目？四番目。最後")
+    assert len(five) == 5 and all(len(s) > 2 for s in five)
+    assert len(slots("वाक्य एक। वाक्य दो।")) == 2
+    # The same run of characters gives the same pieces wherever it stands.
+    near, far = slots("悪い言葉")[0], slots("これは長い文の中にある悪い言葉")[0]
+    assert len(near & far) >= 2
+
+
+def test_scores_by_hand(labelled, work, spark):
+    """A document's score is one less the product of its sentences' chances of being clean."""
+    docs, labels = labelled
+    weights, bias = toxicity.train(docs, labels, work)
+    for r in toxicity.scored(docs.filter("doc_id < 40"), (weights, bias)).select("text", "toxicity.score").collect():
+        margins = [bias + sum(weights[s] for s in own) for own in slots(r.text)]
+        clean = 1.0
+        for m in margins:
+            clean *= 1 - 1 / (1 + math.exp(-m))
+        assert math.isclose(r.score, 1 - clean, rel_tol=1e-6, abs_tol=1e-9)
