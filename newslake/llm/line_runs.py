@@ -22,6 +22,9 @@ MIN_CHARS = 20
 MIN_DOCS = 3
 BATCHES = 4
 FAN = 2
+#: Lines from which a bucket is worth a file of its own; tables of fewer have a few buckets only.
+BUCKET_LINES = 20_000
+_FEW_BUCKETS = 16
 
 _BLANKS = " \t\n\u000b\u000c\r"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -32,17 +35,26 @@ class LineRuns:
     """Levelled sorted runs (h1, h2, n, top): documents that hold a key, and the largest id among them.
 
     Batches hold disjoint ids and come in falling order of id, rows without an id last.
+    ``lines`` is about how many lines will come. It decides on the layout alone: as many buckets
+    as shuffle partitions, so that a batch's exchange is also its deal to the buckets, or a few
+    for a table that would fill them with next to nothing.
     """
 
-    def __init__(self, spark: SparkSession, root: str, min_docs: int = MIN_DOCS, fan: int = FAN):
+    def __init__(self, spark: SparkSession, root: str, lines: int, min_docs: int = MIN_DOCS, fan: int = FAN):
         self.spark, self.root, self.min_docs, self.fan = spark, root, min_docs, fan
         self.levels: list[list[str]] = [[]]
         self._tables: list[str] = []
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.full = lines >= parts * BUCKET_LINES
+        self.buckets = parts if self.full else max(1, -(-_FEW_BUCKETS * lines // (parts * BUCKET_LINES)))
+
+    def packed(self, rows: DataFrame) -> DataFrame:
+        """``rows`` in as many tasks as there are buckets."""
+        return rows if self.full else rows.coalesce(self.buckets)
 
     def _write(self, rows: DataFrame) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
-        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        writer = rows.write.bucketBy(buckets, *_KEY).sortBy(*_KEY).option("path", f"{self.root}/{name}")
+        writer = self.packed(rows).write.bucketBy(self.buckets, *_KEY).sortBy(*_KEY).option("path", f"{self.root}/{name}")
         writer.saveAsTable(name)
         self._tables.append(name)
         return name
@@ -113,7 +125,7 @@ def _batches(lines: DataFrame, docs: DataFrame, batches: int) -> list[DataFrame]
     return [lines.filter(r) for r in ranges]
 
 
-def _dropped_places(lines: DataFrame, settled: DataFrame) -> DataFrame:
+def _dropped_places(lines: DataFrame, settled: DataFrame, every: int) -> DataFrame:
     """(doc_id, t, pos) of lines whose key is settled and held by a larger id.
 
     A key with at least one in P of all lines, P the number of shuffle partitions, would fill more than
@@ -121,7 +133,6 @@ def _dropped_places(lines: DataFrame, settled: DataFrame) -> DataFrame:
     way the others go.
     """
     parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    every = lines.count()
     counted = F.col("n") * parts >= every
     other = ~F.col("doc_id").eqNullSafe(F.col("top"))
     hot = settled.filter(counted).select(F.col("h1").alias("hot1"), F.col("h2").alias("hot2"), F.col("top").alias("hot_top"))
@@ -145,15 +156,16 @@ def dedup_lines(
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     lines = scratch.stored(keyed_lines(rows, min_chars), f"{work}/lines")
-    runs = LineRuns(spark, f"{work}/runs", min_docs)
+    every = lines.count()
+    runs = LineRuns(spark, f"{work}/runs", every, min_docs)
     try:
         for batch in _batches(lines, rows, batches):
             runs.add(batch)
-        settled = scratch.stored(runs.settled(), f"{work}/settled")
+        settled = scratch.stored(runs.packed(runs.settled()), f"{work}/settled")
     finally:
         runs.drop()
-    places = _dropped_places(lines, settled).groupBy("doc_id", "t").agg(F.array_sort(F.collect_set("pos")).alias("places"))
-    places = scratch.stored(places, f"{work}/places").select(F.col("doc_id").alias("_doc"), F.col("t").alias("_t"), "places")
+    places = _dropped_places(lines, settled, every).groupBy(F.col("doc_id").alias("_doc"), F.col("t").alias("_t"))
+    places = places.agg(F.array_sort(F.collect_set("pos")).alias("places"))
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_t"))
     found = rows.join(places, same, "left").select("doc_id", F.split("text", "\n").alias("lines"), F.coalesce("places", F.expr("array()").cast("array<int>")).alias("places"))
     # Lines between one dropped place and the next, as slices: linear in lines and places.

@@ -53,8 +53,9 @@ def test_lines_of_a_table(spark, work, batches, least):
     assert sorted((tuple(r) for r in got), key=str) == brute(rows, least)
 
 
-def test_runs_are_compacted_and_dropped(spark, work):
-    runs = line_runs.LineRuns(spark, f"{work}/runs", fan=2)
+@pytest.mark.parametrize("lines", [12, 10**6])
+def test_runs_are_compacted_and_dropped(spark, work, lines):
+    runs = line_runs.LineRuns(spark, f"{work}/runs", lines, fan=2)
     before = len(spark.catalog.listTables())
     for top in (40, 30, 20, 10):
         rows = [(top - i, 1, 1) for i in range(2)] + [(top, 2, top)]
