@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newslake import scratch
 from newslake.functions.text import clean_text, trim_space
-from newslake.operators.dedup import HOT_ROWS, first_valid_per_key
+from newslake.operators.dedup import later_copies, sized_lookup
 from newslake.operators.language import LanguageModel, detect_language, language_sample
 
 # -- fixed values: reject reasons, in rule order, and the rule limits ----------
@@ -59,8 +60,8 @@ def judge(
     raw: DataFrame,
     default_source: str,
     stamp: str | None = None,
-    hot_rows: int = HOT_ROWS,
     work_dir: str | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """Normalised rows with ``errors``: the reasons of rejection, empty where accepted.
 
@@ -68,22 +69,33 @@ def judge(
     url are out before anything else. The first valid row of a url in
     (bronze_key, pos) order is accepted; later rows are duplicates whatever
     their own faults; earlier ones keep their own reasons.
+
+    The cleaned rows are stored below ``work_dir`` (by default a fresh folder of the shared one):
+    all further steps read them, and repeated urls are settled over narrow columns alone.
+    ``parts`` is that of ``join_repeated``.
     """
-    rows = normalize(raw, default_source, stamp)
+    work = work_dir or scratch.run_dir(raw.sparkSession, "judged")
     own = failed_rules(
         F.col("titre"), F.col("date_publication"), F.col("contenu"), F.col("url").rlike(HTTP_URL)
     )
-    rows = rows.withColumn("own_errors", own).withColumn("_url", F.nullif("url", F.lit("")))
-    order = ["bronze_key", "pos"]
-    found = first_valid_per_key(
-        rows, "_url", order, F.size("own_errors") == 0, hot_rows=hot_rows, work_dir=work_dir
+    rows = normalize(raw, default_source, stamp).withColumn("own_errors", own)
+    rows = scratch.stored(rows, f"{work}/normalized")
+    narrow = rows.select(
+        F.nullif("url", F.lit("")).alias("url"), "bronze_key", "pos", (F.size("own_errors") == 0).alias("valid")
+    )
+    later = later_copies(narrow, "url", ["bronze_key", "pos"], "valid", work, parts)
+    later = sized_lookup(later, later.count()).select(
+        F.col("_key").alias("_url"), F.col("bronze_key").alias("_bronze_key"), F.col("pos").alias("_pos"), F.lit(True).alias("_later")
     )
+    # Placed by key and position too, so the rows of one url do not meet in one task.
+    place = (F.col("bronze_key") == F.col("_bronze_key")) & (F.col("pos") == F.col("_pos")) & (F.col("url") == F.col("_url"))
     errors = (
         F.when(F.col("url") == "", F.array(F.lit(NO_URL)))
-        .when(F.struct(*order) > F.col("first_valid"), F.array(F.lit(DUPLICATE)))
+        .when(F.col("_later"), F.array(F.lit(DUPLICATE)))
         .otherwise(F.col("own_errors"))
     )
-    return found.withColumn("errors", errors).drop("own_errors", "first_valid", "_url")
+    found = rows.join(later, place, "left").withColumn("errors", errors)
+    return found.drop("own_errors", "_url", "_bronze_key", "_pos", "_later")
 
 
 def accepted(judged: DataFrame, ingested_at: str | None = None) -> DataFrame:

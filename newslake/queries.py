@@ -113,10 +113,7 @@ def silver_rejects(spark, sf):
 
 def silver_judged_hot(spark, sf):
     """All verdicts with every repeated url treated as a hot key."""
-    judged = judge(
-        raw_articles(spark, sf), "inconnu", stamp=STAMP, hot_rows=2,
-        work_dir=scratch.run_dir(spark, "judged"),
-    )
+    judged = judge(raw_articles(spark, sf), "inconnu", stamp=STAMP, parts=1_000_000)
     return judged.select("bronze_key", "pos", "url", F.array_join("errors", ";").alias("errors"))
 
 

@@ -194,26 +194,17 @@ def read_bronze(
         first = named.select("bronze_key").distinct().orderBy("bronze_key").limit(limit_keys)
         named = named.join(first, "bronze_key", "left_semi")
 
-    article = F.from_json("article", schemas.ARTICLE)
-    singles = latest_per_key(
-        named.where(is_single).select("bronze_key", "dt", "ingested_at", "seq", "file", "article"),
-        ["bronze_key"],
-        ["ingested_at", "seq", "file"],
+    # Of single-article envelopes the last write counts; a batch that was written twice counts once.
+    batch_line = F.when(is_batch, F.col("line_id")).alias("batch_line")
+    found = named.where(is_single | is_batch).select(
+        "bronze_key", batch_line, "dt", "ingested_at", "seq", "file", "line_id",
+        F.when(is_single, F.col("article")).alias("article"), F.when(is_batch, F.col("articles")).alias("articles"),
     )
-    singles = singles.select("bronze_key", F.lit(0).alias("pos"), "dt", article.alias("a"))
-    # A batch that was written twice counts once.
-    batches = latest_per_key(
-        named.where(is_batch).select("bronze_key", "dt", "ingested_at", "line_id", "file", "articles"),
-        ["bronze_key", "line_id"],
-        ["ingested_at", "file"],
-    )
-    batches = batches.select(
-        "bronze_key", "dt", F.posexplode(_objects(F.col("articles"))).alias("pos", "text")
-    )
-    batches = batches.where(_is_object(F.col("text"))).select(
-        "bronze_key", "pos", "dt", F.from_json("text", schemas.ARTICLE).alias("a")
-    )
-    found = singles.unionByName(batches).select("bronze_key", "pos", "dt", "a.*")
+    found = latest_per_key(found, ["bronze_key", "batch_line"], ["ingested_at", "seq", "file", "line_id"])
+    texts = F.when(F.col("article").isNotNull(), F.array("article")).otherwise(_objects(F.col("articles")))
+    found = found.select("bronze_key", "dt", F.posexplode(texts).alias("pos", "text")).where(_is_object(F.col("text")))
+    found = found.select("bronze_key", "pos", "dt", F.from_json("text", schemas.ARTICLE).alias("a"))
+    found = found.select("bronze_key", "pos", "dt", "a.*")
     day = F.coalesce(day_from_path(F.col("bronze_key")), F.col("dt"))
     if today:
         day = F.coalesce(day, F.lit(today))

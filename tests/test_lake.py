@@ -1,11 +1,13 @@
 import json
 import pathlib
+import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from articles import LONG, SAMPLE
+from newslake.operators import dedup
 from newslake.operators.dedup import latest_per_key
 from newslake.operators.upsert import upsert
 from newslake.sources import lake as L
@@ -152,3 +154,35 @@ def test_upsert(spark):
 def test_latest_per_key(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 3, "y"), ("a", 2, "z"), ("b", 1, None)], "k string, o int, v string")
     assert sorted(map(tuple, latest_per_key(df, ["k"], ["o"]).collect())) == [("a", 3, "y"), ("b", 1, None)]
+    assert sorted(map(tuple, latest_per_key(df.drop("v"), ["k"], ["o"]).collect())) == [("a", 3), ("b", 1)]
+
+
+def test_latest_per_key_equals_brute_force(spark, monkeypatch):
+    """One key with a third of the rows, null keys and orders, rows written twice."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(600):
+        key = "hot" if i % 3 == 0 else rng.choice([None, *map(str, range(150))])
+        rows.append((key, rng.choice([None, "x", "y"]), f"file{rng.randrange(9)}", i, f"payload {i}"))
+    rows += [rng.choice(rows) for _ in range(100)]
+    want = {}
+    for r in rows:
+        place = (r[1] is not None, r[1] or "", r[2], r[3])
+        if r[0] not in want or place > want[r[0]][0]:
+            want[r[0]] = (place, r)
+    df = spark.createDataFrame(rows, "k string, o string, f string, pos int, v string").repartition(5)
+    for limit in (50_000, 0):
+        monkeypatch.setattr(dedup, "BROADCAST_ROWS", limit)
+        got = latest_per_key(df, ["k"], ["o", "f", "pos"])
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(str(r) for _, r in want.values())
+
+
+def test_payload_is_in_no_sort(spark, tmp_path, monkeypatch):
+    rows = [(f"u{i % 40}", i, "text " * 50) for i in range(200)]
+    spark.createDataFrame(rows, "k string, o int, v string").write.parquet(str(tmp_path / "rows"))
+    for limit in (50_000, 0):
+        monkeypatch.setattr(dedup, "BROADCAST_ROWS", limit)
+        last = latest_per_key(spark.read.parquet(str(tmp_path / "rows")), ["k"], ["o"])
+        assert last.count() == 40
+        plan = last._jdf.queryExecution().executedPlan().toString()
+        assert "Sort" not in plan.replace("SortMergeJoin", "Sort")

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from articles import LONG, raw
+from newslake import scratch
 from newslake.plans.silver import (
     HTTP_URL, accepted, judge, normalize, rejected, rejects_by_reason, silver_counters, to_silver,
 )
@@ -92,9 +93,9 @@ def brute_force(rows):
     return out
 
 
-@pytest.mark.parametrize("hot_rows", [2, 5, 100_000])
-def test_dedup_equals_brute_force_with_one_dominant_url(spark, tmp_path, hot_rows):
-    rng = random.Random(hot_rows)
+@pytest.mark.parametrize("parts", [1, 3, None])
+def test_dedup_equals_brute_force_with_one_dominant_url(spark, tmp_path, parts):
+    rng = random.Random(parts)
     rows = []
     for i in range(400):
         url = "https://hot.example/x" if i % 3 == 0 else f"https://a.b/{rng.randrange(120)}"
@@ -102,8 +103,43 @@ def test_dedup_equals_brute_force_with_one_dominant_url(spark, tmp_path, hot_row
     rng.shuffle(rows)
     want = brute_force(rows)
     df = raw(spark, *rows).repartition(7)
-    assert verdicts(judge(df, "d", hot_rows=hot_rows)) == want
-    assert verdicts(judge(df, "d", hot_rows=hot_rows, work_dir=str(tmp_path))) == want
+    assert verdicts(judge(df, "d", parts=parts, work_dir=str(tmp_path))) == want
+
+
+def executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_repeated_keys_are_found_without_sorting_texts(spark, tmp_path):
+    rows = [(f"k{i:03d}", i, {"url": "https://hot.example/x" if i % 3 == 0 else f"https://a.b/{i}"}) for i in range(300)]
+    plans = []
+    plain = scratch.stored
+
+    def watched(df, path):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df, path)
+
+    scratch.stored = watched
+    try:
+        judged = judge(raw(spark, *rows), "d", work_dir=str(tmp_path))
+    finally:
+        scratch.stored = plain
+    plans.append(executed(judged))
+    assert not any("SortAggregate" in p for p in plans)
+    # The texts are cleaned once and stored; no later plan touches them but the last, which does not sort.
+    assert [("contenu" in p) for p in plans] == [True, False, False, False, True]
+    assert "Sort " not in plans[-1] and "Exchange hashpartitioning" not in plans[-1]
+
+
+def test_rows_without_url_stay_where_they_are(spark, tmp_path):
+    """A third of the rows has no url; they are in no shuffle by key and stay evenly spread."""
+    rows = [(f"k{i:04d}", i, {"url": "" if i % 3 else f"https://a.b/{i % 50}"}) for i in range(600)]
+    judged = judge(raw(spark, *rows).repartition(6), "d", work_dir=str(tmp_path))
+    sizes = [r["count"] for r in judged.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 600 and max(sizes) <= 2 * 600 / len(sizes)
+    stored = spark.read.parquet(f"{tmp_path}/copies")
+    assert stored.where("_key = '' OR _key IS NULL").isEmpty()
 
 
 def test_accepted_and_rejected_cover_the_input(spark):
