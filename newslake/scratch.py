@@ -31,6 +31,14 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the executors delete the shuffle files of finished jobs whose plans nothing refers to.
+
+    Spark does so when the driver's plans are collected, which may take long on an idle heap.
+    """
+    spark._jvm.System.gc()
+
+
 def drop_dir(spark: SparkSession, path: str) -> None:
     """Delete a run's folder once its result has been read or stored elsewhere."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
