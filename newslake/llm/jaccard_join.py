@@ -341,6 +341,9 @@ def shingle_components(docs: DataFrame, work: str, id_col: str = "doc_id", text_
         postings.join(shared.select("token", "hub"), "token").dropDuplicates(["token", "sid"]), f"{work}/met"
     )
 
+    del postings, shared
+    scratch.release(spark)
+
     # Sets that share much with a hub grow together in rounds.
     sizes = scratch.stored(_central(met), f"{work}/central")
     suspects = _hub_pairs(met, sizes, 0).select(F.explode(F.array("a", "b")).alias("sid")).distinct()
@@ -355,6 +358,10 @@ def shingle_components(docs: DataFrame, work: str, id_col: str = "doc_id", text_
         tried, good = pairs.count(), found.count()
         if good:
             parts = scratch.stored(_merged(parts, found, f"{work}/merge-{turn}"), f"{work}/parts-{turn}")
+            for old in (f"merge-{turn}", "parts" if turn == 0 else f"parts-{turn - 1}"):
+                scratch.drop_dir(spark, f"{work}/{old}")
+        scratch.drop_dir(spark, f"{work}/pairs-{turn}")
+        scratch.release(spark)
         if 50 * good < tried or not good or _meetings(met, parts) <= MEETINGS * met_rows:
             break
         turn += 1
@@ -363,6 +370,9 @@ def shingle_components(docs: DataFrame, work: str, id_col: str = "doc_id", text_
     apart = met.drop("hub").join(parts.select("sid", "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     mixed = apart.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
     apart = scratch.stored(apart.join(mixed.select("token"), "token"), f"{work}/apart")
+    for old in ("met", "near", "central", "arrays"):
+        scratch.drop_dir(spark, f"{work}/{old}")
+    scratch.release(spark)
     probe = apart.filter("pos < size - ceil(3 * size / 4) + matches").select(
         "token", "component", *[F.col(c).alias(f"r_{c}") for c in ("sid", "size", "matches")])
     index = apart.filter(f"pos < size - ceil(6 * size / 7) + {MAX_MATCHES}").select(
@@ -377,8 +387,13 @@ def shingle_components(docs: DataFrame, work: str, id_col: str = "doc_id", text_
         .filter("matched >= r_matches").select("a", "b")
     )
     pairs = scratch.stored(pairs, f"{work}/pairs")
+    scratch.drop_dir(spark, f"{work}/apart")
+    scratch.release(spark)
     rest = _read_sets(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), texts, rows, f"{work}/more-arrays")
     all_links = scratch.stored(links.union(_verified(pairs, rest)), f"{work}/links")
+    for old in ("pairs", "more-arrays"):
+        scratch.drop_dir(spark, f"{work}/{old}")
+    scratch.release(spark)
     whole = components(all_links, f"{work}/whole")
 
     # Names: the smallest id of each set, then of each component; sets alone keep their own.
