@@ -40,6 +40,8 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     rows = with_row_keys(docs, work)
     found = jaccard_join.shingle_components(rows.select(ROW, "text"), f"{work}/join", id_col=ROW)
     found = scratch.stored(found.select(F.col("doc_id").alias(ROW), F.col("component_id").alias("group")), f"{work}/groups")
+    scratch.drop_dir(spark, f"{work}/join")
+    scratch.release(spark)
     groups = found.filter(F.col(ROW) != F.col("group")).select("group").distinct()
     members = found.join(groups, "group", "left_semi").join(rows.select(ROW, "doc_id"), ROW)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", ROW)
@@ -105,5 +107,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = scratch.stored(stage(spark, docs, sf_dir), f"{work}/{name}")
         if before:
             scratch.drop_dir(spark, f"{work}/{before}")
+            scratch.release(spark)
         before = name
     return docs
