@@ -279,7 +279,7 @@ k AS (SELECT 'bronze/source=' || source || '/dt=' || dt || '/articles/' || sha1(
 SELECT bronze_key, titre FROM k WHERE rn = 1 ORDER BY bronze_key LIMIT 25""",
     "silver_rewrite": _A
     + """, s AS (SELECT *, row_number() OVER (PARTITION BY source, dt, url ORDER BY doc_id DESC) AS rn
-         FROM articles WHERE url LIKE 'http%')
+         FROM articles)
 SELECT source, dt, CASE WHEN langue = 'fr' THEN 'second' ELSE 'first' END AS run, count(*) AS n
 FROM s WHERE rn = 1 GROUP BY 1, 2, 3""",
     "page_titles": _CLEAN_PAGES + f"SELECT page_id, {_TITLE} AS titre FROM c",

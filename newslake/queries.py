@@ -174,9 +174,8 @@ def limit_objects(spark, sf):
 def silver_rewrite(spark, sf):
     """A first Silver write of all languages, then a second one of the French articles."""
     root = f"{scratch.run_dir(spark, 'silver')}/silver"
-    rows = articles(spark, sf).where(F.col("url").startswith("http"))
-    rows = rows.withColumn("auteur", F.lit(None).cast("string"))
-    last = latest_per_key(rows, ["source", "dt", "url"], ["doc_id"])
+    rows = articles(spark, sf).withColumn("auteur", F.lit(None).cast("string"))
+    last = scratch.stored(latest_per_key(rows, ["source", "dt", "url"], ["doc_id"]), f"{root}-rows")
     for run, part in (("first", last), ("second", last.where(F.col("langue") == "fr"))):
         stamps = {"normalized_at": F.lit(run), "ingested_at": F.lit(run)}
         L.write_silver(part.withColumns(stamps).drop("doc_id", "pos"), root)
@@ -321,7 +320,7 @@ def stream_resume(spark, sf):
 def batch_dedup(spark, sf):
     """Verdicts over two batches of each source and stamp that share urls."""
     root = f"{scratch.run_dir(spark, 'batches')}/bronze"
-    rows = articles(spark, sf).where(F.col("url").startswith("http")).withColumn("json", L.article_json())
+    rows = articles(spark, sf).withColumn("json", L.article_json())
     listed = F.array_join(F.sort_array(F.collect_list("json")), ",")
     for part in (0, 1):
         batch = rows if part else rows.where(F.col("doc_id") % 3 == 0)

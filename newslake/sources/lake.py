@@ -10,7 +10,7 @@ from newslake import schemas
 from newslake.functions.dates import day_from_path
 from newslake.functions.text import object_id, trim_space
 from newslake.operators.dedup import latest_per_key
-from newslake.operators.upsert import upsert_partitions
+from newslake.operators.upsert import read_versioned, upsert_partitions
 
 _TEXT_OBJECTS = "array<string>"
 _OBJECT_PATH = r"/(source=[^/]+/dt=[^/]+/(?:articles/[0-9a-f]{40}|\d{6}_\w+)\.json)$"
@@ -212,22 +212,25 @@ def read_bronze(
 
 
 # -- Silver --------------------------------------------------------------------
+SILVER = (
+    "bronze_key string, titre string, url string, date_publication string, categorie string, "
+    "auteur string, contenu string, langue string, normalized_at string, ingested_at string, "
+    "source string, dt string"
+)
+_SILVER_PARTITIONS = ["source", "dt"]
+
+
 def write_silver(accepted: DataFrame, root: str) -> None:
-    """Per-url replace under the article's own source and its Bronze day.
+    """Per-url replace under the article's own source and its Bronze day, committed at the end.
 
     ``accepted`` is read several times: pass a stored table, not a costly plan.
     """
-    upsert_partitions(root, accepted, ["source", "dt"], ["url"])
+    upsert_partitions(root, accepted, _SILVER_PARTITIONS, ["url"])
 
 
 def read_silver(spark: SparkSession, root: str) -> DataFrame:
-    """The stored Silver articles; manifests lie outside the scan."""
-    schema = (
-        "bronze_key string, titre string, url string, date_publication string, categorie string, "
-        "auteur string, contenu string, langue string, normalized_at string, ingested_at string, "
-        "source string, dt string"
-    )
-    return spark.read.schema(schema).parquet(root)
+    """The Silver articles of the last committed write; none before the first one."""
+    return read_versioned(spark, root, SILVER, _SILVER_PARTITIONS)
 
 
 def read_silver_envelopes(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:

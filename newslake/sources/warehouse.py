@@ -8,11 +8,10 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslake.operators.upsert import require_keys, upsert
+from newslake.operators.upsert import current_version, require_keys, upsert
 from newslake.schemas import GOLD_DATASETS, gold_schema, warehouse_schema
 from newslake.sources.tables import run_together
 
@@ -32,17 +31,6 @@ def read_gold(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.schema(gold_schema(name)).parquet(f"{base}/{name}")
 
 
-def current_version(spark: SparkSession, root: str) -> int | None:
-    """Number of the last committed load; null before the first one."""
-    try:
-        log = spark.read.schema("version long").json(f"{root}/commits")
-        return log.agg(F.max("version")).first()[0]
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
 def _version_path(root: str, version: int, name: str) -> str:
     return f"{root}/versions/{version:08d}/{name}"
 

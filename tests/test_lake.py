@@ -1,13 +1,13 @@
 import json
 import pathlib
 import random
-import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from articles import LONG, SAMPLE
 from newslake.operators import dedup
+from newslake.operators import upsert as U
 from newslake.operators.dedup import latest_per_key
 from newslake.operators.upsert import upsert
 from newslake.sources import lake as L
@@ -115,15 +115,51 @@ def test_silver_rewrite_replaces_only_its_own_urls(spark, tmp_path):
 
 
 def test_silver_rewrite_reads_only_the_touched_partitions(spark, tmp_path):
-    from newslake.operators.upsert import read_or_empty
-
     root = str(tmp_path / "silver")
     L.write_silver(silver(spark, ("s", "2026-05-09", "a", "1"), ("t", "2026-05-10", "b", "1")), root)
-    folder = F.concat_ws("/", "source", "dt")
-    pruned = read_or_empty(spark, root, silver(spark)).where(folder.isin(["s/2026-05-09"]))
-    text = pruned._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"PartitionFilters: \[\(?concat_ws", text) and "Filter (" not in text
-    assert [r.url for r in pruned.collect()] == ["a"]
+    touched = silver(spark, ("s", "2026-05-09", "x", "2"))
+    before = U.read_versioned(spark, root, L.SILVER, ["source", "dt"], touched)
+    assert [r.url for r in before.collect()] == ["a"]
+    text = before._jdf.queryExecution().optimizedPlan().toString() + before._jdf.queryExecution().sparkPlan().toString()
+    assert "dynamicpruning" in text
+    L.write_silver(touched, root)
+    # The other partition stays where its own load wrote it.
+    assert {p.parent.parent.name for p in (tmp_path / "silver/data").rglob("dt=2026-05-10")} == {"version=1"}
+
+
+def state(spark, root):
+    return sorted((r.source, r.dt, r.url, r.titre) for r in L.read_silver(spark, root).collect())
+
+
+def test_a_write_without_commit_changes_nothing(spark, tmp_path, monkeypatch):
+    """A write that dies between data and commit leaves the old state; the next one replaces what it left."""
+    root = str(tmp_path / "silver")
+    assert state(spark, root) == []
+    L.write_silver(silver(spark, ("s", "d1", "a", "1"), ("t", "d1", "b", "1")), root)
+    before = state(spark, root)
+
+    def killed(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(U, "commit_version", killed)
+        with pytest.raises(RuntimeError, match="killed"):
+            L.write_silver(silver(spark, ("s", "d1", "a", "2"), ("s", "d2", "c", "2")), root)
+    assert (tmp_path / "silver/data/version=2").exists()
+    assert state(spark, root) == before and U.current_version(spark, root) == 1
+    L.write_silver(silver(spark, ("t", "d1", "b", "3")), root)
+    assert state(spark, root) == [("s", "d1", "a", "1"), ("t", "d1", "b", "3")] and U.current_version(spark, root) == 2
+
+
+def test_old_versions_are_dropped(spark, tmp_path):
+    root = str(tmp_path / "silver")
+    for i in range(4):
+        L.write_silver(silver(spark, ("s", "d1", "a", str(i)), *([("t", "d1", "b", "0")] if i == 1 else [])), root)
+    want = [("s", "d1", "a", "3"), ("t", "d1", "b", "0")]
+    assert state(spark, root) == want
+    assert U.drop_old_versions(spark, root, ["source", "dt"]) == 2
+    assert state(spark, root) == want
+    assert {p.name for p in (tmp_path / "silver/data").iterdir() if p.is_dir()} == {"version=2", "version=4"}
 
 
 def test_silver_json_envelopes(spark, tmp_path):
