@@ -147,13 +147,13 @@ _SITE_LINKS = (
   SELECT *, CASE site WHEN 'hespress' THEN 'https://www.hespress.com' WHEN 'akhbarona' THEN 'https://www.akhbarona.com'
       WHEN 'goud' THEN 'https://goud.ma' WHEN 'barlamane' THEN 'https://www.barlamane.com'
       WHEN 'aljazeera' THEN 'https://www.aljazeera.net' WHEN 'bbc_arabic' THEN 'https://www.bbc.com'
-      ELSE 'https://www.reuters.com' END AS o FROM l),
+      WHEN 'reuters' THEN 'https://www.reuters.com' ELSE regexp_extract(url, '^https?://[^/?#]+') END AS o FROM l),
 k AS (
   SELECT page_id, site, o, unnest([1, 2, 3, 4, 5, 6, 7, 8, 9]) AS ord, unnest([
       o || '/2024/01/05/item-' || page_id, o || '/news/' || (100000 + page_id) || '.html',
       o || '/world/story-' || page_id || '/', o || '/tag/2024/01/05/x.html',
       'https://other.example/2024/01/05/' || (10000 + page_id), o || '/2024/01/05/item-' || page_id,
-      o || '/sports/x-' || page_id, o || CASE site WHEN 'bbc_arabic' THEN '/arabic#top' ELSE '/#top' END,
+      CASE WHEN coalesce(site, 'lematin') = 'lematin' THEN regexp_extract(url, '^(.*/)[^/]*$', 1) || 'sports/x-' ELSE o || '/sports/x-' END || page_id, o || CASE site WHEN 'bbc_arabic' THEN '/arabic#top' ELSE '/#top' END,
       o || '/WORLD/story.htm?x=1&y=2']) AS link FROM b),
 s AS (
   SELECT *, starts_with(link, o || '/') AS own,
@@ -165,6 +165,10 @@ g AS (
   SELECT page_id, site, link, min(ord) AS ord FROM s
   WHERE CASE site
     WHEN 'hespress' THEN regexp_matches(link, '/\d{4,}(\.html)?/?$')
+    WHEN 'reuters' THEN own
+      AND regexp_matches(link, '(?i)/(article|world|business|markets|technology|sports|lifestyle|legal|graphics)/')
+      AND NOT regexp_matches(link, '(?i)/(video|videos|authors|author|topic|topics|tag|tags)/')
+      AND regexp_matches(link, '/(article|world|business|markets|technology|sports|lifestyle|legal)/[^/]+/?$')
     WHEN 'akhbarona' THEN own AND NOT listing AND (regexp_matches(link, '/\d{4}/\d{2}/') OR file)
     WHEN 'goud' THEN own AND NOT listing AND (day OR file)
     WHEN 'barlamane' THEN own AND NOT listing AND (day OR file)
@@ -175,10 +179,7 @@ g AS (
     WHEN 'bbc_arabic' THEN own
       AND NOT regexp_matches(link, '(?i)/(live|programmes|topics|tag|tags|author|authors)/')
       AND (regexp_matches(link, '-\d+$') OR day)
-    ELSE own
-      AND regexp_matches(link, '(?i)/(article|world|business|markets|technology|sports|lifestyle|legal|graphics)/')
-      AND NOT regexp_matches(link, '(?i)/(video|videos|authors|author|topic|topics|tag|tags)/')
-      AND regexp_matches(link, '/(article|world|business|markets|technology|sports|lifestyle|legal)/[^/]+/?$') END
+    ELSE regexp_matches(link, '/\d{4,}(\.html)?/?$') END
   GROUP BY 1, 2, 3)
 SELECT page_id, site, CAST(row_number() OVER (PARTITION BY page_id ORDER BY ord) - 1 AS INTEGER) AS pos, link FROM g
 """
@@ -282,7 +283,9 @@ SELECT bronze_key, titre FROM k WHERE rn = 1 ORDER BY bronze_key LIMIT 25""",
          FROM articles)
 SELECT source, dt, CASE WHEN langue = 'fr' THEN 'second' ELSE 'first' END AS run, count(*) AS n
 FROM s WHERE rn = 1 GROUP BY 1, 2, 3""",
-    "page_titles": _CLEAN_PAGES + f"SELECT page_id, {_TITLE} AS titre FROM c",
+    "page_titles": _CLEAN_PAGES
+    + f"""SELECT page_id, trim(CASE page_id % 5 WHEN 0 THEN 'A © B & C ' WHEN 1 THEN '¬it; ½x &unknown; '
+        WHEN 2 THEN '© éz – ' WHEN 3 THEN 'été & &amp; ' ELSE 'a &b; & &; &#; ' END || {_TITLE}) AS titre FROM c""",
     "page_bodies": _CLEAN_PAGES + f"SELECT page_id, {_BODY} AS contenu FROM c",
     "page_meta": _META + "SELECT page_id, date_publication, categorie, auteur FROM e",
     "page_report": _META
@@ -351,4 +354,5 @@ UNION ALL SELECT 'mots_cles', least(50, count(DISTINCT tok)) FROM kept
 UNION ALL SELECT 'top_sujets', least(50, count(*)) FROM pr""",
     "medallion_run": _RUN,
 }
+ORACLES["link_limit"] = f"SELECT * FROM ({_SITE_LINKS}) WHERE pos < 3"
 ORACLES["stream_resume"] = ORACLES["stream_speed_zone"]

@@ -22,7 +22,7 @@ from newslake.sources import events as E
 from newslake.sources import lake as L
 from newslake.sources.warehouse import read_tables
 from newslake.streaming import rolling, speed
-from newslake.views import ARTICLES, DATED, LISTINGS, PAGES_META, RAW
+from newslake.views import ARTICLES, DATED, LISTINGS, PAGES_META, PAGES_REFERENCES, RAW
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -162,6 +162,11 @@ def bronze_round_trip(spark, sf):
     )
 
 
+def link_limit(spark, sf):
+    """The first three links of every listing page."""
+    return P.extract_links(_view(spark, sf, LISTINGS), n=3).select("page_id", "site", "pos", "link")
+
+
 def limit_objects(spark, sf):
     root = f"{scratch.run_dir(spark, 'bronze')}/bronze"
     rows = articles(spark, sf).withColumn("json", L.article_json())
@@ -191,7 +196,7 @@ def _pages(spark, sf):
 
 
 def page_titles(spark, sf):
-    return P.extract_articles(_pages(spark, sf)).select("page_id", "titre")
+    return P.extract_articles(_view(spark, sf, PAGES_REFERENCES)).select("page_id", "titre")
 
 
 def page_bodies(spark, sf):
@@ -405,7 +410,7 @@ QUERIES: dict[str, Query] = {
         articles_per_day, publication_days, articles_per_source, articles_per_theme, articles_per_country,
         silver_accepted, silver_rejects, silver_judged_hot, reject_reasons, run_counters,
         bronze_latest, bronze_round_trip, limit_objects, silver_rewrite,
-        page_titles, page_bodies, page_meta, page_report, page_invalid_details, page_links, site_links,
+        page_titles, page_bodies, page_meta, page_report, page_invalid_details, page_links, site_links, link_limit,
         language_accuracy,
         speed_words, rolling_source_counts, rolling_top_words, event_envelopes,
         stream_speed_zone, stream_resume, batch_dedup, stream_dead_letters, stream_source_counts, stream_top_words,

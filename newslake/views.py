@@ -58,6 +58,15 @@ SELECT doc_id, dt,
 FROM a
 """
 
+# Pages whose titles hold references of all kinds: old names without ';', unknown names, numbers.
+PAGES_REFERENCES = """
+SELECT page_id, url, 'any' AS site,
+       replace(html, '<h1>', concat('<h1>', CASE page_id % 5
+         WHEN 0 THEN 'A &copy B &amp C ' WHEN 1 THEN '&notit; &frac12x &unknown; ' WHEN 2 THEN '&#169 &#xe9z &#150; '
+         WHEN 3 THEN '&eacute;t&eacute &AMP &ampamp; ' ELSE 'a &b; & &; &#; ' END)) AS html
+FROM {pages}
+"""
+
 # Pages with category, author and date markup of every kind.
 PAGES_META = """
 SELECT page_id, url, 'any' AS site,
@@ -69,7 +78,12 @@ SELECT page_id, url, 'any' AS site,
          CASE page_id % 3 WHEN 1 THEN '<meta property="article:published_time" content="2024-02-03T04:05:06Z">'
                           ELSE '' END)),
          '<article>', concat(
-         CASE page_id % 4 WHEN 0 THEN concat('<div class="top breadcrumb"><div><a href="/c"><i>Cat</i>', page_id, '</a></div></div>')
+         CASE page_id % 4 WHEN 0 THEN concat(
+                            CASE page_id % 8 WHEN 0 THEN '<ul class="breadcrumb"><li>no link</li></ul>'
+                                             ELSE '<p class="breadcrumb"><a href="/e"> </a></p>' END,
+                            CASE page_id % 8 WHEN 0 THEN '<div' ELSE '<nav' END,
+                            ' class="top breadcrumb"><div><a href="/c"><i>Cat</i>', page_id, '</a></div>',
+                            CASE page_id % 8 WHEN 0 THEN '</div>' ELSE '</nav>' END)
                           WHEN 1 THEN '<a rel="category tag" href="/t">Tagged</a>' ELSE '' END,
          '<article>',
          CASE page_id % 5 WHEN 0 THEN '<author>By <b>A</b></author>'
@@ -81,12 +95,12 @@ SELECT page_id, url, 'any' AS site,
 FROM {pages}
 """
 
-# Listing pages of every site, with links of all shapes.
+# Listing pages of every site, of one without a rule and of none, with links of all shapes.
 LISTINGS = """
 SELECT page_id, url,
-       CASE page_id % 7 WHEN 0 THEN 'hespress' WHEN 1 THEN 'akhbarona' WHEN 2 THEN 'goud'
+       CASE page_id % 9 WHEN 0 THEN 'hespress' WHEN 1 THEN 'akhbarona' WHEN 2 THEN 'goud'
                         WHEN 3 THEN 'barlamane' WHEN 4 THEN 'aljazeera' WHEN 5 THEN 'bbc_arabic'
-                        ELSE 'reuters' END AS site,
+                        WHEN 6 THEN 'reuters' WHEN 7 THEN 'lematin' END AS site,
        concat(
          '<a class="x" href="/2024/01/05/item-', page_id, '">1</a>',
          '<A HREF=''/news/', 100000 + page_id, '.html''>2</A>',

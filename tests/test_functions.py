@@ -1,3 +1,4 @@
+import html
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -91,6 +92,14 @@ def test_character_references(spark):
     assert values(spark, inputs, H.text_of(H.readable(F.col("c")))) == want
 
 
+def test_references_are_read_as_the_standard_library_reads_them(spark):
+    inputs = [
+        "A &copy B &amp C", "&notit; &notin; &frac12x", "&#169 &#xe9z &#150; &#0; &#xD800;", "&#x110000;&#99999999999;", "&ampamp; &ltb&gt",
+        "&;&#;&#x; & &&copy", "caf&eacute &Eacute &THORN", "x&y=1&copy=2", "&" * 5, "", "&copy",
+    ]
+    assert values(spark, inputs, H.as_text(F.col("c"))) == [" ".join(html.unescape(x).split()) for x in inputs]
+
+
 def test_attributes(spark):
     inputs = [
         "<a class='x' href=\"/a?b=1&amp;c=2\">", "<a data-href='no' HREF = /x >", "<a name=href>",
@@ -99,7 +108,18 @@ def test_attributes(spark):
     assert values(spark, inputs, H.attribute(F.col("c"), "href")) == ["/a?b=1&c=2", "/x", None, "yes", ""]
 
 
-def test_long_malformed_tag_is_safe(spark):
-    page = "<div " + "x " * 50_000 + "<h1>T</h1>"
-    assert values(spark, [page], F.length(H.tail_from(F.col("c"), H.tag_with_class("byline")))) == [0]
-    assert values(spark, [page], F.length(H.tail_from(F.col("c"), H.tag_named("h1")))) == [len("<h1>T</h1>")]
+def test_addresses_keep_what_only_looks_like_a_reference(spark):
+    tags = ['<a href="/a?x=1&copy=2&reg;&amp;y">', '<a href="/a?&notit&lt">']
+    assert values(spark, tags, H.attribute(F.col("c"), "href")) == ["/a?x=1&copy=2®&y", "/a?&notit<"]
+
+
+def test_tag_index(spark):
+    page = """<P title="5" tall">a<b class='x  y'\tid=q>c</b ><img alt="1 > 0"><i data-x=it's>d</i></p>"""
+    names = F.transform(H.tag_index(F.col("c")), lambda e: F.concat_ws(":", e["name"], e["ends"], F.trim(e["classes"])))
+    assert values(spark, [page], names) == [["p:false:", "b:false:x  y", "b:true", "img:false:", "i:false:", "i:true", "p:true"]]
+    assert values(spark, [page], H.texts_between(F.col("c"))) == [["", "a", "c", "", "", "d", "", ""]]
+
+
+def test_long_malformed_tags_are_safe(spark):
+    pages = ["<div " + "x " * 50_000 + "<h1>T</h1>", "<div " + "a='1' " * 20_000 + ">", "<div " + "= " * 20_000 + "<p>T</p>", "<a " + '"' * 9_999]
+    assert all(n >= 0 for n in values(spark, pages, F.size(H.tag_index(H.readable(F.col("c"))))))

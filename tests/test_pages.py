@@ -41,6 +41,11 @@ def test_category_chain(spark):
         ("goud", '<div class="breadcrumbs"><a>Crumb</a></div>', None),
         ("goud", '<meta property="article:section" content=" Sec  tion ">', "Sec tion"),
         ("goud", '<div class="Breadcrumb"><a>case matters</a></div>', None),
+        # Any container counts: the first link inside one, wherever it is.
+        ("goud", '<ul class="breadcrumb"><li>none</li></ul><ul class="breadcrumb"><li><a>Second</a></li></ul>', "Second"),
+        ("goud", '<p class="breadcrumb"><a> </a></p><nav class="breadcrumb"><a>Nav</a></nav>', "Nav"),
+        ("goud", '<p class="breadcrumb"><a> </a></p><p class="breadcrumb"><a>Later</a></p>', None),
+        ("hespress", '<div class="post-categories">x</div><div class="post-categories"><a>Post</a></div>', "Post"),
     ]
     assert [r.categorie for r in many(spark, [(html, site) for site, html, _ in cases])] == [c[-1] for c in cases]
 
@@ -115,6 +120,18 @@ def test_links_are_distinct_in_order_and_limited(spark):
     assert got == [(0, "https://goud.ma/2024/01/03/x-3"), (1, "https://goud.ma/2024/01/01/x-1")]
 
 
+def test_sites_without_a_rule_get_the_default_row(spark):
+    html = "<a href='/x/12345.html'>1</a><a href='https://o.h/6789/'>2</a><a href='/about'>3</a>"
+    rows = [("https://a.b/list", html, "lematin"), ("https://c.d/", html, None)]
+    df = spark.createDataFrame(rows, "url string, html string, site string")
+    got = sorted((r.site or "", r.pos, r.link) for r in P.extract_links(df).collect())
+    assert got == [
+        ("", 0, "https://c.d/x/12345.html"), ("", 1, "https://o.h/6789/"),
+        ("lematin", 0, "https://a.b/x/12345.html"), ("lematin", 1, "https://o.h/6789/"),
+    ]
+    assert P.extract_links(df, (P.ANY_LINK,), default=None).count() == 0
+
+
 def test_listing_without_links_gives_no_rows(spark):
     df = spark.createDataFrame([("u", "<a name=x>l</a>", "goud")], "url string, html string, site string")
     assert P.extract_links(df).count() == 0
