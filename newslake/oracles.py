@@ -248,7 +248,7 @@ ORACLES: dict[str, str] = {
     "articles_per_day": _A + _per(_DAY, "date"),
     "publication_days": _input(DATED, "dated")
     + """
-SELECT doc_id, CASE WHEN doc_id % 8 = 2 AND CAST(dt[9:10] AS INT) <= 12
+SELECT doc_id, CASE WHEN doc_id % 16 = 2 AND CAST(dt[9:10] AS INT) <= 12
                     THEN make_date(2024, CAST(dt[9:10] AS INT), 1) ELSE CAST(dt AS DATE) END AS date FROM dated""",
     "articles_per_source": _A + _per("coalesce(nullif(trim(source), ''), 'unknown')", "source"),
     "articles_per_theme": _A + _per(_THEME, "theme"),

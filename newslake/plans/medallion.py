@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 from hashlib import sha1
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -42,16 +41,14 @@ class Run:
 
 
 def new_run(gold_prefix: str | None = None, now: datetime | None = None) -> Run:
-    """A run named after the time, or after the parts found in a given Gold prefix."""
+    """A run named after the time, or after the ``name=value`` parts of a given Gold prefix."""
     now = now or datetime.now(timezone.utc)
-    stamp = now.isoformat()
-    run_id = re.search(r"run_id=([^/]+)", gold_prefix or "")
-    day = re.search(r"dt=(\d{4}-\d{2}-\d{2})", gold_prefix or "")
-    return Run(
-        run_id.group(1) if run_id else sha1(stamp.encode()).hexdigest()[:12],
-        day.group(1) if day else now.strftime("%Y-%m-%d"),
-        stamp,
-    )
+    parts = dict(p.split("=", 1) for p in (gold_prefix or "").split("/") if "=" in p)
+    try:
+        day = date.fromisoformat(parts.get("dt", "")[:10]).isoformat()
+    except ValueError:
+        day = f"{now:%Y-%m-%d}"
+    return Run(parts.get("run_id") or sha1(now.isoformat().encode()).hexdigest()[:12], day, now.isoformat())
 
 
 def _append_manifest(spark: SparkSession, path: str, row: dict) -> None:

@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from newslake import schemas
 from newslake.functions.text import trim_space
 
+# -- fixed values: event type and stage name ------------------------------------
 EVENT_TYPE = "article.scraped"
+DECODE_STAGE = "deserialize_or_validate"
+# -----------------------------------------------------------------------------
 
 
 def kafka_options(servers: str, topic: str, starting: str = "latest", **more: str) -> dict[str, str]:
@@ -71,12 +74,14 @@ def parse_events(records: DataFrame) -> DataFrame:
     """Add the decoded event and ``error``, null where the record is usable.
 
     A value must be one JSON object that holds an object ``article``. The value is read as
-    the only element of a list: nothing may follow it, white space may surround it, repeated
-    members and non-finite numbers pass.
+    the first of two elements of a list, the second being the value's own hash, which it cannot hold:
+    whatever closes the list early or adds elements hides or moves it, so nothing may follow the object. White space may
+    surround it, repeated members and non-finite numbers pass.
     """
-    listed = F.from_json(F.concat(F.lit("["), F.col("value"), F.lit("]")), "array<string>")
+    marker = F.md5(F.col("value").cast("binary"))
+    listed = F.from_json(F.concat(F.lit("["), F.col("value"), F.lit(',"'), marker, F.lit('"]')), "array<string>")
     with_list = records.withColumn("listed", listed)
-    one = F.coalesce(F.size("listed") == 1, F.lit(False))
+    one = F.coalesce((F.size("listed") == 2) & (F.get("listed", F.lit(1)) == marker), F.lit(False))
     object_text = F.coalesce(F.ltrim("value", F.lit(" \t\r\n")).startswith("{"), F.lit(False))
     event = F.from_json(F.get("listed", F.lit(0)), schemas.EVENT_TEXT)
     with_event = with_list.withColumn("event", F.when(one & object_text, event))
@@ -106,5 +111,5 @@ def event_articles(parsed: DataFrame) -> DataFrame:
 
 def dead_letters(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("error").isNotNull()).select(
-        F.lit("deserialize_or_validate").alias("stage"), "error", "topic", "partition", "offset", "value"
+        F.lit(DECODE_STAGE).alias("stage"), "error", "topic", "partition", "offset", "value"
     )

@@ -52,7 +52,7 @@ SPEED = (
 )
 DEAD_LETTERS = f"stage string, error string, topic string, partition int, offset long, value string, {_RUN}"
 SOURCE_COUNTS = f"window_start timestamp, key string, n long, started string, {_RUN}"
-TOP_WORDS = f"window_start timestamp, key string, n long, rank int, {_RUN}"
+TOP_WORDS = f"window_start timestamp, key string, n long, rank int, started string, {_RUN}"
 
 
 def _write_batch(df: DataFrame, zone: str, batch_id: int, *partitions: str) -> None:
@@ -159,9 +159,10 @@ def start_top_words(
     """
     articles = normalize(event_articles(parse_events(records)), "unknown")
     counts = rolling_word_counts(articles, ts="event_time")
+    started = datetime.now(timezone.utc).isoformat(timespec="microseconds")
 
     def rank(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(rolling_top(batch, n), f"{out}/top_words", batch_id)
+        _write_batch(rolling_top(batch, n).withColumn("started", F.lit(started)), f"{out}/top_words", batch_id)
 
     return (
         counts.writeStream.outputMode("append")
@@ -173,5 +174,9 @@ def start_top_words(
 
 
 def read_top_words(spark: SparkSession, out: str) -> DataFrame:
-    """The ranked words of closed windows, of all queries."""
-    return _read_zone(spark, f"{out}/top_words", TOP_WORDS).select("window_start", "key", "n", "rank").distinct()
+    """One ranking of each closed window: that of the query started last that closed it."""
+    stored = _read_zone(spark, f"{out}/top_words", TOP_WORDS)
+    place = F.struct("started", "run", "batch_id")
+    last = stored.groupBy("window_start").agg(F.max(place).alias("_last")).withColumnRenamed("window_start", "_window")
+    ranked = stored.join(last, (F.col("window_start") == F.col("_window")) & (place == F.col("_last")))
+    return ranked.select("window_start", "key", "n", "rank")

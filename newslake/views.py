@@ -46,7 +46,15 @@ FROM a
 # The publication day in several notations.
 DATED = _D + """
 SELECT doc_id, dt,
-       CASE doc_id % 8
+       CASE doc_id % 16
+         WHEN 8 THEN concat(substr(dt, 9, 2), 'th of January 2024')
+         WHEN 9 THEN concat('2024 Jan ', substr(dt, 9, 2))
+         WHEN 10 THEN concat('January ', substr(dt, 9, 2), ' 2024 6pm')
+         WHEN 11 THEN '2023-05-09T99:99'
+         WHEN 12 THEN concat('6:30 p.m. CET, Tuesday the ', substr(dt, 9, 2), 'th of Jan., 2024')
+         WHEN 13 THEN concat(substr(dt, 9, 2), '-Jan-24')
+         WHEN 14 THEN 'January 2024'
+         WHEN 15 THEN concat('on Jan ', substr(dt, 9, 2), ' and more 2024')
          WHEN 0 THEN concat(dt, 'T23:30:00-05:00')
          WHEN 1 THEN NULL
          WHEN 2 THEN concat(substr(dt, 9, 2), '/01/2024')

@@ -65,6 +65,21 @@ def test_publication_day(spark):
     assert values(spark, [written for written, _ in cases], publication_day(F.col("c"))) == want
 
 
+def test_publication_day_with_its_parts_in_any_order(spark):
+    same = [
+        "9th of May 2026", "2026 May 9", "May 9 2026 6pm", "6pm May 9 2026", "9-May-2026", "9/may/26", "May 9 26", "26 9 May", "2026, 9 MAY",
+        "Saturday, the 9th of May, 2026", "18:00:00 GMT Sat 9 May 2026", "9 May 2026 18:00 +0200 (CEST)", "May 9th 2026 at 5:30 p.m.",
+        "Sept 9, 2026".replace("Sept", "May"), "May 9, 2026T10:00Z", "9.May.2026", "2026-May-09 23:59:59", "Sat. 9 May 2026", "on May the 9th 2026",
+    ]
+    none = [
+        "2026-05-09T99:99", "2026-05-09 25:00", "May 9 2026 7:77", "May 2026", "9 May", "May 9 9 2026", "9 May June 2026", "May 9 2026 soon", "may", "31 Feb 2026",
+        "20260509T2561", "May 99 2026", "May 9th 8th",
+    ]
+    got = values(spark, same + none, publication_day(F.col("c")))
+    assert {t: str(g) for t, g in zip(same, got) if str(g) != "2026-05-09"} == {}
+    assert {t: g for t, g in zip(none, got[len(same):]) if g is not None} == {}
+
+
 def test_day_from_path(spark):
     inputs = ["bronze/source=a/dt=2026-05-09/x.json", "bronze/source=a/dt=2026/x.json", None]
     assert values(spark, inputs, day_from_path(F.col("c"))) == ["2026-05-09", None, None]

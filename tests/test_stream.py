@@ -114,3 +114,28 @@ def test_kafka_options():
     options = E.kafka_options("h:9092", "articles", "earliest", maxOffsetsPerTrigger="10")
     assert options["subscribe"] == "articles" and options["startingOffsets"] == "earliest"
     assert E.kafka_sink_options("h:9092", "articles")["kafka.acks"] == "all"
+
+
+def test_nothing_may_follow_the_object(spark, tmp_path):
+    """Values that close the list early, or add to it, are no events."""
+    good = event("https://a.b/1")
+    bad = ['{"article":{}}] trailing', '{"article":{"url":"u"}}],["x"', f"{good},{good}", f'{good},"end of value"', f'{good}]', f'{good},"end of value"]', "[" + good, good + "}"]
+    rows = [(i, v) for i, v in enumerate([good, f"  {good}\n", *bad])]
+    parsed = E.parse_events(spark.createDataFrame(rows, "offset int, value string"))
+    got = {r.offset: r.error for r in parsed.select("offset", "error").collect()}
+    assert got[0] is None and got[1] is None and all(got[i] for i in range(2, len(rows)))
+
+
+def test_one_ranking_per_window_after_a_second_query(spark, tmp_path):
+    """A second query over more records ranks the same windows anew; its ranking counts."""
+    out, path = str(tmp_path / "out"), str(tmp_path / "log")
+    first = [event("https://a.b/1", contenu="alpha alpha beta"), event("https://a.b/9", minute=40)]
+    stream = records(spark, path, first)
+    speed.start_top_words(stream, out, str(tmp_path / "one"), n=2, trigger=NOW).awaitTermination()
+    more = [event("https://a.b/2", contenu="beta beta beta", minute=1), event("https://a.b/8", minute=41)]
+    stream = records(spark, str(tmp_path / "log2"), first + more)
+    speed.start_top_words(stream, out, str(tmp_path / "two"), n=2, trigger=NOW).awaitTermination()
+    ranks = speed.read_top_words(spark, out).groupBy("window_start", "rank").count()
+    assert ranks.where("count > 1").isEmpty() and not ranks.isEmpty()
+    top = speed.read_top_words(spark, out).where(F.col("window_start") == F.lit(START)).orderBy("rank").first()
+    assert (top.key, top.n) == ("beta", 4)
