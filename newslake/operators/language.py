@@ -2,7 +2,8 @@
 
 Training sums trigram counts per language with Spark; each task first reduces
 its rows to one count per language and bucket. Tagging adds the log weights of a
-text's trigrams and takes the best language. It is a map-side step without a
+text's trigrams, which are whole numbers, so their sum does not depend on the order, and takes
+the best language. It is a map-side step without a
 shuffle and the package's only Python one: it works on Arrow batches with numpy
 arrays, many times faster than building a string per trigram.
 """
@@ -22,7 +23,10 @@ from pyspark.sql import functions as F
 from newslake.functions.text import clean_text
 
 MIN_SAMPLE_CHARS = 20
+#: Bounds the weight table that tasks hold; a profile table of more languages is refused.
 MAX_LANGUAGES = 256
+#: Log weights are kept in thousandths.
+WEIGHT_SCALE = 1000
 _BUCKET_BITS = 15
 _BUCKETS = 1 << _BUCKET_BITS
 _BLANK = ord(" ")
@@ -83,7 +87,7 @@ def train_lang_profiles(labelled: DataFrame, text: str = "text", lang: str = "la
 @dataclass(frozen=True)
 class LanguageModel:
     languages: tuple[str, ...]
-    weights: np.ndarray  # bucket x language
+    weights: np.ndarray  # bucket x language, whole numbers
 
 
 def load_profiles(profiles: DataFrame) -> LanguageModel:
@@ -96,7 +100,7 @@ def load_profiles(profiles: DataFrame) -> LanguageModel:
     counts = np.ones((_BUCKETS, len(languages)))
     place = {lang: i for i, lang in enumerate(languages)}
     counts[rows["bucket"], rows["lang"].map(place)] += rows["n"]
-    return LanguageModel(languages, np.log(counts / counts.sum(axis=0)).astype(np.float32))
+    return LanguageModel(languages, np.round(WEIGHT_SCALE * np.log(counts / counts.sum(axis=0))).astype(np.int64))
 
 
 def detect_language(

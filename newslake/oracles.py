@@ -185,6 +185,42 @@ SELECT page_id, site, CAST(row_number() OVER (PARTITION BY page_id ORDER BY ord)
 """
 )
 
+# -- language ------------------------------------------------------------------
+def _trigrams(name: str, table: str, keep: str, text: str) -> str:
+    """CTE ``name``: the columns ``keep`` and a bucket for each trigram of the cleaned text."""
+    mixed = "xor(xor((c[i] * 2654435761) & 4294967295, (c[i + 1] * 2246822507) & 4294967295), (c[i + 2] * 3266489909) & 4294967295)"
+    return rf"""{name}_s AS (
+  SELECT {keep}, list_transform(string_split(' ' || regexp_replace(regexp_replace(lower({text}), '[^\p{{L}}]+', ' ', 'g'), '^ ', '') || ' ', ''), lambda x: ord(x)) AS c
+  FROM {table}),
+{name} AS (
+  SELECT {keep}, unnest(list_transform(range(1, len(c) - 1), lambda i: ((({mixed}) * 668265263) & 4294967295) >> 17)) AS bucket
+  FROM {name}_s WHERE len(c) > 2)
+"""
+
+
+def _profiles(where: str) -> str:
+    """CTEs down to ``profiles`` (lang, bucket, n) of the documents that ``where`` names, and ``weights``."""
+    learnt = f"(SELECT lang, {_clean('text')} AS text FROM documents WHERE lang IS NOT NULL AND {where})"
+    return f"""{_trigrams("learnt", learnt, "lang", "text")},
+profiles AS (SELECT lang, CAST(bucket AS BIGINT) AS bucket, count(*) AS n FROM learnt GROUP BY 1, 2),
+totals AS (SELECT lang, sum(n) + 32768 AS total FROM profiles GROUP BY 1),
+weights AS (SELECT p.lang, p.bucket, CAST(round(1000 * ln((n + 1) / total)) AS BIGINT) AS w FROM profiles p JOIN totals USING (lang)),
+bare AS (SELECT lang, CAST(round(1000 * ln(1 / total)) AS BIGINT) AS w FROM totals)
+"""
+
+
+def _tagged(table: str, key: str, text: str) -> str:
+    """CTE ``tags`` (key, langue) for rows of ``table`` with a sample of 20 characters that holds letters."""
+    return f"""{_trigrams("seen", f"(SELECT * FROM {table} WHERE length({text}) >= 20)", key, text)},
+counted AS (SELECT {key}, CAST(bucket AS BIGINT) AS bucket, count(*) AS n FROM seen GROUP BY {key}, 2),
+lengths AS (SELECT {key}, sum(n) AS total FROM counted GROUP BY {key}),
+gains AS (SELECT {key}, lang, sum(n * (weights.w - bare.w)) AS gain
+          FROM counted JOIN weights USING (bucket) JOIN bare USING (lang) GROUP BY {key}, lang),
+scores AS (SELECT {key}, lang, total * w + coalesce(gain, 0) AS score FROM lengths CROSS JOIN bare LEFT JOIN gains USING ({key}, lang)),
+tags AS (SELECT {key}, arg_min(lang, (-score, lang)) AS langue FROM scores GROUP BY {key})
+"""
+
+
 # -- stream --------------------------------------------------------------------
 _WORDS = r"""regexp_extract_all(lower(titre || ' ' || contenu), '([\p{L}\p{N}_\x{0600}-\x{06FF}'']+)', 1)"""
 _WORD_OK = r"length(mot) >= 3 AND NOT regexp_full_match(mot, '[\p{Nd}²³¹]+')"
@@ -221,7 +257,9 @@ b AS (
   FROM stored WHERE rn = 1)
 """
     + _judge("b").replace("{default}", "hespress")
-    + f""", ok AS (SELECT *, NULL AS langue FROM judged WHERE len(errors) = 0),
+    + f""", ok AS (SELECT *, titre || '. ' || contenu AS sample FROM judged WHERE len(errors) = 0),
+{_profiles("doc_id % 2 = 0")},
+{_tagged("ok", "url", "sample")},
 t AS (SELECT unnest({_split("titre || ' ' || contenu")}) AS tok FROM ok),
 kw AS (SELECT DISTINCT tok FROM t WHERE {_keep("tok", "''")}),
 tt AS (SELECT list_filter({_split("titre")}, lambda x: {_keep("x", "''")}) AS ws FROM ok),
@@ -236,6 +274,7 @@ UNION ALL SELECT 'articles_par_theme', count(DISTINCT {_THEME}) FROM ok
 UNION ALL SELECT 'articles_par_pays', count(DISTINCT {_COUNTRY}) FROM ok
 UNION ALL SELECT 'mots_cles', least(50, count(*)) FROM kw
 UNION ALL SELECT 'top_sujets', least(50, count(*)) FROM pr
+UNION ALL SELECT 'langue=' || coalesce(langue, ''), count(*) FROM ok LEFT JOIN tags USING (url) GROUP BY 1
 """
 )
 
@@ -300,6 +339,15 @@ f AS (SELECT page_id, link, min(i) AS i FROM u GROUP BY 1, 2),
 r AS (SELECT page_id, link, row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS pos FROM f)
 SELECT page_id, CAST(pos AS INTEGER) AS pos, link FROM r WHERE pos < 20""",
     "site_links": _SITE_LINKS,
+    "language_profiles": f"WITH {_profiles('doc_id % 2 = 0')} SELECT * FROM profiles",
+    "language_tags": f"""WITH {_profiles("doc_id % 2 = 0")},
+odd AS (SELECT doc_id, {_clean("text")} AS text FROM documents WHERE doc_id % 2 = 1),
+{_tagged("odd", "doc_id", "text")}
+SELECT doc_id, langue FROM odd LEFT JOIN tags USING (doc_id)""",
+    "language_accuracy": f"""WITH {_profiles("true")},
+every AS (SELECT doc_id, {_clean("text")} AS text FROM documents),
+{_tagged("every", "doc_id", "text")}
+SELECT lang, count(*) AS n, count(*) FILTER (langue = lang) AS correct FROM documents LEFT JOIN tags USING (doc_id) GROUP BY 1""",
     "speed_words": _A
     + f", w AS (SELECT unnest({_WORDS}) AS mot FROM articles) SELECT mot, count(*) AS count FROM w WHERE {_WORD_OK} GROUP BY 1",
     "rolling_source_counts": f"""WITH s AS (SELECT event_type AS key, {_STARTS} AS window_start FROM events)

@@ -239,6 +239,22 @@ def language_accuracy(spark, sf):
     )
 
 
+def _even_profiles(spark, sf):
+    return train_lang_profiles(_table(spark, sf, "documents").where(F.col("doc_id") % 2 == 0))
+
+
+def language_profiles(spark, sf):
+    """Trigram counts of the documents with even ids."""
+    return _even_profiles(spark, sf).select("lang", F.col("bucket").cast("long").alias("bucket"), "n")
+
+
+def language_tags(spark, sf):
+    """Language of the documents with odd ids, learnt from the others."""
+    odd = _table(spark, sf, "documents").where(F.col("doc_id") % 2 == 1)
+    model = load_profiles(_even_profiles(spark, sf))
+    return detect_language(odd, model, clean_text(F.col("text"))).select("doc_id", "langue")
+
+
 # -- stream ----------------------------------------------------------------------
 def speed_words(spark, sf):
     return rolling.word_counts(articles(spark, sf))
@@ -384,7 +400,7 @@ def _chart(name: str) -> Query:
 
 
 def medallion_run(spark, sf):
-    """A whole run over a fresh lake; rows written and rejected, and rows of each table."""
+    """A whole run over a fresh lake; rows written and rejected, rows of each table and of each language."""
     base = scratch.run_dir(spark, "medallion")
     lake, warehouse = f"{base}/lake", f"{base}/warehouse"
     rows = raw_articles(spark, sf).withColumn("json", L.article_json())
@@ -394,12 +410,14 @@ def medallion_run(spark, sf):
         L.bronze_envelopes(rows, folder, _stamp(), F.col("doc_id"), F.col("json")), f"{lake}/bronze"
     )
     run = M.new_run(f"gold/dt={RUN_DATE}/run_id=r1")
-    counts = M.run_medallion(spark, lake, warehouse, run)
+    model = load_profiles(_even_profiles(spark, sf))
+    counts = M.run_medallion(spark, lake, warehouse, run, model=model)
     tables = read_tables(spark, warehouse)
+    tagged = L.read_silver(spark, f"{lake}/silver").groupBy(F.concat(F.lit("langue="), F.coalesce("langue", F.lit("")))).agg(F.count(F.lit(1)))
     stages = spark.createDataFrame(
         [(k, counts[k]) for k in ("written", "rejected", "processed")], "table_name string, n long"
     )
-    return stages.unionByName(serve("table_counts", tables))
+    return stages.unionByName(serve("table_counts", tables)).union(tagged)
 
 
 QUERIES: dict[str, Query] = {
@@ -411,7 +429,7 @@ QUERIES: dict[str, Query] = {
         silver_accepted, silver_rejects, silver_judged_hot, reject_reasons, run_counters,
         bronze_latest, bronze_round_trip, limit_objects, silver_rewrite,
         page_titles, page_bodies, page_meta, page_report, page_invalid_details, page_links, site_links, link_limit,
-        language_accuracy,
+        language_accuracy, language_profiles, language_tags,
         speed_words, rolling_source_counts, rolling_top_words, event_envelopes,
         stream_speed_zone, stream_resume, batch_dedup, stream_dead_letters, stream_source_counts, stream_top_words,
         warehouse_upsert, medallion_run,
