@@ -39,6 +39,10 @@ FREQUENT = 4
 #: Meetings of sets per prefix shingle at which the exact pairing starts.
 MEETINGS = 2
 _VERIFY_COST = 1 / 16
+# Ids are spread over the slots of a filter by their low bits; what stands above them, such as the
+# file in a row key, moves them by a stride.
+_LOW_BITS, _STRIDE = 40, 2_654_435
+_LOW = (1 << _LOW_BITS) - 1
 
 U = np.uint64
 
@@ -208,7 +212,8 @@ def _arrays(wanted_of, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
     bits = wanted_of.value
     for batch in batches:
         ids = batch.column(0)
-        on = bits[(ids.fill_null(0).to_numpy().view(np.uint64) & U(len(bits) - 1)).astype(np.int64)]
+        value = ids.fill_null(0).to_numpy()
+        on = bits[((value & _LOW) + (value >> _LOW_BITS) * _STRIDE) & (len(bits) - 1)]
         batch = batch.filter(pa.array(on | ids.is_null().to_numpy(zero_copy_only=False)))
         for piece in pieces(batch.column(1)):
             rows = [np.unique(values) for _, values in shingles(piece) if len(values)]
@@ -219,9 +224,10 @@ def _arrays(wanted_of, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
 
 def _slots(ids: DataFrame, slots: int = 1 << 22) -> np.ndarray:
     """A bit per slot, on for the ids given: a filter of fixed size ahead of an exact join."""
-    slot = F.pmod("id", F.lit(slots)).cast("int")
-    words = ids.groupBy((slot.bitwiseAND(slots - 64)).alias("first")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(id, {slots}) % 64 as int))")).alias("bits")
+    place = F.expr(f"(id & {_LOW}L) + shiftright(id, {_LOW_BITS}) * {_STRIDE}L")
+    slotted = ids.select(place.bitwiseAND(F.lit(slots - 1)).cast("int").alias("slot"))
+    words = slotted.groupBy(F.col("slot").bitwiseAND(slots - 64).alias("first")).agg(
+        F.bit_or(F.expr("shiftleft(1L, slot % 64)")).alias("bits")
     ).toArrow()
     table = np.zeros(slots // 64, np.uint64)
     table[words["first"].to_numpy() // 64] = words["bits"].to_numpy().view(np.uint64)

@@ -88,3 +88,12 @@ def test_components_of_chains_loops_and_hubs(spark, work):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(30)] + [(7, 7), (3, 2), (2, 3)]
     got = dict(tuple(r) for r in components(spark.createDataFrame(links, "a long, b long"), work).collect())
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}}
+
+
+def test_slots_tell_row_keys_apart(spark):
+    """Keys made of a file and a place fill the filter like plain numbers; the tasks read the slots that were set."""
+    keys = [(f << 40) + p for f in range(1, 9) for p in range(500)] + [0, 7, -5, (1 << 62) + 3]
+    on = J._slots(spark.createDataFrame([(k,) for k in keys], "id long"))
+    assert on.sum() > 0.95 * len(keys)
+    value = np.array(keys)
+    assert on[((value & J._LOW) + (value >> J._LOW_BITS) * J._STRIDE) & (len(on) - 1)].all()
