@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from newslake import scratch
+from newslake.operators.dedup import sized_lookup
+
 
 # Texts whose blanks lie further apart than this on average are split into words
 # at once: scripts without blanks, or data, would give chunks that never repeat.
@@ -19,29 +22,21 @@ def count_chunks(
     by: list[Column],
     min_chars: int,
     words: Callable[[Column], Column],
-    seen: list[str] | None = None,
 ) -> DataFrame:
     """Blank-separated chunks of lower-case text with their number ``n`` per ``by``.
 
     First step of word counting: texts repeat the same chunks, so the costly
     word pattern ``words`` then runs once per distinct chunk instead of once per
-    occurrence. Chunks under ``min_chars`` hold no word of that length. With
-    ``seen``, ``first_seen`` is the first place of a chunk: those columns, then
-    its number in the text.
+    occurrence. Chunks under ``min_chars`` hold no word of that length.
     """
-    placed = seen or []
     lower = F.col("_text")
     blanks = F.length(lower) - F.length(F.replace(lower, F.lit(" "), F.lit("")))
     sparse = F.length(lower) > (blanks + 1) * _LONG_CHUNK
     chunks = F.when(sparse, words(lower)).otherwise(F.split(lower, " "))
-    item = F.posexplode(chunks).alias("chunk_pos", "chunk") if seen else F.explode(chunks).alias("chunk")
-    counted = [F.count(F.lit(1)).alias("n")]
-    if seen:
-        counted.append(F.min(F.struct(*placed, "chunk_pos")).alias("first_seen"))
-    rows = df.select(*by, *placed, F.lower(text).alias("_text"))
-    keys = [c for c in rows.columns if c not in (*placed, "_text")]
-    rows = rows.select(*keys, *placed, item).where(F.length("chunk") >= min_chars)
-    return rows.groupBy(*keys, "chunk").agg(*counted)
+    rows = df.select(*by, F.lower(text).alias("_text"))
+    keys = [c for c in rows.columns if c != "_text"]
+    rows = rows.select(*keys, F.explode(chunks).alias("chunk")).where(F.length("chunk") >= min_chars)
+    return rows.groupBy(*keys, "chunk").agg(F.count(F.lit(1)).alias("n"))
 
 
 def top_counts(counts: DataFrame, term: str, n: int, count: str = "count") -> DataFrame:
@@ -49,9 +44,19 @@ def top_counts(counts: DataFrame, term: str, n: int, count: str = "count") -> Da
     return counts.orderBy(F.desc(count), term).limit(n)
 
 
-def top_counts_first_seen(counts: DataFrame, n: int, count: str = "count") -> DataFrame:
-    """The ``n`` most frequent of counted terms; equal counts are cut by ``first_seen``."""
-    return counts.orderBy(F.desc(count), "first_seen").limit(n).drop("first_seen")
+def top_counts_first_seen(
+    counts: DataFrame, term: str, places: Callable[[DataFrame], DataFrame], n: int, count: str = "count"
+) -> DataFrame:
+    """The ``n`` most frequent of counted terms; equal counts are cut by ``first_seen``.
+
+    Terms are counted alone first. Only those that reach the count at rank ``n`` are looked up again:
+    ``places`` gives (term, first_seen) of the terms it is handed.
+    """
+    counts = scratch.stored(counts, f"{scratch.run_dir(counts.sparkSession, 'first-seen')}/counts")
+    least = counts.orderBy(F.desc(count)).limit(n).agg(F.min(count)).first()[0]
+    chosen = counts.where(F.col(count) >= F.lit(least))
+    seen = places(sized_lookup(chosen.select(term), chosen.count()))
+    return chosen.join(seen, term).orderBy(F.desc(count), "first_seen").limit(n).drop("first_seen")
 
 
 def top_per_group(df: DataFrame, group: str, value: str, tie: str, n: int) -> DataFrame:

@@ -125,17 +125,22 @@ def top_keywords(
     """
     group = language_group(F.col("langue")).alias("lang_group")
     text = title_and_content(F.col("titre"), F.col("contenu"))
-    seen = None if tie == "term" else ["bronze_key", "pos"]
-    chunks = count_chunks(articles, text, [group], MIN_BATCH_CHARS, batch_tokens, seen)
-    word = F.posexplode(batch_tokens(F.col("chunk"))).alias("word_pos", "mot_cle")
-    words = chunks.select("lang_group", "n", word, *(["first_seen"] if seen else []))
+    chunks = count_chunks(articles, text, [group], MIN_BATCH_CHARS, batch_tokens)
+    words = chunks.select("lang_group", "n", F.explode(batch_tokens(F.col("chunk"))).alias("mot_cle"))
     words = words.where(_kept(F.col("mot_cle"), F.col("lang_group"), stopwords))
     words = _without(words, "mot_cle", stopwords)
-    total = F.sum("n").alias("count")
+    counts = words.groupBy("mot_cle").agg(F.sum("n").alias("count"))
     if tie == "term":
-        return top_counts(words.groupBy("mot_cle").agg(total), "mot_cle", n)
-    place = F.min(F.struct("first_seen", "word_pos")).alias("first_seen")
-    return top_counts_first_seen(words.groupBy("mot_cle").agg(total, place), n)
+        return top_counts(counts, "mot_cle", n)
+
+    def places(chosen: DataFrame) -> DataFrame:
+        token = F.posexplode(batch_tokens(text)).alias("word_pos", "mot_cle")
+        tokens = articles.select("bronze_key", "pos", group, token).join(chosen, "mot_cle", "left_semi")
+        tokens = tokens.where(_kept(F.col("mot_cle"), F.col("lang_group"), stopwords))
+        tokens = _without(tokens, "mot_cle", stopwords)
+        return tokens.groupBy("mot_cle").agg(F.min(F.struct("bronze_key", "pos", "word_pos")).alias("first_seen"))
+
+    return top_counts_first_seen(counts, "mot_cle", places, n)
 
 
 def _title_words(articles: DataFrame) -> DataFrame:
@@ -160,8 +165,12 @@ def top_topics(articles: DataFrame, n: int = TOP_N, tie: str = "term") -> DataFr
         topics = titles.select(F.explode(pairs).alias("sujet"))
         return top_counts(topics.groupBy("sujet").agg(total), "sujet", n)
     topics = titles.select("bronze_key", "pos", F.posexplode(pairs).alias("pair_pos", "sujet"))
-    place = F.min(F.struct("bronze_key", "pos", "pair_pos")).alias("first_seen")
-    return top_counts_first_seen(topics.groupBy("sujet").agg(total, place), n)
+
+    def places(chosen: DataFrame) -> DataFrame:
+        found = topics.join(chosen, "sujet", "left_semi")
+        return found.groupBy("sujet").agg(F.min(F.struct("bronze_key", "pos", "pair_pos")).alias("first_seen"))
+
+    return top_counts_first_seen(topics.groupBy("sujet").agg(total), "sujet", places, n)
 
 
 def gold_tables(
