@@ -21,6 +21,7 @@ from newslake.llm.words import cut, text_buffers
 
 SHARD_TOKENS = 2_000_000
 SHARDS_PER_TASK = 4
+MANIFEST_TASKS = 64
 PIECE_BYTES = 6 << 20
 _CACHE = 600_000
 _SHARD = pa.schema([("part", pa.int32()), ("path", pa.string()), ("start", pa.int64()), ("tokens", pa.int64()), ("docs", pa.int64())])
@@ -212,7 +213,8 @@ def write_tokens(
         lambda b: _write_shards(root, tokenizer, end_id, levels, shard_tokens, b),
         "part int, path string, start long, tokens long, docs long",
     )
-    shards = scratch.stored(shards, f"{root}/manifest")
+    # A few rows per task: gathered, so that the manifest is a few files.
+    shards = scratch.stored(shards.repartition(-(-tasks // MANIFEST_TASKS)), f"{root}/manifest")
     parts = shards.groupBy("part").agg(F.sum("tokens").alias("n"))
     parts = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))
     return shards.join(parts, "part").withColumn("first", F.col("base") + F.col("start")).drop("base")
@@ -237,5 +239,5 @@ def read_digests(shards: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, from the files alone."""
     paths = shards.select("path", "first")
     # A number of its own, as these few narrow rows would be put into one task.
-    paths = paths.repartition(max(1, -(-paths.count() // SHARDS_PER_TASK)), "path")
+    paths = paths.repartition(max(1, -(-paths.count() // SHARDS_PER_TASK)))
     return paths.mapInArrow(_read_shards, "doc_id long, start long, n_tokens long, ids_crc32 long")
