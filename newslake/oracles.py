@@ -305,6 +305,12 @@ SELECT doc_id, CASE WHEN doc_id % 16 = 2 AND CAST(dt[9:10] AS INT) <= 12
        count(*) FILTER (len(errors) = 0) AS written FROM judged""",
     "bronze_latest": _A
     + "SELECT source, dt, sha1(url) AS url_sha1, max(doc_id) AS doc_id FROM articles GROUP BY 1, 2, 3",
+    "scraper_files": _A
+    + """SELECT source, count(DISTINCT (dt, doc_id // 500)) AS files, count(*) AS n, CAST(sum(length(contenu)) AS BIGINT) AS n_chars
+FROM articles GROUP BY 1""",
+    "silver_envelopes": _A
+    + """SELECT source, count(*) AS n, CAST(sum(length(contenu)) AS BIGINT) AS n_chars FROM articles WHERE doc_id % 50 NOT IN (3, 4) GROUP BY 1
+UNION ALL SELECT 'rejected', count(*), 0 FROM articles WHERE doc_id % 50 IN (3, 4)""",
     "bronze_round_trip": _A
     + """, s AS (SELECT *, row_number() OVER (PARTITION BY source, dt, url ORDER BY doc_id DESC) AS rn
          FROM articles WHERE langue = 'en' AND url <> ''),

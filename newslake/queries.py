@@ -153,6 +153,34 @@ def _write_both_layouts(spark, sf, root: str) -> None:
     L.write_bronze(L.bronze_batches(payloads, F.col("source"), _stamp()), root)
 
 
+def scraper_files(spark, sf):
+    """Articles written as scraper files of a bounded size, read back: files and articles per source."""
+    root = f"{scratch.run_dir(spark, 'scraped')}/files"
+    rows = articles(spark, sf).withColumn("json", L.article_json())
+    folder = ["source", "dt", "chunk"]
+    listed = F.array_join(F.sort_array(F.collect_list("json")), ",")
+    files = rows.groupBy("source", "dt", F.floor(F.col("doc_id") / 500).alias("chunk")).agg(
+        F.concat(F.lit('{"meta":{"found_urls":'), F.count(F.lit(1)), F.lit('},"articles":['), listed, F.lit(',"no object"]}')).alias("value")
+    )
+    files.write.partitionBy(*folder).text(root)
+    found = L.scraped_articles(L.read_scraper_files(spark, f"{root}/*/*/*/*.txt"))
+    return found.groupBy("source").agg(F.count_distinct("path").alias("files"), F.count(F.lit(1)).alias("n"), F.sum(F.length("contenu")).alias("n_chars"))
+
+
+def silver_envelopes(spark, sf):
+    """Silver objects in their JSON layout, some without an article: articles per source, and the rejected."""
+    root = f"{scratch.run_dir(spark, 'envelopes')}/silver"
+    rows = articles(spark, sf).withColumns({"normalized_at": F.lit(STAMP), "ingested_at": F.lit(STAMP)})
+    empty = F.when(F.col("doc_id") % 50 == 3, '{"layer":"silver","article":{ }}').when(F.col("doc_id") % 50 == 4, '{"layer":"silver"}')
+    broken = rows.withColumn("value", empty).where("value IS NOT NULL").select("value", "source", "dt")
+    whole = L.silver_envelope_json(rows.where(empty.isNull()))
+    whole.unionByName(broken).hint("rebalance", "source", "dt").write.partitionBy("source", "dt").text(root)
+    found, rejects = L.read_silver_envelopes(spark, root)
+    n_chars = F.sum(F.length("contenu")).alias("n_chars")
+    per_source = found.groupBy("source").agg(F.count(F.lit(1)).alias("n"), n_chars)
+    return per_source.union(rejects.agg(F.lit("rejected"), F.count(F.lit(1)), F.lit(0).cast("long")))
+
+
 def bronze_round_trip(spark, sf):
     root = f"{scratch.run_dir(spark, 'bronze')}/bronze"
     _write_both_layouts(spark, sf, root)
@@ -427,7 +455,7 @@ QUERIES: dict[str, Query] = {
         top_topics, top_topics_first_seen,
         articles_per_day, publication_days, articles_per_source, articles_per_theme, articles_per_country,
         silver_accepted, silver_rejects, silver_judged_hot, reject_reasons, run_counters,
-        bronze_latest, bronze_round_trip, limit_objects, silver_rewrite,
+        bronze_latest, scraper_files, silver_envelopes, bronze_round_trip, limit_objects, silver_rewrite,
         page_titles, page_bodies, page_meta, page_report, page_invalid_details, page_links, site_links, link_limit,
         language_accuracy, language_profiles, language_tags,
         speed_words, rolling_source_counts, rolling_top_words, event_envelopes,

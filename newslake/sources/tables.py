@@ -1,4 +1,4 @@
-"""Keeping all cores busy: sharing out small scans, running independent jobs together."""
+"""Keeping all cores busy: running independent jobs together."""
 
 from __future__ import annotations
 
@@ -6,22 +6,10 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
-from pyspark.sql import DataFrame
-
 Result = TypeVar("Result")
 _JOBS_AT_ONCE = 6
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Share the rows of a scan among all cores when it has fewer splits than that.
-
-    A file of one row group is one split, whatever its size. Tables with at
-    least one split per core are left as they are, so large ones never shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def run_together(jobs: Iterable[Callable[[], Result]]) -> list[Result]:
     """Start independent Spark actions from threads; results in the order given.
 
