@@ -89,7 +89,8 @@ def bronze_to_silver(
 ) -> dict[str, int]:
     """Judge the Bronze articles once, store them, then write Silver, rejects and manifest."""
     work = scratch.run_dir(spark, f"silver-{run.run_id}")
-    raw = read_bronze(spark, f"{lake}/bronze", prefix, limit_keys, today=run.run_date)
+    scanned = Observation("bronze_scan")
+    raw = read_bronze(spark, f"{lake}/bronze", prefix, limit_keys, today=run.run_date, counts=scanned)
     counts = Observation("bronze_to_silver")
     bad = F.size("errors") > 0
     judged = judge(raw, default_source, stamp=run.stamp, work_dir=work)
@@ -107,15 +108,19 @@ def bronze_to_silver(
     done = {"written": counts.get["written"], "rejected": counts.get["rejected"]}
     _append_manifest(
         spark, f"{base}/runs",
-        {"run_id": run.run_id, "started_at": run.stamp, "bronze_prefix": f"bronze/{prefix}", **done},
+        {"run_id": run.run_id, "started_at": run.stamp, "bronze_prefix": f"bronze/{prefix}", **done, **scanned.get},
     )
     return done
 
 
 def silver_to_gold(
-    spark: SparkSession, lake: str, run: Run, articles: DataFrame | None = None, n: int = G.TOP_N
+    spark: SparkSession, lake: str, run: Run, articles: DataFrame | None = None, n: int = G.TOP_N, rejected: int = 0
 ) -> dict[str, int]:
-    """The six datasets of all Silver articles under the run's Gold prefix."""
+    """The six datasets of all Silver articles under the run's Gold prefix.
+
+    ``rejected`` are the Silver objects without an article that the caller found beside ``articles``;
+    the stored zone holds none.
+    """
     articles = read_silver(spark, f"{lake}/silver") if articles is None else articles
     base = f"{lake}/{run.gold_prefix}"
     cube_path = f"{scratch.run_dir(spark, f'gold-{run.run_id}')}/cube"
@@ -129,7 +134,7 @@ def silver_to_gold(
         spark, f"{lake}/manifests/gold/runs",
         {
             "run_id": run.run_id, "generated_at": run.stamp, "silver_prefix": "silver/",
-            "processed": processed, "top_n_keywords": n,
+            "processed": processed, "rejected": rejected, "top_n_keywords": n,
             "gold_keys": [f"{run.gold_prefix}/{name}" for name in tables],
         },
     )

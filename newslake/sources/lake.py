@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from newslake import schemas
@@ -160,7 +160,8 @@ def _lines(spark: SparkSession, root: str, path: str) -> DataFrame:
 
 
 def read_bronze(
-    spark: SparkSession, root: str, prefix: str = "", limit_keys: int = 0, today: str | None = None
+    spark: SparkSession, root: str, prefix: str = "", limit_keys: int = 0, today: str | None = None,
+    counts: Observation | None = None,
 ) -> DataFrame:
     """Articles of the Bronze zone: ``bronze_key, pos, dt`` and the raw article.
 
@@ -169,7 +170,8 @@ def read_bronze(
     ``article`` gives that one; anything else gives nothing. Of single-article
     envelopes with equal key the last one written counts. ``prefix`` narrows the
     scan to part of the tree, ``limit_keys`` to the first so many objects by
-    key, and ``today`` is the day of objects outside any ``dt=`` folder.
+    key, and ``today`` is the day of objects outside any ``dt=`` folder. ``counts`` observes the
+    scan: the ``objects`` read and the ``malformed`` ones, which are neither layout.
     """
     lines = _lines(spark, root, f"{root}/{prefix}".rstrip("/"))
     e = lines.withColumn("e", F.from_json("value", schemas.ENVELOPE_TEXT)).select(
@@ -177,6 +179,8 @@ def read_bronze(
     )
     is_batch = _is_list(F.col("articles"))
     is_single = ~is_batch & F.coalesce(F.col("layer") == "bronze", F.lit(False)) & _is_object(F.col("article"))
+    if counts is not None:
+        e = e.observe(counts, F.count(F.lit(1)).alias("objects"), F.count_if(~(is_batch | is_single)).alias("malformed"))
 
     # Objects written one per file are named by their path, others by content.
     path_key = F.nullif(F.regexp_extract("file", _OBJECT_PATH, 1), F.lit(""))

@@ -69,3 +69,15 @@ def test_pages_to_bronze(spark, tmp_path):
     assert (stored.url, stored.titre, stored.source, stored.dt) == ("https://goud.ma/1", "Titre", "goud", "2026-05-12")
     (bad,) = spark.read.parquet(f"{lake}/manifests/pages/invalid").collect()
     assert (bad.url, bad.errors) == ("https://goud.ma/2", ["contenu trop court"])
+
+
+def test_manifests_count_malformed_and_rejected_objects(spark, tmp_path):
+    lake, run = str(tmp_path / "lake"), new_run(now=dt.datetime(2026, 5, 12, tzinfo=dt.timezone.utc))
+    write(spark, lake, SAMPLE, "2026-05-11T12:00:00+00:00")
+    folder = tmp_path / "lake/bronze/source=hespress/dt=2026-05-11"
+    (folder / "odd.txt").write_text('[1]\nnot json\n{"layer":"silver","article":{"url":"u"}}\n{"layer":"bronze","articles":[]}\n')
+    run_medallion(spark, lake, str(tmp_path / "w"), run)
+    (silver,) = spark.read.parquet(f"{lake}/manifests/silver/runs").collect()
+    assert (silver.written, silver.rejected, silver.objects, silver.malformed) == (2, 0, 6, 3)
+    (gold,) = spark.read.parquet(f"{lake}/manifests/gold/runs").collect()
+    assert (gold.processed, gold.rejected) == (2, 0)
