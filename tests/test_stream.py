@@ -139,3 +139,18 @@ def test_one_ranking_per_window_after_a_second_query(spark, tmp_path):
     assert ranks.where("count > 1").isEmpty() and not ranks.isEmpty()
     top = speed.read_top_words(spark, out).where(F.col("window_start") == F.lit(START)).orderBy("rank").first()
     assert (top.key, top.n) == ("beta", 4)
+
+
+def test_words_are_shuffled_before_they_are_repeated_for_windows(spark):
+    """One shuffle by word and block of time; windows across blocks and slides without a word are whole."""
+    rows = [(START + dt.timedelta(minutes=m), f"w{m % 3} mot", "Mot, l'été 12 ab" if m % 2 else None) for m in (0, 1, 7, 56, 59, 60, 61, 63, 119, 121)]
+    df = spark.createDataFrame(rows, "ts timestamp, titre string, contenu string")
+    counts = rolling.rolling_word_counts(df)
+    assert counts._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    brute = {}
+    for at, titre, contenu in rows:
+        for word in titre.split() + (["mot", "l'été"] if contenu else []):
+            for back in range(5) if len(word) >= 3 else ():
+                key = (at - dt.timedelta(minutes=back), word)
+                brute[key] = brute.get(key, 0) + 1
+    assert sorted(map(tuple, counts.collect())) == sorted((*k, n) for k, n in brute.items())
