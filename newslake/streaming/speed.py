@@ -14,12 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from newslake import scratch
 from newslake.functions.text import object_id
 from newslake.operators.dedup import latest_per_key
 from newslake.operators.language import LanguageModel
 from newslake.plans.silver import add_language, normalize
 from newslake.sources.events import dead_letters, event_articles, parse_events
-from newslake.streaming.rolling import rolling_counts, rolling_top, rolling_word_counts
+from newslake.streaming.rolling import WATERMARK, WINDOW, rolling_counts, rolling_top, rolling_word_counts
 
 EVERY = {"processingTime": "60 seconds"}
 
@@ -52,14 +53,21 @@ SPEED = (
 )
 DEAD_LETTERS = f"stage string, error string, topic string, partition int, offset long, value string, {_RUN}"
 SOURCE_COUNTS = f"window_start timestamp, key string, n long, started string, {_RUN}"
+OPEN_TEXTS = "event_time timestamp, titre string, contenu string, batch_id long"
+LATEST = "latest timestamp, batch_id long"
 TOP_WORDS = f"window_start timestamp, key string, n long, rank int, started string, {_RUN}"
 
 
-def _write_batch(df: DataFrame, zone: str, batch_id: int, *partitions: str) -> None:
-    """One folder per query and micro-batch, replaced as a whole."""
-    run = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+def _query_id(spark: SparkSession) -> str:
+    run = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
     if not run:
         raise RuntimeError("a micro-batch without a query id")
+    return run
+
+
+def _write_batch(df: DataFrame, zone: str, batch_id: int, *partitions: str) -> None:
+    """One folder per query and micro-batch, replaced as a whole."""
+    run = _query_id(df.sparkSession)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     writer.partitionBy(*partitions).parquet(f"{zone}/run={run}/batch_id={batch_id}")
 
@@ -154,19 +162,41 @@ def start_top_words(
 ) -> StreamingQuery:
     """The ``n`` most frequent words of each closed window under ``out/top_words``.
 
-    A window closes once the watermark passes its end; all its words then arrive
-    in one batch, where they are ranked.
+    A window closes once the watermark passes its end. The texts of open windows wait under
+    ``out/top_words_open``, a folder per micro-batch, so that the words of a window are counted once, when it closes,
+    and no count of a word is kept as state. A window that the batch before closed is ranked anew, so texts
+    that come one batch late still count; later ones do not.
     """
-    articles = normalize(event_articles(parse_events(records)), "unknown")
-    counts = rolling_word_counts(articles, ts="event_time")
+    articles = normalize(event_articles(parse_events(records)), "unknown").select("event_time", "titre", "contenu")
     started = datetime.now(timezone.utc).isoformat(timespec="microseconds")
+    length, behind = F.expr(f"INTERVAL {WINDOW}"), F.expr(f"INTERVAL {WATERMARK}")
 
     def rank(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(rolling_top(batch, n).withColumn("started", F.lit(started)), f"{out}/top_words", batch_id)
+        spark = batch.sparkSession
+        run = f"run={_query_id(spark)}"
+        zone, latest = f"{out}/top_words_open", f"{out}/top_words_latest"
+        _write_batch(batch, zone, batch_id)
+        mine = _read_zone(spark, f"{zone}/{run}/batch_id={batch_id}", OPEN_TEXTS)
+        _write_batch(mine.agg(F.max("event_time").alias("latest")).coalesce(1), latest, batch_id)
+        seen = _read_zone(spark, f"{latest}/{run}", LATEST).where(F.col("batch_id") <= batch_id)
+        mark = F.max("latest") - behind
+        before = F.max(F.when(F.col("batch_id") < batch_id - 1, F.col("latest"))) - behind
+        closes = seen.agg(mark.alias("_now"), before.alias("_before"))
+        waiting = _read_zone(spark, f"{zone}/{run}", OPEN_TEXTS).where(F.col("batch_id") <= batch_id).join(F.broadcast(closes))
+        # Whole minutes, so that what is counted of a window is all of it.
+        due = (F.col("event_time") < F.col("_now")) & (F.col("_before").isNull() | (F.col("event_time") > F.col("_before") - length))
+        counts = rolling_word_counts(waiting.where(due).select("event_time", "titre", "contenu"), ts="event_time")
+        end = F.col("window_start") + length
+        closed = (end <= F.col("_now")) & (F.col("_before").isNull() | (end > F.col("_before")))
+        counts = counts.join(F.broadcast(closes)).where(closed).select("window_start", "key", "n")
+        _write_batch(rolling_top(counts, n).withColumn("started", F.lit(started)), f"{out}/top_words", batch_id)
+        # Batches whose windows were all closed by the batch before the last are read no more.
+        old = seen.join(F.broadcast(closes)).where((F.col("latest") + length <= F.col("_before")) & (F.col("batch_id") < batch_id - 1))
+        for row in old.select("batch_id").collect():
+            scratch.drop_dir(spark, f"{zone}/{run}/batch_id={row.batch_id}")
 
     return (
-        counts.writeStream.outputMode("append")
-        .foreachBatch(rank)
+        articles.writeStream.foreachBatch(rank)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or EVERY))
         .start()

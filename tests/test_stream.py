@@ -154,3 +154,17 @@ def test_words_are_shuffled_before_they_are_repeated_for_windows(spark):
                 key = (at - dt.timedelta(minutes=back), word)
                 brute[key] = brute.get(key, 0) + 1
     assert sorted(map(tuple, counts.collect())) == sorted((*k, n) for k, n in brute.items())
+
+
+def test_top_words_keep_no_state_of_words(spark, tmp_path):
+    """Open texts wait in a folder per batch; one batch late still counts, and closed batches go."""
+    first, closing = event("https://a.b/1", titre="alpha", contenu=""), event("https://a.b/2", titre="zeta", contenu="", minute=60)
+    late = event("https://a.b/3", titre="alpha", contenu="", minute=1)
+    later = event("https://a.b/4", titre="beta beta beta", contenu="", minute=1)
+    stream = records(spark, tmp_path / "in", [first], [closing], [late], [later])
+    out, checkpoint = str(tmp_path / "out"), tmp_path / "ckpt"
+    speed.start_top_words(stream, out, str(checkpoint), n=2, trigger=NOW).awaitTermination()
+    assert not (checkpoint / "state").exists()
+    rows = speed.read_top_words(spark, out).where(F.col("window_start") == F.lit(START)).collect()
+    assert [(r.key, r.n, r.rank) for r in rows] == [("alpha", 2, 1)]
+    assert {p.name for p in (tmp_path / "out" / "top_words_open").glob("*/*")} == {"batch_id=1", "batch_id=2", "batch_id=3"}
