@@ -82,6 +82,13 @@ def _read_zone(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def texts_once(parsed: DataFrame) -> DataFrame:
+    """Parsed records with each text once: the value of an unusable record, the event of any other."""
+    failed = F.col("error").isNotNull()
+    texts = [F.when(failed, F.col("value")).alias("value"), F.when(~failed, F.col("event")).alias("event")]
+    return parsed.select("key", "topic", "partition", "offset", "timestamp", "error", *texts)
+
+
 def start_speed_zone(
     records: DataFrame,
     out: str,
@@ -97,7 +104,7 @@ def start_speed_zone(
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_events(batch).persist()
+        parsed = texts_once(parse_events(batch)).persist()
         try:
             day = today or datetime.now(timezone.utc).strftime("%Y-%m-%d")
             good = speed_records(parsed, default_source, model).withColumn("dt", F.lit(day))

@@ -168,3 +168,12 @@ def test_top_words_keep_no_state_of_words(spark, tmp_path):
     rows = speed.read_top_words(spark, out).where(F.col("window_start") == F.lit(START)).collect()
     assert [(r.key, r.n, r.rank) for r in rows] == [("alpha", 2, 1)]
     assert {p.name for p in (tmp_path / "out" / "top_words_open").glob("*/*")} == {"batch_id=1", "batch_id=2", "batch_id=3"}
+
+
+def test_speed_zone_keeps_each_text_once(spark):
+    values = [event("https://a.b/1"), "not json", None]
+    rows = [("k", v, "articles", 0, i, START) for i, v in enumerate(values)]
+    parsed = speed.texts_once(E.parse_events(spark.createDataFrame(rows, schemas.KAFKA_RECORD)))
+    assert "listed" not in parsed.columns
+    got = {r.offset: (r.value, r.event is not None) for r in parsed.collect()}
+    assert got == {0: (None, True), 1: ("not json", False), 2: (None, False)}
