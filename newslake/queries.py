@@ -157,13 +157,15 @@ def scraper_files(spark, sf):
     """Articles written as scraper files of a bounded size, read back: files and articles per source."""
     root = f"{scratch.run_dir(spark, 'scraped')}/files"
     rows = articles(spark, sf).withColumn("json", L.article_json())
-    folder = ["source", "dt", "chunk"]
     listed = F.array_join(F.sort_array(F.collect_list("json")), ",")
     files = rows.groupBy("source", "dt", F.floor(F.col("doc_id") / 500).alias("chunk")).agg(
         F.concat(F.lit('{"meta":{"found_urls":'), F.count(F.lit(1)), F.lit('},"articles":['), listed, F.lit(',"no object"]}')).alias("value")
     )
-    files.write.partitionBy(*folder).text(root)
-    found = L.scraped_articles(L.read_scraper_files(spark, f"{root}/*/*/*/*.txt"))
+    # A payload is a file of its own; folders per source and day alone are quick to make and to list.
+    files = files.select("source", "dt", "value")
+    committed_by_tasks = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
+    files.write.options(maxRecordsPerFile=1, **committed_by_tasks).partitionBy("source", "dt").text(root)
+    found = L.scraped_articles(L.read_scraper_files(spark, root))
     return found.groupBy("source").agg(F.count_distinct("path").alias("files"), F.count(F.lit(1)).alias("n"), F.sum(F.length("contenu")).alias("n_chars"))
 
 

@@ -67,3 +67,13 @@ def test_links_do_not_shuffle(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet").selectExpr("*", "'any' AS site")
     assert "Exchange" not in plan(P.extract_links(pages, (P.ANY_LINK,)))
     assert "Exchange" not in plan(P.extract_articles(pages))
+
+
+def test_scraper_files_share_the_folders_of_source_and_day(spark):
+    from newslake.scratch import shared_dir
+
+    zone = Path(shared_dir(spark)) / "newslake"
+    before = set(zone.glob("scraped-*"))
+    n_files = sum(r.files for r in QUERIES["scraper_files"](spark, SF).collect())
+    (run,) = set(zone.glob("scraped-*")) - before
+    assert len(list(run.glob("files/source=*/dt=*/*.txt"))) == n_files
