@@ -97,7 +97,8 @@ def rolling_word_counts(
     rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(_BLOCK_PARTS - 1))).alias("part"))
     own = F.filter("words", lambda w, i: F.get("parts", i) == F.col("part"))
     placed = rows.select(F.xxhash64("block", "part").alias("place"), "slot", F.array_join(own, " ").alias("words"))
-    parts = int(articles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # What a task receives grows manifold when split and repeated, so tasks are many and small, to sort in memory.
+    parts = _BLOCK_PARTS * int(articles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = placed.where("words <> ''").repartition(parts, "place")
     by = [F.col("place"), F.col("slot")]
     words = count_chunks(placed, F.col("words"), by, MIN_SPEED_CHARS, lambda c: F.split(c, " "))
