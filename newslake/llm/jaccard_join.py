@@ -15,7 +15,9 @@ Work never meets all pairs of a group of copies:
    a member's prefix; groups of near copies grow together by a few comparisons per member.
    Rounds go on while they find links and many pairs are left to meet;
 3. only pairs from different components found so far go through the multi-match
-   count and the exact check, and their links complete the components.
+   count and the exact check, and their links complete the components. An entry counts
+   for a pair only where its place in both sets leaves room for a link, so members that
+   differ too much are not paired though they share the passage of their group.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newslake import scratch
@@ -207,8 +209,8 @@ def _lists(rows: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows)))
 
 
-def _arrays(wanted_of, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(set, shingles, parity bits) of the documents whose bit is on and of those without an id."""
+def _arrays(wanted_of, whole: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(set, size, parity bits, shingles if ``whole``) of the documents whose bit is on and of those without an id."""
     bits = wanted_of.value
     for batch in batches:
         ids = batch.column(0)
@@ -218,8 +220,9 @@ def _arrays(wanted_of, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         for piece in pieces(batch.column(1)):
             rows = [np.unique(values) for _, values in shingles(piece) if len(values)]
             if rows:
-                columns = [pa.array([_set_id(r) for r in rows], pa.int64()), _lists([r.view(np.int64) for r in rows]), _lists([parity_bits(r) for r in rows])]
-                yield pa.RecordBatch.from_arrays(columns, names=["sid", "shingles", "parity"])
+                columns = [pa.array([_set_id(r) for r in rows], pa.int64()), pa.array([len(r) for r in rows], pa.int32()), _lists([parity_bits(r) for r in rows])]
+                columns += [_lists([r.view(np.int64) for r in rows])] if whole else []
+                yield pa.RecordBatch.from_arrays(columns, names=["sid", "size", "parity", "shingles"][: len(columns)])
 
 
 def _slots(ids: DataFrame, slots: int = 1 << 22) -> np.ndarray:
@@ -234,14 +237,15 @@ def _slots(ids: DataFrame, slots: int = 1 << 22) -> np.ndarray:
     return np.unpackbits(table.view(np.uint8), bitorder="little").view(bool)
 
 
-def _read_sets(sids: DataFrame, texts: DataFrame, rows: DataFrame, path: str) -> DataFrame:
-    """(set, shingles, parity bits) of the sets asked for, read again from one document of each.
+def _read_sets(sids: DataFrame, texts: DataFrame, rows: DataFrame, path: str, whole: bool = True) -> DataFrame:
+    """(set, size, parity bits, shingles if ``whole``) of the sets asked for, read again from one document of each.
 
     All other texts are passed over by a filter of fixed size; the join is exact.
     """
     wanted = rows.groupBy("sid").agg(F.min("doc_id").alias("id")).join(sids, "sid").filter("id IS NOT NULL")
     bits = sids.sparkSession.sparkContext.broadcast(_slots(wanted.select("id")))
-    found = texts.mapInArrow(lambda b: _arrays(bits, b), "sid long, shingles array<long>, parity array<long>").join(sids, "sid", "left_semi")
+    schema = "sid long, size int, parity array<long>" + ", shingles array<long>" * whole
+    found = texts.mapInArrow(lambda b: _arrays(bits, whole, b), schema).join(sids, "sid", "left_semi")
     return scratch.stored(found.dropDuplicates(["sid"]), path)
 
 
@@ -254,21 +258,23 @@ def _folded(bits: str, other: str) -> str:
     )
 
 
-def _verified(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity; sizes must allow it.
+def _possible(pairs: DataFrame, brief: DataFrame) -> DataFrame:
+    """The pairs (a, b) that parity bits do not rule out.
 
     A pair links if its sets differ in at most a seventh of their summed sizes. Parity bits
-    are sent first: they show at least part of the difference and cost a sixteenth of the
-    shingles. Only pairs they cannot rule out are compared shingle by shingle.
+    show at least part of the difference and cost a sixteenth of the shingles.
     """
-    brief = arrays.select("sid", "parity", F.size("shingles").alias("size"))
     left, right = (brief.select(F.col("sid").alias(x), F.col("parity").alias(f"{x}_bits"), F.col("size").alias(f"{x}_size")) for x in "ab")
     differ = F.expr(f"aggregate(zip_with({_folded('a_bits', 'b_bits')}, {_folded('b_bits', 'a_bits')}, (x, y) -> bit_count(x ^ y)), 0, (n, x) -> n + x)")
-    open_ = pairs.join(left, "a").join(right, "b").filter(7 * differ <= F.col("a_size") + F.col("b_size")).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").filter(7 * differ <= F.col("a_size") + F.col("b_size")).select("a", "b")
+
+
+def _verified(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets reach the similarity, compared shingle by shingle."""
     left, right = (arrays.select(F.col("sid").alias(x), F.col("shingles").alias(f"{x}_set")) for x in "ab")
     both = F.size(F.array_intersect("a_set", "b_set")).cast("long")
     total = F.size("a_set") + F.size("b_set")
-    return open_.join(left, "a").join(right, "b").filter(100 * both >= 75 * (total - both)).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").filter(100 * both >= 75 * (total - both)).select("a", "b")
 
 
 def _central(met: DataFrame) -> DataFrame:
@@ -308,16 +314,65 @@ def _meetings(met: DataFrame, parts: DataFrame) -> int:
     return int(each.agg(F.sum("pairs")).first()[0] or 0)
 
 
+def _moves(parts: DataFrame, links: DataFrame, work: str) -> DataFrame:
+    """(component, to) of the components that further links join; a set not in ``parts`` is its own component."""
+    for x in "ab":
+        own = parts.select(F.col("sid").alias(x), F.col("component").alias(f"c{x}"))
+        links = links.join(own, x, "left").withColumn(f"c{x}", F.coalesce(f"c{x}", x))
+    moves = components(links.select(F.col("ca").alias("a"), F.col("cb").alias("b")), work)
+    return moves.select(F.col("node").alias("component"), F.col("component").alias("to"))
+
+
 def _merged(parts: DataFrame, links: DataFrame, work: str) -> DataFrame:
     """Components after further links between them."""
-    name = parts.select("sid", "component")
-    joined = links.join(name.select(F.col("sid").alias("a"), F.col("component").alias("ca")), "a").join(
-        name.select(F.col("sid").alias("b"), F.col("component").alias("cb")), "b")
-    moves = components(joined.select(F.col("ca").alias("a"), F.col("cb").alias("b")), work)
-    moves = moves.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    moves = _moves(parts, links, work)
     return parts.join(moves, "component", "left").withColumn("component", F.coalesce("to", "component")).select(*parts.columns)
 
 
+def _apart(met: DataFrame, parts: DataFrame) -> DataFrame:
+    """Prefix entries whose shingle is in two components, with their component, ``before`` and ``lead``.
+
+    ``before`` counts such entries ahead in the set's prefix, up to MAX_MATCHES - 1: no more shingles
+    ahead are shared with a set of another component. Take a link of sets r and s that share a shingle,
+    their k-th in order, at places i and j. Ahead of it i - (k - 1) shingles of r and j - (k - 1)
+    of s are not shared, behind it as many as the rests differ in size. All are at most a seventh of
+    the sizes, which gives 14 (i - k + 1) - 8 |r| + 6 |s| <= 0, and the same with r and s swapped.
+    ``lead`` is the first two terms with ``before`` for k - 1, so none is larger for a link.
+    """
+    apart = met.join(parts.select("sid", "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+    mixed = apart.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+    rank = F.row_number().over(Window.partitionBy("sid").orderBy("pos")) - 1
+    apart = apart.join(mixed.select("token"), "token").withColumn("before", F.least(rank, F.lit(MAX_MATCHES - 1)))
+    return apart.withColumn("lead", F.expr("14 * (pos - before) - 8 * size"))
+
+
+def _candidates(apart: DataFrame) -> DataFrame:
+    """(a, b): pairs of sets from different components that share as many prefix shingles as the longer one asks for.
+
+    Components that meet on a shingle are joined first, by the least lead and size of their sets, then
+    the sets of each; so no set is paired within its component, and a set joins a component only where
+    its place leaves room for a link.
+    """
+    probe = apart.filter("pos < size - ceil(3 * size / 4) + matches").select(
+        "token", "component", *[F.col(c).alias(f"r_{c}") for c in ("sid", "size", "matches", "pos", "before", "lead")])
+    index = apart.filter(f"pos < size - ceil(6 * size / 7) + {MAX_MATCHES}").select(
+        "token", F.col("component").alias("other"), *[F.col(c).alias(f"s_{c}") for c in ("sid", "size", "pos", "before", "lead")],
+        F.expr("pos - size + ceil(6 * size / 7)").alias("beyond"))
+    one = probe.groupBy("token", "component").agg(F.min("r_lead").alias("c_lead"), F.min("r_size").alias("c_size"))
+    two = index.groupBy("token", "other").agg(F.min("s_lead").alias("o_lead"), F.min("s_size").alias("o_size"))
+    room = lambda r, s: F.expr(f"{r}_lead + 6 * {s}_size <= 0 AND {s}_lead + 6 * {r}_size <= 0")
+    meet = one.join(two, "token").filter("component <> other").filter(room("c", "o")).drop("c_lead", "c_size")
+    met = meet.join(probe, ["token", "component"]).filter(room("r", "o")).drop("o_lead", "o_size")
+    shared = "least(r_before, s_before, r_matches - 1)"
+    return (
+        met.join(index, ["token", "other"])
+        .filter("(s_size < r_size OR (s_size = r_size AND s_sid < r_sid)) AND 4 * s_size >= 3 * r_size AND beyond < r_matches")
+        .filter(f"14 * (r_pos - {shared}) - 8 * r_size + 6 * s_size <= 0 AND 14 * (s_pos - {shared}) - 8 * s_size + 6 * r_size <= 0")
+        .groupBy(F.col("r_sid").alias("a"), F.col("s_sid").alias("b"), "r_matches").agg(F.count("*").alias("matched"))
+        .filter("matched >= r_matches").select("a", "b")
+    )
+
+
 def shingle_components(docs: DataFrame, work: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) of every row.
 
@@ -332,8 +387,10 @@ def shingle_components(docs: DataFrame, work: str, id_col: str = "doc_id", text_
     part_bits = max(6, int(spark.conf.get("spark.sql.shuffle.partitions")).bit_length())
     schema = "doc_id long, sid long, size long, part int, codes binary"
     found = scratch.stored(texts.mapInArrow(lambda b: _sets(part_bits, b), schema), f"{work}/sets")
-    rows = found.filter("part IS NULL").select("doc_id", "sid", "size")
     levels = spark.sparkContext.broadcast(order_levels(found.filter("part IS NOT NULL").select("part", "codes")))
+    rows = scratch.stored(found.filter("part IS NULL").select("doc_id", "sid", "size"), f"{work}/rows")
+    scratch.drop_dir(spark, f"{work}/sets")
+    scratch.release(spark)
 
     # Prefixes meet by shingle in one exchange; only those of two sets or more are stored.
     # The aggregate names every column, so that both branches use the same exchange.
@@ -356,11 +413,10 @@ def shingle_components(docs: DataFrame, work: str, id_col: str = "doc_id", text_
     parts = scratch.stored(sizes.join(suspects, "sid"), f"{work}/parts")
     arrays = _read_sets(parts.select("sid"), texts, rows, f"{work}/arrays")
     near = scratch.stored(met.select("token", "sid").join(parts.select("sid"), "sid"), f"{work}/near")
-    links, turn, met_rows = None, 0, met.count()
+    turn, met_rows = 0, met.count()
     while True:
         pairs = scratch.stored(_hub_pairs(near, parts, turn), f"{work}/pairs-{turn}")
-        found = scratch.stored(_verified(pairs, arrays), f"{work}/links-{turn}")
-        links = found if links is None else links.union(found)
+        found = scratch.stored(_verified(_possible(pairs, arrays), arrays), f"{work}/links-{turn}")
         tried, good = pairs.count(), found.count()
         if good:
             parts = scratch.stored(_merged(parts, found, f"{work}/merge-{turn}"), f"{work}/parts-{turn}")
@@ -372,39 +428,30 @@ def shingle_components(docs: DataFrame, work: str, id_col: str = "doc_id", text_
             break
         turn += 1
 
-    # Prefixes of sets that are still apart.
-    apart = met.drop("hub").join(parts.select("sid", "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
-    mixed = apart.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    apart = scratch.stored(apart.join(mixed.select("token"), "token"), f"{work}/apart")
-    for old in ("met", "near", "central", "arrays"):
+    # Prefixes of sets that are still apart. The last pairs are ruled out by parity bits as far as
+    # possible, so shingles are read for few.
+    scratch.drop_dir(spark, f"{work}/arrays")
+    apart = scratch.stored(_apart(met.drop("hub"), parts), f"{work}/apart")
+    for old in ("met", "near", "central"):
         scratch.drop_dir(spark, f"{work}/{old}")
     scratch.release(spark)
-    probe = apart.filter("pos < size - ceil(3 * size / 4) + matches").select(
-        "token", "component", *[F.col(c).alias(f"r_{c}") for c in ("sid", "size", "matches")])
-    index = apart.filter(f"pos < size - ceil(6 * size / 7) + {MAX_MATCHES}").select(
-        "token", F.col("component").alias("other"), *[F.col(c).alias(f"s_{c}") for c in ("sid", "size")],
-        F.expr("pos - size + ceil(6 * size / 7)").alias("beyond"))
-    # Components that meet on a shingle first, then their sets: no set is paired within its component.
-    meet = probe.select("token", "component").distinct().join(index.select("token", "other").distinct(), "token").filter("component <> other")
-    pairs = (
-        meet.join(probe, ["token", "component"]).join(index, ["token", "other"])
-        .filter("(s_size < r_size OR (s_size = r_size AND s_sid < r_sid)) AND 4 * s_size >= 3 * r_size AND beyond < r_matches")
-        .groupBy(F.col("r_sid").alias("a"), F.col("s_sid").alias("b"), "r_matches").agg(F.count("*").alias("matched"))
-        .filter("matched >= r_matches").select("a", "b")
-    )
-    pairs = scratch.stored(pairs, f"{work}/pairs")
+    pairs = scratch.stored(_candidates(apart), f"{work}/pairs")
     scratch.drop_dir(spark, f"{work}/apart")
     scratch.release(spark)
-    rest = _read_sets(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), texts, rows, f"{work}/more-arrays")
-    all_links = scratch.stored(links.union(_verified(pairs, rest)), f"{work}/links")
-    for old in ("pairs", "more-arrays"):
+    ends = lambda p: p.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+    brief = _read_sets(ends(pairs), texts, rows, f"{work}/brief", whole=False)
+    open_ = scratch.stored(_possible(pairs, brief), f"{work}/open")
+    rest = _read_sets(ends(open_), texts, rows, f"{work}/more-arrays")
+    links = scratch.stored(_verified(open_, rest), f"{work}/links")
+    for old in ("pairs", "brief", "open", "more-arrays"):
         scratch.drop_dir(spark, f"{work}/{old}")
     scratch.release(spark)
-    whole = components(all_links, f"{work}/whole")
+    moves = _moves(parts, links, f"{work}/whole")
 
     # Names: the smallest id of each set, then of each component; sets alone keep their own.
     by_set = rows.filter("size > 0").groupBy("sid").agg(F.min("doc_id").alias("low"))
-    by_set = by_set.join(whole.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+    by_set = by_set.join(parts.select("sid", "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+    by_set = by_set.join(moves, "component", "left").withColumn("component", F.coalesce("to", "component"))
     named = by_set.groupBy("component").agg(F.min("low").alias("component_id"))
     by_set = scratch.stored(by_set.join(named, "component").select("sid", "component_id"), f"{work}/named")
     full = rows.filter("size > 0").join(by_set, "sid").select("doc_id", F.col("size").alias("n_shingles"), "component_id")

@@ -97,3 +97,27 @@ def test_slots_tell_row_keys_apart(spark):
     assert on.sum() > 0.95 * len(keys)
     value = np.array(keys)
     assert on[((value & J._LOW) + (value >> J._LOW_BITS) * J._STRIDE) & (len(on) - 1)].all()
+
+
+def test_members_too_far_apart_are_not_paired(spark, work, monkeypatch):
+    """Sets that share the passage of a large group but differ too much meet none of its members; the links stay."""
+    rng = random.Random(5)
+    base = [f"b{i}" for i in range(149)]
+    rows = []
+    for edits in [1] * 60 + [5, 6] * 15:
+        own = list(base)
+        for at in rng.sample(range(4, 145, 6), edits):
+            own[at] = f"x{len(rows)}y{at}"
+        rows.append((len(rows), " ".join(own)))
+    rng.shuffle(rows)
+    counts, stored = {}, J.scratch.stored
+
+    def counted(df, path):
+        out = stored(df, path)
+        counts[path.rpartition("/")[2]] = out.count()
+        return out
+
+    monkeypatch.setattr(J.scratch, "stored", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert result(df, work) == brute(rows)
+    assert counts["pairs"] < len(rows)
