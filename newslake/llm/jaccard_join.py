@@ -27,7 +27,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -114,7 +113,7 @@ def _frequent(table: pa.Table) -> pa.Table:
     return pa.table({"code": pa.array(codes[often].astype(np.int64)), "n": pa.array(n[often])})
 
 
-def order_levels(packed: DataFrame) -> np.ndarray:
+def order_levels(packed: DataFrame, path: str) -> np.ndarray:
     """Logarithm of each slot's largest shingle count over all documents; 0 for the rest.
 
     The table has a fixed size (a byte for each of ORDER_SLOTS), so it may go to every task.
@@ -123,7 +122,7 @@ def order_levels(packed: DataFrame) -> np.ndarray:
     """
     counted = packed.groupBy("part").applyInArrow(_frequent, "code long, n long")
     counted = counted.select(F.pmod("code", F.lit(ORDER_SLOTS)).cast("int").alias("slot"), F.floor(F.log2("n")).cast("int").alias("level"))
-    slots = counted.groupBy("slot").agg(F.max("level").alias("level")).persist(StorageLevel.DISK_ONLY)
+    slots = scratch.stored(counted.groupBy("slot").agg(F.max("level").alias("level")), path)
     least, room = 1, ORDER_SLOTS // 8
     for level, n in sorted(slots.groupBy("level").count().collect(), reverse=True):
         if n > room:
@@ -131,7 +130,6 @@ def order_levels(packed: DataFrame) -> np.ndarray:
             break
         room -= n
     table = slots.filter(F.col("level") >= least).toArrow()
-    slots.unpersist()
     levels = np.zeros(ORDER_SLOTS, np.uint8)
     levels[table["slot"].to_numpy()] = table["level"].to_numpy()
     return levels
@@ -278,10 +276,9 @@ def _verified(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
 
 
 def _central(met: DataFrame) -> DataFrame:
-    """(sid, size, component, weight): weight is the mean logarithm of how many sets hold a prefix shingle of the set."""
-    held = met.groupBy("token").agg(F.log2(F.count("*")).alias("held"))
-    return met.join(held, "token").groupBy("sid").agg(
-        F.max("size").cast("long").alias("size"), (F.sum("held") / F.max("size")).alias("weight")
+    """(sid, size, component, weight): weight is the mean logarithm of how often a prefix shingle of the set is held."""
+    return met.groupBy("sid").agg(
+        F.max("size").cast("long").alias("size"), (F.sum(F.log2("held")) / F.max("size")).alias("weight")
     ).select("sid", "size", F.col("sid").alias("component"), "weight")
 
 
@@ -307,9 +304,8 @@ def _hub_pairs(met: DataFrame, parts: DataFrame, turn: int) -> DataFrame:
 
 
 def _meetings(met: DataFrame, parts: DataFrame) -> int:
-    """Pairs of sets from different components that meet on a shingle, counted by shingle."""
-    now = met.join(parts.select("sid", "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
-    each = now.groupBy("token", "component").agg(F.count("*").alias("n")).groupBy("token").agg(
+    """Pairs of sets in ``parts`` from different components that meet on a shingle, counted by shingle."""
+    each = met.join(parts.select("sid", "component"), "sid").groupBy("token", "component").agg(F.count("*").alias("n")).groupBy("token").agg(
         ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"))
     return int(each.agg(F.sum("pairs")).first()[0] or 0)
 
@@ -330,7 +326,7 @@ def _merged(parts: DataFrame, links: DataFrame, work: str) -> DataFrame:
 
 
 def _apart(met: DataFrame, parts: DataFrame) -> DataFrame:
-    """Prefix entries whose shingle is in two components, with their component, ``before`` and ``lead``.
+    """Prefix entries whose shingle is in two components, with their component, ``before``, ``lead`` and ``last``.
 
     ``before`` counts such entries ahead in the set's prefix, up to MAX_MATCHES - 1: no more shingles
     ahead are shared with a set of another component. Take a link of sets r and s that share a shingle,
@@ -338,41 +334,57 @@ def _apart(met: DataFrame, parts: DataFrame) -> DataFrame:
     of s are not shared, behind it as many as the rests differ in size. All are at most a seventh of
     the sizes, which gives 14 (i - k + 1) - 8 |r| + 6 |s| <= 0, and the same with r and s swapped.
     ``lead`` is the first two terms with ``before`` for k - 1, so none is larger for a link.
+    ``last`` holds the shingles of up to MAX_MATCHES such entries right ahead.
     """
-    apart = met.join(parts.select("sid", "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
-    mixed = apart.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    rank = F.row_number().over(Window.partitionBy("sid").orderBy("pos")) - 1
-    apart = apart.join(mixed.select("token"), "token").withColumn("before", F.least(rank, F.lit(MAX_MATCHES - 1)))
+    apart = met.join(parts.select("sid", "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid")).repartition("token")
+    mixed = apart.groupBy("token").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), *[F.max(c).alias(f"top_{c}") for c in ("sid", "size", "pos", "matches")]
+    ).filter("low < high AND (top_sid IS NOT NULL AND top_size + top_pos + top_matches > 0)")
+    ahead = Window.partitionBy("sid").orderBy("pos")
+    apart = apart.join(mixed.select("token"), "token").withColumns({
+        "before": F.least(F.row_number().over(ahead) - 1, F.lit(MAX_MATCHES - 1)),
+        "last": F.collect_list("token").over(ahead.rowsBetween(-MAX_MATCHES, -1)),
+    })
     return apart.withColumn("lead", F.expr("14 * (pos - before) - 8 * size"))
 
 
-def _candidates(apart: DataFrame) -> DataFrame:
-    """(a, b): pairs of sets from different components that share as many prefix shingles as the longer one asks for.
+def _shared_entries(apart: DataFrame) -> DataFrame:
+    """(r_sid, s_sid, r_matches): pairs of sets from different components, once for each prefix shingle that counts for them.
 
     Components that meet on a shingle are joined first, by the least lead and size of their sets, then
     the sets of each; so no set is paired within its component, and a set joins a component only where
-    its place leaves room for a link.
+    its place leaves room for a link. Components, and a set and a component, go on only where they meet
+    on as many shingles as a pair of them needs. A pair that shares as many shingles as it needs right ahead of an
+    entry does not meet there again: it is counted by its first ones.
     """
     probe = apart.filter("pos < size - ceil(3 * size / 4) + matches").select(
-        "token", "component", *[F.col(c).alias(f"r_{c}") for c in ("sid", "size", "matches", "pos", "before", "lead")])
+        "token", "component", *[F.col(c).alias(f"r_{c}") for c in ("sid", "size", "matches", "pos", "before", "lead", "last")])
     index = apart.filter(f"pos < size - ceil(6 * size / 7) + {MAX_MATCHES}").select(
-        "token", F.col("component").alias("other"), *[F.col(c).alias(f"s_{c}") for c in ("sid", "size", "pos", "before", "lead")],
+        "token", F.col("component").alias("other"), *[F.col(c).alias(f"s_{c}") for c in ("sid", "size", "pos", "before", "lead", "last")],
         F.expr("pos - size + ceil(6 * size / 7)").alias("beyond"))
-    one = probe.groupBy("token", "component").agg(F.min("r_lead").alias("c_lead"), F.min("r_size").alias("c_size"))
+    one = probe.groupBy("token", "component").agg(F.min("r_lead").alias("c_lead"), F.min("r_size").alias("c_size"), F.min("r_matches").alias("c_matches"))
     two = index.groupBy("token", "other").agg(F.min("s_lead").alias("o_lead"), F.min("s_size").alias("o_size"))
     room = lambda r, s: F.expr(f"{r}_lead + 6 * {s}_size <= 0 AND {s}_lead + 6 * {r}_size <= 0")
-    meet = one.join(two, "token").filter("component <> other").filter(room("c", "o")).drop("c_lead", "c_size")
-    met = meet.join(probe, ["token", "component"]).filter(room("r", "o")).drop("o_lead", "o_size")
+    meet = one.join(two, "token").filter("component <> other").filter(room("c", "o"))
+    both = Window.partitionBy("component", "other")
+    meet = meet.withColumns({"n": F.count("*").over(both), "least": F.min("c_matches").over(both)}).filter("n >= least")
+    met = meet.select("token", "component", "other", "o_lead", "o_size").join(probe, ["token", "component"]).filter(room("r", "o"))
+    met = met.withColumn("n", F.count("*").over(Window.partitionBy("r_sid", "other"))).filter("n >= r_matches").drop("n", "o_lead", "o_size")
     shared = "least(r_before, s_before, r_matches - 1)"
     return (
-        met.join(index, ["token", "other"])
+        met.drop("component").join(index, ["token", "other"])
         .filter("(s_size < r_size OR (s_size = r_size AND s_sid < r_sid)) AND 4 * s_size >= 3 * r_size AND beyond < r_matches")
         .filter(f"14 * (r_pos - {shared}) - 8 * r_size + 6 * s_size <= 0 AND 14 * (s_pos - {shared}) - 8 * s_size + 6 * r_size <= 0")
-        .groupBy(F.col("r_sid").alias("a"), F.col("s_sid").alias("b"), "r_matches").agg(F.count("*").alias("matched"))
-        .filter("matched >= r_matches").select("a", "b")
+        .filter("size(array_intersect(r_last, s_last)) < r_matches").select("r_sid", "s_sid", "r_matches")
     )
 
 
+def _candidates(apart: DataFrame) -> DataFrame:
+    """(a, b): pairs of sets from different components that share as many prefix shingles as the longer one asks for."""
+    matched = _shared_entries(apart).groupBy(F.col("r_sid").alias("a"), F.col("s_sid").alias("b"), "r_matches").agg(F.count("*").alias("matched"))
+    return matched.filter("matched >= r_matches").select("a", "b")
+
+
 def shingle_components(docs: DataFrame, work: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) of every row.
 
@@ -387,9 +399,10 @@ def shingle_components(docs: DataFrame, work: str, id_col: str = "doc_id", text_
     part_bits = max(6, int(spark.conf.get("spark.sql.shuffle.partitions")).bit_length())
     schema = "doc_id long, sid long, size long, part int, codes binary"
     found = scratch.stored(texts.mapInArrow(lambda b: _sets(part_bits, b), schema), f"{work}/sets")
-    levels = spark.sparkContext.broadcast(order_levels(found.filter("part IS NOT NULL").select("part", "codes")))
+    levels = spark.sparkContext.broadcast(order_levels(found.filter("part IS NOT NULL").select("part", "codes"), f"{work}/slots"))
     rows = scratch.stored(found.filter("part IS NULL").select("doc_id", "sid", "size"), f"{work}/rows")
-    scratch.drop_dir(spark, f"{work}/sets")
+    for old in ("sets", "slots"):
+        scratch.drop_dir(spark, f"{work}/{old}")
     scratch.release(spark)
 
     # Prefixes meet by shingle in one exchange; only those of two sets or more are stored.
@@ -398,10 +411,10 @@ def shingle_components(docs: DataFrame, work: str, id_col: str = "doc_id", text_
         lambda b: _postings(levels, b), "token long, sid long, size int, pos int, matches byte"
     ).repartition("token")
     shared = postings.groupBy("token").agg(
-        F.min("sid").alias("hub"), F.max("sid").alias("top"), *[F.max(c).alias(f"top_{c}") for c in ("size", "pos", "matches")]
-    ).filter("hub < top AND top_size + top_pos + top_matches > 0")
+        F.min("sid").alias("low"), F.max("sid").alias("top"), F.count("*").alias("held"), *[F.max(c).alias(f"top_{c}") for c in ("size", "pos", "matches")]
+    ).filter("low < top AND top_size + top_pos + top_matches > 0")
     met = scratch.stored(
-        postings.join(shared.select("token", "hub"), "token").dropDuplicates(["token", "sid"]), f"{work}/met"
+        postings.join(shared.select("token", F.col("held").cast("int").alias("held")), "token").dropDuplicates(["token", "sid"]), f"{work}/met"
     )
 
     del postings, shared
@@ -424,14 +437,14 @@ def shingle_components(docs: DataFrame, work: str, id_col: str = "doc_id", text_
                 scratch.drop_dir(spark, f"{work}/{old}")
         scratch.drop_dir(spark, f"{work}/pairs-{turn}")
         scratch.release(spark)
-        if 50 * good < tried or not good or _meetings(met, parts) <= MEETINGS * met_rows:
+        if 50 * good < tried or not good or _meetings(near, parts) <= MEETINGS * met_rows:
             break
         turn += 1
 
     # Prefixes of sets that are still apart. The last pairs are ruled out by parity bits as far as
     # possible, so shingles are read for few.
     scratch.drop_dir(spark, f"{work}/arrays")
-    apart = scratch.stored(_apart(met.drop("hub"), parts), f"{work}/apart")
+    apart = scratch.stored(_apart(met.drop("held"), parts), f"{work}/apart")
     for old in ("met", "near", "central"):
         scratch.drop_dir(spark, f"{work}/{old}")
     scratch.release(spark)

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CONF = "spark.checkpoint.dir"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,9 +29,28 @@ def run_dir(spark: SparkSession, name: str) -> str:
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` below the shared folder and read it back: cuts the lineage for good."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` below the shared folder and read it back: cuts the lineage for good.
+
+    Nothing reads the shuffle files of the write again, so they go with its end.
+    """
+    spark = df.sparkSession
+    with shuffles_dropped(spark):
+        df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Executors delete the shuffle files of a query of the block once it has ended."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
 
 
 def release(spark: SparkSession) -> None:

@@ -121,3 +121,32 @@ def test_members_too_far_apart_are_not_paired(spark, work, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     assert result(df, work) == brute(rows)
     assert counts["pairs"] < len(rows)
+
+
+def test_pairs_meet_on_few_shared_shingles(spark):
+    """Two groups that share whole prefixes: a pair meets on its first shingles only; one that shares too few does not meet."""
+    same = [(t, sid, 100, t, 4) for sid in range(20) for t in range(30)]
+    few = [(1000 + t, sid, 100, t, 4) for sid in (20, 21) for t in range(3)]
+    met = spark.createDataFrame(same + few, "token long, sid long, size int, pos int, matches byte")
+    parts = spark.createDataFrame([(sid, sid % 2) for sid in range(20)], "sid long, component long")
+    apart = J._apart(met, parts)
+    assert J._shared_entries(apart).count() == 100 * 4
+    pairs = {frozenset(r) for r in J._candidates(apart).collect()}
+    assert pairs == {frozenset((a, b)) for a in range(0, 20, 2) for b in range(1, 20, 2)}
+
+
+def test_stored_leaves_no_shuffle_files(spark, work):
+    import time
+
+    def files():
+        held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {n for i in range(held.size()) if "shuffle_" in (n := held.apply(i).getName())}
+
+    before, conf = files(), spark.conf.get(J.scratch._CLEANUP, None)
+    df = spark.range(10_000).repartition(7, "id")
+    rows = J.scratch.stored(df, f"{work}/x")
+    late = time.time() + 20
+    while left := files() - before:
+        assert time.time() < late, left
+        time.sleep(0.2)
+    assert rows.count() == df.count() == 10_000 and spark.conf.get(J.scratch._CLEANUP, None) == conf
