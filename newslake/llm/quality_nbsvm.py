@@ -24,6 +24,7 @@ SIZES = (1, 3)
 BITS = 17
 RUNS = (2, 3, 5)
 MAX_TRAIN_ROWS = 10_000
+_BLOCK = 256
 
 
 SLOTS = (1 << BITS) + len(RUNS)
@@ -61,24 +62,38 @@ def log_ratios(rows: list[np.ndarray], y: np.ndarray, slots: int, smooth: float
     share = []
     for label in (1, 0):
         own = [r for r, v in zip(rows, y) if v == label]
-        count = smooth + np.bincount(np.concatenate(own), minlength=slots) if own else np.full(slots, smooth)
-        share.append(np.log(count / (len(own) + 2 * smooth)))
+        count = np.zeros(slots, np.int64)
+        for i in range(0, len(own), _BLOCK):
+            count += np.bincount(np.concatenate(own[i : i + _BLOCK]), minlength=slots)
+        share.append(np.log((smooth + count) / (len(own) + 2 * smooth)))
     return share[0] - share[1]
 
 
+class Scaled:
+    """Values of each row: the scales of its slots over their length, made when asked for, as all of them take much memory."""
+
+    def __init__(self, rows: list[np.ndarray], scale: np.ndarray):
+        self.rows, self.scale = rows, scale
+        self.lengths = [max(np.sqrt((scale[r] ** 2).sum()), 1e-9) for r in rows]
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return self.scale[self.rows[i]] / self.lengths[i]
+
+
 def dual_coordinate_descent(rows, values, sign, slots: int, cost: float = 1.0, rounds: int = 20, seed: int = 7) -> np.ndarray:
     """Weights of min 1/2 |w|^2 + cost * sum max(0, 1 - sign * w.x); the last weight is the bias."""
     w, alpha = np.zeros(slots + 1), np.zeros(len(rows))
-    norms = np.array([v @ v + 1.0 for v in values])
+    norms = np.array([values[i] @ values[i] + 1.0 for i in range(len(rows))])
     rng = np.random.default_rng(seed)
     for _ in range(rounds):
         worst = 0.0
         for i in rng.permutation(len(rows)):
-            gradient = sign[i] * (w[rows[i]] @ values[i] + w[slots]) - 1
+            value = values[i]
+            gradient = sign[i] * (w[rows[i]] @ value + w[slots]) - 1
             new = min(max(alpha[i] - gradient / norms[i], 0.0), cost)
             step = (new - alpha[i]) * sign[i]
             if step:
-                w[rows[i]] += step * values[i]
+                w[rows[i]] += step * value
                 w[slots] += step
                 alpha[i] = new
                 worst = max(worst, abs(step))
@@ -111,13 +126,14 @@ def fit(rows: list[np.ndarray], y: np.ndarray, slots: int, blend: float = 0.25)
         return Model(np.zeros(slots + 1), np.zeros(slots), 0.0, float(np.log((ones + 1) / (len(y) - ones + 1))))
     test = np.arange(len(rows)) % 5 == 0
     train = np.flatnonzero(~test)
-    scale = log_ratios([rows[i] for i in train], y[train], slots)
-    values = [scale[r] / max(np.sqrt((scale[r] ** 2).sum()), 1e-9) for r in rows]
+    own = [rows[i] for i in train]
+    scale = log_ratios(own, y[train], slots)
     sign = np.where(y == 1, 1.0, -1.0)
-    w = dual_coordinate_descent([rows[i] for i in train], [values[i] for i in train], sign[train], slots)
+    w = dual_coordinate_descent(own, Scaled(own, scale), sign[train], slots)
     used = np.abs(w[:slots][w[:slots] != 0])
     w[:slots] = (1 - blend) * (used.mean() if len(used) else 0.0) + blend * w[:slots]
-    margins = np.array([w[r] @ v + w[slots] for r, v in zip(rows, values)])
+    values = Scaled(rows, scale)
+    margins = np.array([w[r] @ values[i] + w[slots] for i, r in enumerate(rows)])
     slope, shift = logistic_curve(margins[test], y[test])
     return Model(np.append(w[:slots] * scale, w[slots]), scale**2, slope, shift)
 
@@ -138,7 +154,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows:
     found = sample.mapInArrow(features, "doc_id long, y int, slots array<int>").toArrow().sort_by("doc_id")
     lists = found["slots"].combine_chunks()
     flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
-    rows = [flat[a:b].astype(np.int64) for a, b in zip(ends[:-1], ends[1:])]
+    rows = [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
     return fit(rows, found["y"].to_numpy(), SLOTS)
 
 

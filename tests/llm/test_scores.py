@@ -125,3 +125,22 @@ def test_scores_by_hand(labelled, work, spark):
         for m in margins:
             clean *= 1 - 1 / (1 + math.exp(-m))
         assert math.isclose(r.score, 1 - clean, rel_tol=1e-6, abs_tol=1e-9)
+
+
+def test_training_holds_no_second_copy_of_the_rows():
+    """The driver's memory beside the rows stays below their size; values are those of the scaled, normed rows."""
+    import tracemalloc
+
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    rows = [np.unique(rng.integers(0, quality_nbsvm.SLOTS, 2000)).astype(np.int32) for _ in range(4000)]
+    y = np.arange(len(rows)) % 3 // 2
+    tracemalloc.start()
+    quality_nbsvm.fit(rows, y, quality_nbsvm.SLOTS)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < sum(r.nbytes for r in rows)
+    scale = rng.normal(size=quality_nbsvm.SLOTS)
+    values = quality_nbsvm.Scaled(rows[:9], scale)
+    assert all(np.array_equal(values[i], scale[r] / np.sqrt((scale[r] ** 2).sum())) for i, r in enumerate(rows[:9]))
